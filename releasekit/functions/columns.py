@@ -80,8 +80,10 @@ def resource_relpath(source, artifact, version, created, fmt) -> Column:
 
 
 def storage_url(scheme, bucket, root, relpath) -> Column:
-    """``scheme://bucket[/root]/relpath``; a null root is skipped (SCL-10)."""
-    return F.concat(_c(scheme), F.lit("://"), F.concat_ws("/", _c(bucket), _c(root), _c(relpath)))
+    """``scheme://bucket[/root]/relpath``; null parts are skipped (SCL-10), so a storage
+    without scheme and bucket is a plain ``root/relpath`` (local or mounted storage)."""
+    return F.concat_ws("", F.concat(_c(scheme), F.lit("://")),
+                       F.concat_ws("/", _c(bucket), _c(root), _c(relpath)))
 
 
 def artifact_kind(c, file_suffix: str) -> Column:

@@ -44,7 +44,7 @@ def import_release(
     meta = {"nrow": str(prof.nrow), "schema": prof.schema}
     meta.update({f"non_null.{k}": str(v) for k, v in prof.non_null.items()})
     one = spark.range(1).select(
-        F.lit(created).cast("timestamp_ntz").alias("created"),
+        F.lit(created.isoformat(" ")).cast("timestamp_ntz").alias("created"),
         F.create_map(*[x for kv in meta.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]).alias("metadata"),
     )
     entry = R.build_entries(

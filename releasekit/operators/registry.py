@@ -75,15 +75,21 @@ def resources_map(formats="formats", source="source", artifact="artifact", versi
     return F.map_from_arrays(names, urls)
 
 
-def build_entries(df: DataFrame, *, source, artifact, version, created, storage=F.lit("local"),
-                  scheme=F.lit(None).cast("string"), bucket=F.lit(None).cast("string"),
-                  root=F.lit(None).cast("string"), formats=None, metadata=None,
-                  source_name=F.lit(None).cast("string"), artifact_name=F.lit(None).cast("string"),
-                  resources=None) -> DataFrame:
+def build_entries(df: DataFrame, *, source, artifact, version, created, storage=None,
+                  scheme=None, bucket=None, root=None, formats=None, metadata=None,
+                  source_name=None, artifact_name=None, resources=None) -> DataFrame:
     """Registry rows from arbitrary columns, defaults filled in (REG-1).
 
-    ``formats`` defaults to one Parquet directory flagged default; ``created`` defaults
-    to midnight today when null; ``resources`` default to the layout URLs (REG-2)."""
+    ``storage`` defaults to ``local``; ``formats`` to one Parquet directory flagged
+    default; ``created`` to midnight today when null; ``resources`` to the layout URLs
+    (REG-2)."""
+    none = lambda: F.lit(None).cast("string")
+    storage = F.lit("local") if storage is None else storage
+    scheme = none() if scheme is None else scheme
+    bucket = none() if bucket is None else bucket
+    root = none() if root is None else root
+    source_name = none() if source_name is None else source_name
+    artifact_name = none() if artifact_name is None else artifact_name
     if formats is None:
         formats = F.array(format_struct(F.lit("parquet"), F.lit("directory"), F.lit(True)))
     if metadata is None:
@@ -213,9 +219,10 @@ def save_registry(reg: DataFrame, root: str) -> str:
 def load_registry(spark: SparkSession, root: str) -> DataFrame:
     """Newest registry version; a missing location is an empty registry."""
     try:
-        allv = spark.read.schema(T.StructType(REGISTRY_SCHEMA.fields + [T.StructField("rv", T.StringType())])).parquet(root)
+        spark.read.parquet(root).schema  # resolves the path eagerly
     except AnalysisException:
         return empty_registry(spark)
+    allv = spark.read.schema(T.StructType(REGISTRY_SCHEMA.fields + [T.StructField("rv", T.StringType())])).parquet(root)
     newest = allv.agg(F.max("rv")).scalar()
     return allv.where(F.col("rv") == newest).drop("rv")
 

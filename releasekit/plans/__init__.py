@@ -2,3 +2,5 @@
 
 from releasekit.plans.base import ORACLE, QUERIES  # noqa: F401
 from releasekit.plans import q_tables  # noqa: F401
+from releasekit.plans import q_registry  # noqa: F401
+from releasekit.plans import q_release  # noqa: F401

@@ -38,13 +38,14 @@ def releases2(spark: SparkSession, sf: str) -> DataFrame:
     return r.unionByName(again)
 
 
-def registry(spark: SparkSession, sf: str, rel: DataFrame | None = None) -> DataFrame:
+def registry(spark: SparkSession, sf: str, rel: DataFrame | None = None, formats=None) -> DataFrame:
     """``releases`` as full registry entries (REG-1 defaults, REG-2 resources)."""
     rel = releases(spark, sf) if rel is None else rel
     meta = F.create_map(F.lit("nrow"), F.col("nrow").cast("string"))
     return R.build_entries(rel.withColumn("meta", meta), source="source", artifact="artifact",
                            version="version", created="created", storage="storage",
-                           scheme=F.lit(SCHEME), bucket=F.lit(BUCKET), root=F.lit(ROOT), metadata="meta")
+                           scheme=F.lit(SCHEME), bucket=F.lit(BUCKET), root=F.lit(ROOT), metadata="meta",
+                           formats=formats)
 
 
 def evidence(spark: SparkSession, sf: str) -> DataFrame:
