@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions.schema import schema_rows
-from releasekit.operators.sets import overlap_report
+from releasekit.operators.sets import overlap_report, overlap_sides_by, side_counts
 
 
 def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -41,6 +41,11 @@ def release_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return overlap_report(old, new, key)
 
 
+def release_keys_by(df: DataFrame, key: str, old, new) -> DataFrame:
+    """CMP-4 when both releases are slices of one table: a single scan."""
+    return side_counts(overlap_sides_by(df, key, old, new))
+
+
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     if a == b:
         return a

@@ -16,6 +16,16 @@ def anti_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return df.join(keys.select(*on), on, "left_anti")
 
 
+def keys_with_several(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys with more than one distinct non-null ``value`` (AGG-9 ``> 1``).
+
+    ``min <> max`` is the same test as ``count(distinct) > 1`` but a plain hash aggregate:
+    partial results are one row per key per task, so there is one exchange and no
+    distinct expansion, and a hot key costs nothing extra."""
+    per = df.groupBy(key).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    return per.where(F.col("__lo") != F.col("__hi")).select(key)
+
+
 def keys_where(df: DataFrame, key: str, value: str, test) -> DataFrame:
     """AGG-9: keys whose distinct-value count passes ``test`` (a function of the count column)."""
     per = df.groupBy(key).agg(F.count_distinct(value).alias("__n"))
@@ -39,19 +49,39 @@ def lookup_required(df: DataFrame, lookup: DataFrame, key: str, value: str, expl
     return out.withColumn(missing, F.col(value).isNull())
 
 
-def overlap_sides(left: DataFrame, right: DataFrame, key: str, name: str = "side") -> DataFrame:
-    """SET-1/2, JOI-2, CMP-4: distinct keys of both sides -> both / left_only / right_only."""
-    l = left.select(F.col(key).alias("__k")).where("__k is not null").distinct().withColumn("__l", F.lit(True))
-    r = right.select(F.col(key).alias("__k")).where("__k is not null").distinct().withColumn("__r", F.lit(True))
-    j = l.join(r, "__k", "full")
+def _sides(tagged: DataFrame, key: str, name: str) -> DataFrame:
+    # one hash aggregate with map-side partial results: a hot key is pre-reduced on every
+    # task, and no sort-merge join is needed
+    per = tagged.groupBy("__k").agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
     side = (F.when(F.col("__l") & F.col("__r"), "both")
              .when(F.col("__l"), "left_only").otherwise("right_only"))
-    return j.select(F.col("__k").alias(key), side.alias(name))
+    return per.select(F.col("__k").alias(key), side.alias(name))
+
+
+def overlap_sides(left: DataFrame, right: DataFrame, key: str, name: str = "side") -> DataFrame:
+    """SET-1/2, JOI-2, CMP-4: distinct keys of both sides -> both / left_only / right_only.
+
+    Written as a tagged union + one aggregation instead of a full outer join of two
+    distinct sets: one exchange instead of three."""
+    l = left.select(F.col(key).alias("__k"), F.lit(True).alias("__l"), F.lit(False).alias("__r"))
+    r = right.select(F.col(key).alias("__k"), F.lit(False).alias("__l"), F.lit(True).alias("__r"))
+    return _sides(l.unionByName(r).where("__k is not null"), key, name)
+
+
+def overlap_sides_by(df: DataFrame, key: str, left: Column, right: Column, name: str = "side") -> DataFrame:
+    """Both sides selected from ONE table by predicates: a single scan."""
+    tagged = df.where(left | right).select(F.col(key).alias("__k"), F.coalesce(left, F.lit(False)).alias("__l"),
+                                           F.coalesce(right, F.lit(False)).alias("__r"))
+    return _sides(tagged.where("__k is not null"), key, name)
+
+
+def side_counts(sides: DataFrame, name: str = "side") -> DataFrame:
+    return sides.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
 
 
 def overlap_report(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Sizes of the intersection and both differences in one plan."""
-    return overlap_sides(left, right, key).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return side_counts(overlap_sides(left, right, key))
 
 
 def distinct_values(df: DataFrame, *cols: str) -> DataFrame:

@@ -309,7 +309,7 @@ FROM a FULL JOIN b ON a.k = b.k GROUP BY 1
 def cmp_release_keys(spark, sf):
     o = table(spark, sf, "orders")
     y = F.year("o_orderdate")
-    return CMP.release_keys(o.where(y == 1999), o.where(y == 2000), "o_custkey")
+    return CMP.release_keys_by(o, "o_custkey", y == 1999, y == 2000)
 
 
 @query("cmp_union_releases", """

@@ -316,9 +316,9 @@ UNION ALL SELECT 'right_only', count(*) FROM (SELECT k FROM r EXCEPT SELECT k FR
 """)
 def set_overlap_report(spark, sf):
     li = table(spark, sf, "lineitem")
-    early = li.where(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    late = li.where(F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    return S.overlap_report(early, late, "l_partkey")
+    early = F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")
+    late = F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
+    return S.side_counts(S.overlap_sides_by(li, "l_partkey", early, late))
 
 
 @query("set_distinct_values", "SELECT DISTINCT text FROM documents")
@@ -337,7 +337,7 @@ def joi_semi_multi_group(spark, sf):
     li = table(spark, sf, "lineitem")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     lines = li.join(s, li["l_suppkey"] == s["s_suppkey"])
-    multi = S.keys_where(lines, "l_orderkey", "s_nationkey", lambda n: n > 1)
+    multi = S.keys_with_several(lines, "l_orderkey", "s_nationkey")
     # the semi join and the aggregation share the l_orderkey partitioning: one shuffle of lineitem
     return A.distinct_per_group(S.semi_join(li, multi, ["l_orderkey"]), "l_orderkey", "l_partkey")
 

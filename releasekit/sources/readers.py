@@ -202,16 +202,20 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None
 
 
 def valid_records(df: DataFrame) -> DataFrame:
-    """Rows that parsed; the corrupt column is dropped."""
+    """Rows that parsed; the corrupt column is dropped.  Select data columns from the
+    result (a bare ``count()`` would reference only the corrupt column, which Spark
+    refuses on raw JSON/CSV)."""
     if "_corrupt_record" not in df.columns:
         return df
     return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
 def corrupt_records(df: DataFrame) -> DataFrame:
+    """Unparsable lines.  All columns are kept: Spark refuses a scan whose only required
+    column is the corrupt-record column, so consume this with the data columns."""
     if "_corrupt_record" not in df.columns:
         return df.limit(0)
-    return df.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    return df.where(F.col("_corrupt_record").isNotNull())
 
 
 def read_json_documents(spark: SparkSession, path: str, array_path: str = "_embedded.terms",
