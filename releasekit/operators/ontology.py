@@ -14,35 +14,35 @@ from releasekit.session import ensure_checkpoint_dir
 
 
 def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
-                max_rounds: int = 64, checkpoint_every: int = 1) -> DataFrame:
+                max_rounds: int = 64) -> DataFrame:
     """All (ancestor, descendant, depth) pairs; depth = shortest distance.  Cycles are
-    fine; ``max_rounds`` bounds the loop (it fails loudly rather than truncating)."""
+    fine; ``max_rounds`` bounds the loop (it fails loudly rather than truncating).
+
+    Each round's new pairs are checkpointed once; the closure is the union of those
+    pieces, so no round rewrites what earlier rounds already stored."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = edges.select(F.col(parent).alias("a"), F.col(child).alias("d")).where("a is not null and d is not null").distinct()
-    e = e.checkpoint()
+    e = (edges.select(F.col(parent).alias("a"), F.col(child).alias("d"))
+              .where("a is not null and d is not null").distinct().checkpoint())
     step = e.select(F.col("a").alias("mid"), F.col("d").alias("next"))
-    closure = e.select("a", "d", F.lit(1).alias("depth")).where("a <> d").checkpoint()
-    frontier = closure
-    rounds = 1
-    while True:
+    frontier = e.select("a", "d", F.lit(1).alias("depth")).where("a <> d").checkpoint()
+    pieces = [frontier]
+    known = frontier
+    for _ in range(max_rounds):
         nxt = (frontier.join(step, frontier["d"] == step["mid"])
                .select(F.col("a"), F.col("next").alias("d"), (F.col("depth") + 1).alias("depth"))
                .where("a <> d")
-               .groupBy("a", "d").agg(F.min("depth").alias("depth")))
-        nxt = nxt.join(closure.select("a", "d"), ["a", "d"], "left_anti")
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint()
+               .groupBy("a", "d").agg(F.min("depth").alias("depth"))
+               .join(known.select("a", "d"), ["a", "d"], "left_anti")
+               .checkpoint())
         if nxt.isEmpty():
             break
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
-        closure = closure.unionByName(nxt)
-        if rounds % checkpoint_every == 0:
-            closure = closure.checkpoint()
+        pieces.append(nxt)
+        known = known.unionByName(nxt)
         frontier = nxt
-    return closure.select(F.col("a").alias("ancestor"), F.col("d").alias("descendant"), "depth")
+    else:
+        raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
+    return known.select(F.col("a").alias("ancestor"), F.col("d").alias("descendant"), "depth")
 
 
 def expand_to_ancestors(evidence: DataFrame, closure: DataFrame, term: str, keep_self: bool = True) -> DataFrame:

@@ -1,58 +1,47 @@
 """Writers for raw dump shapes (preamble TSV, ``#A|B|`` files, numbered chunks, JSON
-documents).  They turn a table into the kind of file a public source ships, so the
-readers can be exercised on data of any size; every output file is complete on its
-own (its own preamble / header), written by one task per partition."""
+documents).  They turn a table into the kind of files a public source ships, so the
+readers can be exercised on data of any size.
 
-from __future__ import annotations
+Every dump file is one ``(key, chunk)`` group written as its own directory, and each
+starts with its head lines (preamble / header).  The chunk is a hash of the row, so a
+key holding a third of all rows is still written by ``n_chunks`` tasks.  Head rows are
+generated per group with ``posexplode`` (no cross join), shuffled next to their data,
+and ``sortWithinPartitions`` puts them first; that order already satisfies the file
+writer's required ordering, so it writes rows as they come."""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CHUNK_COL = "chunk"
+
 
 def as_text(cols: list, sep: str) -> Column:
     """One delimited line; nulls become empty fields (``concat_ws`` would skip them)."""
     return F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
 
 
-def _prepend(head: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = True
-        for pdf in batches:
-            if first and len(pdf):
-                pdf = pd.concat([pd.DataFrame({"value": head}), pdf], ignore_index=True)
-                first = False
-            yield pdf
-    return run
-
-
 def write_text_dump(lines: DataFrame, path: str, head: list[str], compression: str | None = None,
-                    partition_by: str | None = None) -> None:
-    """Write a one-column ``value`` frame as text; every non-empty output file starts with
-    ``head`` (preamble and/or header lines).  With ``partition_by`` the frame is first
-    clustered on that column so each directory gets complete files."""
-    if partition_by:
-        lines = lines.repartition(partition_by)
-        schema = f"value string, `{partition_by}` string"
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            started: set = set()
-            for pdf in batches:
-                out = []
-                for key, grp in pdf.groupby(partition_by, sort=False):
-                    if key not in started:
-                        started.add(key)
-                        out.append(pd.DataFrame({"value": head, partition_by: key}))
-                    out.append(grp)
-                if out:
-                    yield pd.concat(out, ignore_index=True)
-        data = lines.select("value", F.col(partition_by).cast("string").alias(partition_by)).mapInPandas(run, schema)
-        w = data.write.mode("overwrite").partitionBy(partition_by)
-    else:
-        data = lines.select("value").mapInPandas(_prepend(head), "value string")
-        w = data.write.mode("overwrite")
+                    partition_by: str | None = None, n_chunks: int | None = None) -> None:
+    """Write a one-column ``value`` frame (plus ``partition_by``) as text files, each
+    beginning with ``head``.  Layout: ``path/[<partition_by>=<key>/]chunk=<n>/part-*``."""
+    n = n_chunks or max(1, lines.rdd.getNumPartitions())
+    keys = [partition_by] if partition_by else []
+    data = lines.select(
+        "value", *[F.col(k).cast("string").alias(k) for k in keys],
+        F.pmod(F.xxhash64("value"), F.lit(n)).alias(CHUNK_COL),
+        F.lit(len(head)).alias("__ord"),
+    )
+    group_cols = keys + [CHUNK_COL]
+    if head:
+        heads = (data.select(*group_cols).distinct()
+                 .select(*group_cols, F.posexplode(F.array(*[F.lit(h) for h in head])).alias("__ord", "value")))
+        data = data.unionByName(heads)
+    out = (data.repartition(*[F.col(c) for c in group_cols])
+               .sortWithinPartitions(*group_cols, "__ord")
+               .drop("__ord"))
+    w = out.write.mode("overwrite").partitionBy(*group_cols)
     if compression:
         w = w.option("compression", compression)
     w.text(path)
@@ -60,20 +49,23 @@ def write_text_dump(lines: DataFrame, path: str, head: list[str], compression: s
 
 def write_delimited_dump(df: DataFrame, path: str, sep: str = "\t", header: str | None = None,
                          preamble: list[str] | None = None, trailing_sep: bool = False,
-                         compression: str | None = None, partition_by: str | None = None) -> None:
+                         compression: str | None = None, partition_by: str | None = None,
+                         n_chunks: int | None = None) -> None:
     cols = [c for c in df.columns if c != partition_by]
     line = as_text(cols, sep)
     if trailing_sep:
         line = F.concat(line, F.lit(sep))
     sel = [line.alias("value")] + ([F.col(partition_by)] if partition_by else [])
     head = list(preamble or []) + ([header] if header is not None else [])
-    write_text_dump(df.select(*sel), path, head, compression=compression, partition_by=partition_by)
+    write_text_dump(df.select(*sel), path, head, compression=compression, partition_by=partition_by,
+                    n_chunks=n_chunks)
 
 
 def write_json_pages(terms: DataFrame, path: str, page_col: str, array_path: tuple[str, str] = ("_embedded", "terms")) -> None:
     """One JSON document per page (API-style paging): ``{"_embedded":{"terms":[...]}}``.
 
-    Rows are grouped by ``page_col``; pick the page count so a page stays bounded."""
+    Rows are grouped by ``page_col``; the caller picks the page count so a page stays
+    bounded (the group is a page, never a whole table)."""
     outer, inner = array_path
     item_cols = [c for c in terms.columns if c != page_col]
     docs = terms.groupBy(page_col).agg(

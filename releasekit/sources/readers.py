@@ -23,8 +23,13 @@ def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _files(spark: SparkSession):
+    """A dump directory is a bag of files (possibly nested): no partition inference."""
+    return spark.read.option("recursiveFileLookup", "true")
+
+
 def _first_line(spark: SparkSession, path: str, predicate) -> str:
-    row = spark.read.text(path).where(predicate).limit(1).first()
+    row = _files(spark).text(path).where(predicate).limit(1).first()
     if row is None:
         raise ValueError(f"no header line found under {path}")
     return row["value"]
@@ -52,7 +57,7 @@ def read_preamble_tsv(
             spark, path, F.col("value").startswith(header_mark) & ~F.col("value").startswith(preamble_mark)
         )
         schema = string_schema(line[len(header_mark):].split(sep))
-    return spark.read.schema(schema).csv(path, sep=sep, comment=header_mark[0], header=False, mode="PERMISSIVE")
+    return _files(spark).schema(schema).csv(path, sep=sep, comment=header_mark[0], header=False, mode="PERMISSIVE")
 
 
 def _drop_leading_lines(n: int):
@@ -80,7 +85,7 @@ def read_skip_lines(
     Works for preambles without a comment marker.  Lines are dropped per partition in
     arrival order (the first split of a file starts at byte 0); parsing is ``from_csv``.
     """
-    lines = spark.read.text(path).select(
+    lines = _files(spark).text(path).select(
         "value",
         F.col("_metadata.file_path").alias("fp"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -122,7 +127,7 @@ def read_chunks(spark: SparkSession, directory: str, schema: T.StructType, sep:
 def read_trailing_delimited(spark: SparkSession, path: str, sep: str = "|", mark: str = "#") -> DataFrame:
     """Header like ``#A|B|``: strip the mark from the first name and drop the phantom
     column produced by the trailing delimiter (structural, no data pass)."""
-    df = spark.read.csv(path, sep=sep, header=True)
+    df = _files(spark).csv(path, sep=sep, header=True)
     names = list(df.columns)
     if names and names[0].startswith(mark):
         names[0] = names[0][len(mark):]
@@ -147,7 +152,7 @@ def read_with_repaired_header(
     """First line of each file is skipped; names come from the repaired header.  ``rename``
     fixes swapped headers (D12) after the read."""
     names = repaired_header(spark, path, marker, token)
-    df = (spark.read.schema(string_schema(names))
+    df = (_files(spark).schema(string_schema(names))
           .option("enforceSchema", "true").csv(path, sep=sep, header=True))
     if rename:
         df = df.toDF(*[rename.get(c, c) for c in df.columns])

@@ -121,3 +121,22 @@ def test_release_relpath():
     import datetime as dt
     assert release_relpath("medgen", "mgrel", "v2020-06", dt.datetime(2020, 6, 1)) == \
         "medgen/mgrel/v2020-06/20200601T000000/data.parquet"
+
+
+def test_dump_files_each_start_with_head_and_hot_key_is_split(spark, scratch):
+    import glob
+    # one key holds most rows: it must still be spread over several files, each complete
+    df = spark.range(0, 3000).select(F.when(F.col("id") < 2000, F.lit("hot")).otherwise(F.lit("cold")).alias("k"),
+                                     F.col("id").alias("v"))
+    path = scratch("dump")
+    dumps.write_delimited_dump(df, path, sep="\t", header="#v", preamble=["## a", "## b"], partition_by="k",
+                               compression="gzip", n_chunks=4)
+    hot = glob.glob(f"{local(path)}/k=hot/chunk=*/*.gz")
+    assert len(hot) == 4
+    n = 0
+    for f in glob.glob(f"{local(path)}/k=*/chunk=*/*.gz"):
+        with gzip.open(f, "rt") as fh:
+            lines = fh.read().splitlines()
+        assert lines[:3] == ["## a", "## b", "#v"]
+        n += len(lines) - 3
+    assert n == 3000
