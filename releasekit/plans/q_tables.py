@@ -175,6 +175,26 @@ def agg_group_count(spark, sf):
     return A.group_count(D.evidence(spark, sf), F.col("target.segment").alias("segment"))
 
 
+MULTI_PATHS = ["target.segment", "target.nation", "type", "evidence.ref.id"]
+
+
+@query("agg_multi_path_counts", f"""
+SELECT 'target.segment' AS path, c_mktsegment AS value, count(*) AS n
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 2
+UNION ALL
+SELECT 'target.nation', n_name, count(*)
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 2
+UNION ALL
+SELECT 'type', o_orderstatus, count(*) FROM orders GROUP BY 2
+UNION ALL
+SELECT 'evidence.ref.id', {SLUG.format(c='o_orderpriority')}, count(*) FROM orders GROUP BY 2
+""")
+def agg_multi_path_counts(spark, sf):
+    """AGG-2 for several nested paths from ONE scan of the evidence (the reference runs
+    one job per path)."""
+    return A.multi_path_counts(D.evidence(spark, sf), MULTI_PATHS)
+
+
 @query("agg_group_count_pair", """
 SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2
 """)
