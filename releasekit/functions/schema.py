@@ -54,6 +54,26 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*cols)
 
 
+def expand_map(df: DataFrame, column: str, sep: str = "_") -> DataFrame:
+    """Map column -> one column per key (``resources`` -> ``resources_parquet``), like a
+    nested-record normaliser does with dicts.  The key set is collected first; it is a
+    vocabulary (format names, metadata fields), not data-sized."""
+    keys = sorted(r["k"] for r in df.select(F.explode(F.map_keys(F.col(f"`{column}`"))).alias("k"))
+                  .where("k is not null").distinct().collect())
+    cols = [F.col(f"`{column}`")[k].alias(f"{column}{sep}{k}") for k in keys]
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != column], *cols)
+
+
+def to_flat(df: DataFrame, sep: str = "_") -> DataFrame:
+    """PRJ-3 + PRJ-4 (REG-13): nested structs and maps flattened to ``sep``-joined columns,
+    then columns that are null in every row dropped.  Arrays stay arrays."""
+    flat = flatten(df, sep)
+    for f in flat.schema.fields:
+        if isinstance(f.dataType, T.MapType):
+            flat = expand_map(flat, f.name, sep)
+    return drop_empty_columns(flat)
+
+
 def drop_empty_columns(df: DataFrame) -> DataFrame:
     """Drop columns that are null in every row, with one aggregation pass (PRJ-4)."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()

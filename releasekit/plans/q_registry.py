@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from releasekit.functions import columns as C
+from releasekit.functions.schema import to_flat
 from releasekit.operators import compare as CMP
 from releasekit.operators import ontology as ON
 from releasekit.operators import quality as Q
@@ -200,6 +201,20 @@ def reg_sorted(spark, sf):
     return R.with_position(_keys(D.releases2(spark, sf)), R.KEY)
 
 
+@query("reg_flat_table", f"""
+WITH {REL}
+SELECT {KEYS}, '{D.SCHEME}' AS scheme, '{D.BUCKET}' AS bucket, '{D.ROOT}' AS root,
+       CAST(nrow AS VARCHAR) AS metadata_nrow,
+       '{D.SCHEME}://{D.BUCKET}/{D.ROOT}/' || source || '/' || artifact || '/' || version || '/'
+         || strftime(created, '%Y%m%dT%H%M%S') || '/data.parquet' AS resources_parquet
+FROM releases
+""")
+def reg_flat_table(spark, sf):
+    """REG-13: the registry as a flat table (structs and maps to columns, all-null columns
+    such as the unnamed ``source_name`` dropped).  ``formats`` stays an array."""
+    return to_flat(D.registry(spark, sf)).drop("formats")
+
+
 @query("reg_roundtrip", f"""
 WITH {REL}
 SELECT {KEYS}, nrow FROM releases

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions import columns as C
-from releasekit.functions.schema import sanitize_columns
+from releasekit.functions.schema import sanitize_columns, to_flat
 from releasekit.operators import registry as R
 from releasekit.operators.ingest import import_release
 from releasekit.plans.base import query, table
@@ -170,6 +170,28 @@ def src_registry_read(spark, sf):
     return R.read_release(spark, reg, "orders", "monthly", "latest")
 
 
+@query("src_registry_flat_read", """
+SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
+def src_registry_flat_read(spark, sf):
+    """SRC-11: publish one release per priority, flatten the registry, pick the row of one
+    artifact and read the URL from its ``resources_parquet`` column."""
+    o = table(spark, sf, "orders")
+    root = scratch_path(spark, "flat_read")
+    with_slug = o.withColumn("artifact", C.slugify("o_orderpriority"))
+    # all priorities in one write: one directory per artifact, partition-pruned on read
+    store = f"{root}/store/orders"
+    with_slug.write.mode("overwrite").partitionBy("artifact").parquet(store)
+    arts = with_slug.select("artifact").distinct()
+    reg = R.build_entries(arts, source=F.lit("orders"), artifact="artifact", version=F.lit("v1"),
+                          created=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
+                          resources=F.create_map(F.lit("parquet"),
+                                                 F.concat(F.lit(store + "/artifact="), F.col("artifact"))))
+    flat = to_flat(reg)
+    url = flat.where(F.col("artifact") == "1_urgent").select("resources_parquet").first()[0]
+    return spark.read.parquet(url)
+
+
 # ---------------------------------------------------------------- sinks (SNK)
 
 
