@@ -26,7 +26,9 @@ def write_text_dump(lines: DataFrame, path: str, head: list[str], compression: s
                     partition_by: str | None = None, n_chunks: int | None = None) -> None:
     """Write a one-column ``value`` frame (plus ``partition_by``) as text files, each
     beginning with ``head``.  Layout: ``path/[<partition_by>=<key>/]chunk=<n>/part-*``."""
-    n = n_chunks or max(1, lines.rdd.getNumPartitions())
+    if n_chunks is None:
+        n_chunks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    n = max(1, n_chunks)
     keys = [partition_by] if partition_by else []
     data = lines.select(
         "value", *[F.col(k).cast("string").alias(k) for k in keys],
