@@ -22,19 +22,31 @@ def as_text(cols: list, sep: str) -> Column:
     return F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def write_text_dump(lines: DataFrame, path: str, head: list[str], compression: str | None = None,
-                    partition_by: str | None = None, n_chunks: int | None = None) -> None:
+                    partition_by: str | None = None, n_chunks: int | None = None,
+                    rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write a one-column ``value`` frame (plus ``partition_by``) as text files, each
-    beginning with ``head``.  Layout: ``path/[<partition_by>=<key>/]chunk=<n>/part-*``."""
-    if n_chunks is None:
-        n_chunks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    n = max(1, n_chunks)
+    beginning with ``head``.  Layout: ``path/[<partition_by>=<key>/]chunk=<n>/part-*``.
+
+    Without ``n_chunks`` every key gets ``ceil(rows / rows_per_file)`` chunks: a small key
+    is one file, a key holding a third of all rows is spread over many tasks.  The
+    per-key counts are one pre-aggregated row per key (one per output file group)."""
     keys = [partition_by] if partition_by else []
-    data = lines.select(
-        "value", *[F.col(k).cast("string").alias(k) for k in keys],
-        F.pmod(F.xxhash64("value"), F.lit(n)).alias(CHUNK_COL),
-        F.lit(len(head)).alias("__ord"),
-    )
+    base = lines.select("value", *[F.col(k).cast("string").alias(k) for k in keys])
+    if n_chunks is None:
+        chunks = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))).cast("bigint")
+        if keys:
+            base = base.join(base.groupBy(*keys).agg(chunks.alias("__n")), keys)
+            n_col = F.col("__n")
+        else:  # one number for the whole dump: a scalar subquery
+            n_col = base.agg(chunks).scalar()
+    else:
+        n_col = F.lit(max(1, n_chunks))
+    data = base.select(
+        "value", *keys, F.pmod(F.xxhash64("value"), n_col).alias(CHUNK_COL), F.lit(len(head)).alias("__ord"))
     group_cols = keys + [CHUNK_COL]
     if head:
         heads = (data.select(*group_cols).distinct()
@@ -52,7 +64,7 @@ def write_text_dump(lines: DataFrame, path: str, head: list[str], compression: s
 def write_delimited_dump(df: DataFrame, path: str, sep: str = "\t", header: str | None = None,
                          preamble: list[str] | None = None, trailing_sep: bool = False,
                          compression: str | None = None, partition_by: str | None = None,
-                         n_chunks: int | None = None) -> None:
+                         n_chunks: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
     cols = [c for c in df.columns if c != partition_by]
     line = as_text(cols, sep)
     if trailing_sep:
@@ -60,7 +72,7 @@ def write_delimited_dump(df: DataFrame, path: str, sep: str = "\t", header: str
     sel = [line.alias("value")] + ([F.col(partition_by)] if partition_by else [])
     head = list(preamble or []) + ([header] if header is not None else [])
     write_text_dump(df.select(*sel), path, head, compression=compression, partition_by=partition_by,
-                    n_chunks=n_chunks)
+                    n_chunks=n_chunks, rows_per_file=rows_per_file)
 
 
 def write_json_pages(terms: DataFrame, path: str, page_col: str, array_path: tuple[str, str] = ("_embedded", "terms")) -> None:

@@ -140,3 +140,13 @@ def test_dump_files_each_start_with_head_and_hot_key_is_split(spark, scratch):
         assert lines[:3] == ["## a", "## b", "#v"]
         n += len(lines) - 3
     assert n == 3000
+
+
+def test_dump_chunks_sized_per_key(spark, scratch):
+    import glob
+    df = spark.range(0, 3000).select(F.when(F.col("id") < 2000, F.lit("hot")).otherwise(F.lit("cold")).alias("k"),
+                                     F.col("id").alias("v"))
+    path = scratch("dump_sized")
+    dumps.write_delimited_dump(df, path, sep="\t", header="#v", partition_by="k", rows_per_file=500)
+    assert len(glob.glob(f"{local(path)}/k=hot/chunk=*/*.txt")) == 4
+    assert len(glob.glob(f"{local(path)}/k=cold/chunk=*/*.txt")) == 2
