@@ -65,6 +65,14 @@ def duplicate_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
+def path_collisions(reg_with_paths: DataFrame, path: str = "path", name: str = "n") -> DataFrame:
+    """QLT-7 / D5: release paths have second precision while ``created`` has microseconds,
+    so distinct keys can share a path.  Paths used by more than one entry."""
+    return (reg_with_paths.groupBy(path).agg(F.count(F.lit(1)).alias(name),
+                                             F.count_distinct("created").alias("n_keys"))
+            .where(F.col(name) > 1))
+
+
 def all_violations(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

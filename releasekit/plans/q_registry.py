@@ -278,6 +278,23 @@ def qlt_formats(spark, sf):
     return Q.format_violations(f, F.col("names"), F.concat_ws("/", "artifact", "version")).select("key", "rule")
 
 
+@query("qlt_path_collisions", f"""
+WITH {REL},
+r AS (SELECT * FROM releases
+      UNION ALL
+      SELECT source, storage, artifact, version, created + INTERVAL 250 MILLISECOND, nrow FROM releases WHERE version LIKE 'v2000-%'),
+p AS (SELECT created, source || '/' || artifact || '/' || version || '/' || strftime(created, '%Y%m%dT%H%M%S') || '/data.parquet' AS path FROM r)
+SELECT path, count(*) AS n, count(DISTINCT created) AS n_keys FROM p GROUP BY path HAVING count(*) > 1
+""")
+def qlt_path_collisions(spark, sf):
+    """D5: a re-collection 250 ms later is a new key but lands on the same path."""
+    rel = D.releases(spark, sf)
+    again = (rel.where(F.col("version").startswith("v2000-"))
+                .withColumn("created", F.col("created") + F.expr("INTERVAL 250 MILLISECONDS")))
+    reg = R.with_paths(D.registry(spark, sf, rel.unionByName(again)))
+    return Q.path_collisions(reg)
+
+
 # ---------------------------------------------------------------- comparison (CMP)
 
 

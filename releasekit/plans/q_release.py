@@ -203,13 +203,16 @@ def snk_parquet_repartition(spark, sf):
     return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+VERSION_ROWS_PER_FILE = 1_000_000
+
+
 @query("snk_versioned_layout", """
 SELECT 'v' || strftime(o_orderdate, '%Y-%m') AS version, count(*) AS n FROM orders GROUP BY 1
 """)
 def snk_versioned_layout(spark, sf):
     root = scratch_path(spark, "versioned")
     o = table(spark, sf, "orders").withColumn("version", C.version_from_ts("o_orderdate", "month"))
-    write_versioned(o, f"{root}/orders/orders")
+    write_versioned(o, f"{root}/orders/orders", rows_per_file=VERSION_ROWS_PER_FILE)
     back = spark.read.parquet(f"{root}/orders/orders")
     return back.groupBy(F.col("version").cast("string").alias("version")).agg(F.count(F.lit(1)).alias("n"))
 
