@@ -1,4 +1,4 @@
-"""Readers for the dump shapes public data sources ship (SRC-1..9).
+"""Readers for the dump shapes open data sources ship (SRC-1..9).
 
 Each reader returns a lazy DataFrame.  The only eager steps read a header line
 (one row) or list file names; no data row passes through the driver.

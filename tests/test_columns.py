@@ -91,10 +91,10 @@ def test_schema_rows_paths(spark):
 
 
 def test_resource_path_and_url(spark):
-    df = spark.sql("select 'gs' s, 'public-data-source' b, 'catalog' r, timestamp_ntz'2020-06-01 00:00:00' c")
+    df = spark.sql("select 'gs' s, 'release-bucket' b, 'catalog' r, timestamp_ntz'2020-06-01 00:00:00' c")
     rel = C.resource_relpath(F.lit("clinvar"), F.lit("submission_summary"), F.lit("v2020-06"), "c", F.lit("parquet"))
     r = df.select(rel.alias("p"), C.storage_url("s", "b", "r", rel).alias("u"),
                   C.storage_url(F.lit(None).cast("string"), F.lit(None).cast("string"), "r", rel).alias("local")).first()
     assert r.p == "clinvar/submission_summary/v2020-06/20200601T000000/data.parquet"
-    assert r.u == "gs://public-data-source/catalog/" + r.p
+    assert r.u == "gs://release-bucket/catalog/" + r.p
     assert r.local == "catalog/" + r.p

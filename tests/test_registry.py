@@ -29,7 +29,7 @@ def catalog(spark):
     df = df.withColumn("created", F.to_timestamp_ntz("created"))
     fmt = F.array(R.format_struct(F.lit("parquet"), F.col("type"), F.lit(True)))
     reg = R.build_entries(df, source="source", artifact="artifact", version="version", created="created",
-                          storage=F.lit("gcs"), scheme=F.lit("gs"), bucket=F.lit("public-data-source"),
+                          storage=F.lit("gcs"), scheme=F.lit("gs"), bucket=F.lit("release-bucket"),
                           root=F.lit("catalog"), formats=fmt,
                           metadata=F.create_map(F.lit("nrow"), F.col("nrow").cast("string")))
     numbered = reg.join(df.select("n", "source", "artifact", "version", "created"),
@@ -63,7 +63,7 @@ def test_unknown_entry_is_empty_and_read_raises(spark, catalog):
 def test_paths_and_urls(catalog):
     r = {x.n: x for x in R.with_paths(catalog).collect()}
     assert r[10].path == "gwas_catalog/gwas_catalog/v2020-07-28/20200728T164922/data.parquet"
-    assert r[1].url == "gs://public-data-source/catalog/clinvar/submission_summary/v2020-06/20200601T000000/data.parquet"
+    assert r[1].url == "gs://release-bucket/catalog/clinvar/submission_summary/v2020-06/20200601T000000/data.parquet"
 
 
 def test_sorted_order(catalog):
