@@ -41,7 +41,7 @@ def import_release(
     outcome, prof = publish(df, url, policy=policy, n_partitions=n_partitions)
     if prof is None:  # refused: the release already exists, keep its entry as is
         prof = WriteProfile(nrow=-1, non_null={}, schema=df.schema.treeString(), path=url)
-    meta = {"nrow": str(prof.nrow), "schema": prof.schema}
+    meta = {"nrow": str(prof.nrow), "schema": prof.schema, "schema_json": df.schema.json()}
     meta.update({f"non_null.{k}": str(v) for k, v in prof.non_null.items()})
     one = spark.range(1).select(
         F.lit(created.isoformat(" ")).cast("timestamp_ntz").alias("created"),

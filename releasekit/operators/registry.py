@@ -9,6 +9,7 @@ frames.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -218,9 +219,9 @@ def save_registry(reg: DataFrame, root: str) -> str:
 
 def load_registry(spark: SparkSession, root: str) -> DataFrame:
     """Newest registry version; a missing location is an empty registry."""
-    try:
-        spark.read.parquet(root).schema  # resolves the path eagerly
-    except AnalysisException:
+    from releasekit.session import path_exists
+
+    if not path_exists(spark, root):
         return empty_registry(spark)
     allv = spark.read.schema(T.StructType(REGISTRY_SCHEMA.fields + [T.StructField("rv", T.StringType())])).parquet(root)
     newest = allv.agg(F.max("rv")).scalar()
@@ -237,9 +238,27 @@ def resolve(reg: DataFrame, source: str, artifact: str, version: str | None = "l
     return hit[0].asDict(recursive=True)
 
 
+def recorded_schema(entry: dict) -> T.StructType | None:
+    """The schema frozen in the entry's metadata at import time, if any."""
+    raw = (entry.get("metadata") or {}).get("schema_json")
+    return T.StructType.fromJson(json.loads(raw)) if raw else None
+
+
 def read_release(spark: SparkSession, reg: DataFrame, source: str, artifact: str,
-                 version: str | None = "latest", fmt: str | None = None) -> DataFrame:
+                 version: str | None = "latest", fmt: str | None = None,
+                 enforce_schema: bool = True) -> DataFrame:
+    """Resolve an entry and read the requested format (D6: the requested one, not the
+    default).  The format's ``properties`` become reader options (delimiter,
+    compression, ...); for self-describing-less formats (csv, json) the recorded schema is
+    applied, so no inference pass runs and drift fails loudly instead of silently."""
     entry = resolve(reg, source, artifact, version)
     name = fmt or entry["default_format"]
+    if name not in (entry["resources"] or {}):
+        raise ValueError(f"entry has no {name!r} resource: {sorted(entry['resources'] or {})}")
     url = entry["resources"][name]
-    return spark.read.format(name).load(url)
+    props = next((f["properties"] for f in entry["formats"] or [] if f["name"] == name), None) or {}
+    reader = spark.read.format(name).options(**props)
+    schema = recorded_schema(entry) if enforce_schema and name not in ("parquet", "orc", "delta") else None
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(url)

@@ -293,7 +293,8 @@ def goal_stream_snapshot(spark, sf):
     root = scratch_path(spark, "stream")
     e.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(f"{root}/incoming")
     schema = T.StructType(e.schema.fields + [T.StructField("day", T.DateType())])
-    snapshot_stream(spark, f"{root}/incoming", schema, f"{root}/snapshots", f"{root}/_checkpoint")
+    snapshot_stream(spark, f"{root}/incoming", schema, f"{root}/snapshots", f"{root}/_checkpoint",
+                    registry_root=f"{root}/registry", source="events", artifact="daily")
     snaps = read_snapshots(spark, f"{root}/snapshots")
     return snaps.groupBy(F.col("version").cast("string").alias("version")).agg(F.count(F.lit(1)).alias("n"))
 

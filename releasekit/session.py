@@ -64,3 +64,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/releasekit-scratch/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (possibly remote) file system, without running a
+    query that fails.  Falls back to a read probe where the Hadoop API is unreachable
+    (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:
+        try:
+            spark.read.format("binaryFile").load(path).schema
+            return True
+        except Exception:
+            return False

@@ -15,10 +15,29 @@ from pyspark.sql import types as T
 from releasekit.functions.columns import version_from_ts
 
 
+def register_batch(spark: SparkSession, batch_out: DataFrame, batch_dir: str, registry_root: str,
+                   source: str, artifact: str, ts_col: str) -> None:
+    """Upsert one registry entry per version written by a batch.  ``created`` is the
+    newest event time of that version in the batch, so a replayed batch produces the same
+    keys and the upsert is idempotent.  The per-version summary is one row per version."""
+    from releasekit.operators import registry as R
+
+    per_version = batch_out.groupBy("version").agg(F.max(ts_col).alias("created"), F.count(F.lit(1)).alias("nrow"))
+    entries = R.build_entries(
+        per_version, source=F.lit(source), artifact=F.lit(artifact), version="version", created="created",
+        metadata=F.create_map(F.lit("nrow"), F.col("nrow").cast("string")),
+        resources=F.create_map(F.lit("parquet"), F.concat(F.lit(batch_dir + "/version="), F.col("version"))))
+    reg = R.load_registry(spark, registry_root)
+    R.save_registry(R.upsert(reg, entries), registry_root)
+
+
 def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
                     checkpoint_dir: str, ts_col: str = "ts", grain: str = "day",
-                    fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
-    """Run one availableNow pass; returns the number of batches processed."""
+                    fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                    registry_root: str | None = None, source: str = "stream",
+                    artifact: str = "snapshot") -> int:
+    """Run one availableNow pass; returns the number of batches processed.  With
+    ``registry_root`` every written version is registered (REG-9 upsert)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -27,8 +46,10 @@ def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn("version", version_from_ts(ts_col, grain))
-        (out.write.mode("overwrite").partitionBy("version")
-            .parquet(f"{out_dir.rstrip('/')}/batch={batch_id}"))
+        batch_dir = f"{out_dir.rstrip('/')}/batch={batch_id}"
+        out.write.mode("overwrite").partitionBy("version").parquet(batch_dir)
+        if registry_root:
+            register_batch(spark, spark.read.parquet(batch_dir), batch_dir, registry_root, source, artifact, ts_col)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)

@@ -142,3 +142,23 @@ def test_save_load_roundtrip_and_missing(spark, catalog, scratch):
     R.save_registry(catalog.drop("n"), root)
     R.save_registry(catalog.drop("n").limit(2), root)
     assert R.load_registry(spark, root).count() == 2  # newest registry version wins
+
+
+def test_read_release_uses_format_properties_and_recorded_schema(spark, scratch):
+    import datetime as dt
+    from pyspark.sql import types as T
+    root = scratch("props")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    df.write.csv(f"{root}/data.csv", sep="|", header=True)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    one = spark.range(1).select(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created"))
+    reg = R.build_entries(
+        one, source=F.lit("s"), artifact=F.lit("a"), version=F.lit("v1"), created="created",
+        formats=F.array(R.format_struct(F.lit("csv"), F.lit("directory"), F.lit(True),
+                                        F.create_map(F.lit("sep"), F.lit("|"), F.lit("header"), F.lit("true")))),
+        metadata=F.create_map(F.lit("schema_json"), F.lit(schema.json())),
+        resources=F.create_map(F.lit("csv"), F.lit(f"{root}/data.csv")))
+    back = R.read_release(spark, reg, "s", "a", "latest")
+    assert back.schema == schema and sorted(tuple(r) for r in back.collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        R.read_release(spark, reg, "s", "a", "latest", fmt="parquet")

@@ -11,11 +11,17 @@ def test_snapshot_equals_batch_and_is_exactly_once(spark, scratch):
     root = scratch("stream")
     e.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{root}/in")
     schema = T.StructType(e.schema.fields + [T.StructField("day", T.DateType())])
-    n1 = snapshot_stream(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt")
+    n1 = snapshot_stream(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", registry_root=f"{root}/reg")
     assert n1 >= 1
     snap = read_snapshots(spark, f"{root}/out")
     batch = e.groupBy(F.concat(F.lit("v"), F.date_format("ts", "yyyy-MM-dd")).alias("version")).count()
     got = snap.groupBy(F.col("version").cast("string").alias("version")).count()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
-    n2 = snapshot_stream(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt")
+    n2 = snapshot_stream(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", registry_root=f"{root}/reg")
     assert n2 == 0 and read_snapshots(spark, f"{root}/out").count() == e.count()
+    from releasekit.operators import registry as R
+    reg = R.load_registry(spark, f"{root}/reg")
+    assert reg.count() == batch.count()  # one entry per version
+    day = batch.orderBy("version").first()["version"]
+    back = R.read_release(spark, reg, "stream", "snapshot", day)
+    assert back.count() == batch.where(F.col("version") == day).first()["count"]
