@@ -62,17 +62,17 @@ def read_preamble_tsv(
 
 def _drop_leading_lines(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # A file's first split (block start 0) holds its first lines, in order.
+        # A file's first split (block start 0) holds its first lines, in arrival order;
+        # positions are counted per file across the batches of this task (vectorised).
         seen: dict[str, int] = {}
         for pdf in batches:
-            keep = []
-            for fp, start in zip(pdf["fp"], pdf["start"]):
-                if start != 0:
-                    keep.append(True)
-                    continue
-                k = seen.get(fp, 0)
-                seen[fp] = k + 1
-                keep.append(k >= n)
+            first = pdf["start"] == 0
+            fp = pdf.loc[first, "fp"]
+            pos = fp.groupby(fp, sort=False).cumcount() + fp.map(seen).fillna(0).astype("int64")
+            keep = ~first
+            keep.loc[first] = pos >= n
+            for f, c in fp.value_counts(sort=False).items():
+                seen[f] = seen.get(f, 0) + int(c)
             yield pdf.loc[keep, ["value"]]
     return run
 

@@ -150,3 +150,18 @@ def test_dump_chunks_sized_per_key(spark, scratch):
     dumps.write_delimited_dump(df, path, sep="\t", header="#v", partition_by="k", rows_per_file=500)
     assert len(glob.glob(f"{local(path)}/k=hot/chunk=*/*.txt")) == 4
     assert len(glob.glob(f"{local(path)}/k=cold/chunk=*/*.txt")) == 2
+
+
+def test_skip_lines_across_arrow_batches(spark, scratch):
+    from pyspark.sql import types as T
+    d = local(scratch("plain_batches"))
+    os.makedirs(d)
+    with gzip.open(f"{d}/a.txt.gz", "wt") as f:
+        f.write("".join(f"junk {i}\n" for i in range(5)) + "".join(f"{i}\tv{i}\n" for i in range(7)))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = sorted(tuple(r) for r in readers.read_skip_lines(spark, d, 5, schema).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(i, f"v{i}") for i in range(7)]
