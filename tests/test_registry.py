@@ -162,3 +162,11 @@ def test_read_release_uses_format_properties_and_recorded_schema(spark, scratch)
     assert back.schema == schema and sorted(tuple(r) for r in back.collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         R.read_release(spark, reg, "s", "a", "latest", fmt="parquet")
+
+
+def test_created_defaults_to_midnight_today(spark):
+    one = spark.range(1).select(F.lit(None).cast("timestamp_ntz").alias("created"))
+    e = R.build_entries(one, source=F.lit("s"), artifact=F.lit("a"), version=F.lit("v1"), created="created").first()
+    today = dt.datetime.now().date()
+    assert e.created.time() == dt.time(0, 0) and abs((e.created.date() - today).days) <= 1
+    assert e.storage == "local" and e.formats[0].name == "parquet" and e.resources["parquet"].startswith("s/a/v1/")

@@ -165,3 +165,17 @@ def test_skip_lines_across_arrow_batches(spark, scratch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == [(i, f"v{i}") for i in range(7)]
+
+
+def test_chunks_with_embedded_line_feeds(spark, scratch):
+    from pyspark.sql import types as T
+    d = local(scratch("mgrel"))
+    os.makedirs(d)
+    with gzip.open(f"{d}/MGREL_1.csv.gz", "wt") as f:
+        f.write('C1,A1,"line one\nline two",OMIM\nC2,A2,plain,HPO\n')
+    with gzip.open(f"{d}/MGREL_2.csv.gz", "wt") as f:
+        f.write('C3,A3,x,ORDO\n')
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("CUI1", "AUI1", "REL", "SAB")])
+    df = readers.read_chunks(spark, d, schema, multi_line=True)
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == [("C1", "A1", "line one\nline two", "OMIM"), ("C2", "A2", "plain", "HPO"), ("C3", "A3", "x", "ORDO")]
