@@ -23,6 +23,13 @@ def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def spread(df: DataFrame, n: int | None) -> DataFrame:
+    """gzip text is not splittable: one task per file.  For a few large files, spread the
+    rows over ``n`` partitions straight after the read so downstream stages (and AQE skew
+    splitting, which works along map outputs) have many tasks.  Round-robin: no key skew."""
+    return df.repartition(n) if n else df
+
+
 def _files(spark: SparkSession):
     """A dump directory is a bag of files (possibly nested): no partition inference."""
     return spark.read.option("recursiveFileLookup", "true")
@@ -44,6 +51,7 @@ def read_preamble_tsv(
     sep: str = "\t",
     header_mark: str = "#",
     preamble_mark: str = "##",
+    spread_to: int | None = None,
 ) -> DataFrame:
     """Delimited dump whose preamble lines start with ``preamble_mark`` and whose header
     line starts with a single ``header_mark`` (``#VariationID<tab>...``).
@@ -57,7 +65,8 @@ def read_preamble_tsv(
             spark, path, F.col("value").startswith(header_mark) & ~F.col("value").startswith(preamble_mark)
         )
         schema = string_schema(line[len(header_mark):].split(sep))
-    return _files(spark).schema(schema).csv(path, sep=sep, comment=header_mark[0], header=False, mode="PERMISSIVE")
+    return spread(_files(spark).schema(schema).csv(path, sep=sep, comment=header_mark[0], header=False,
+                                                   mode="PERMISSIVE"), spread_to)
 
 
 def _drop_leading_lines(n: int):
@@ -105,6 +114,7 @@ def read_delimited(
     schema: T.StructType | None = None,
     multi_line: bool = False,
     recursive: bool = False,
+    spread_to: int | None = None,
 ) -> DataFrame:
     """Delimited text; without a schema every column stays a string (no inference pass)."""
     r = spark.read.option("sep", sep).option("header", header).option("multiLine", multi_line)
@@ -112,14 +122,14 @@ def read_delimited(
         r = r.option("recursiveFileLookup", "true")
     if schema is not None:
         r = r.schema(schema)
-    return r.csv(path)
+    return spread(r.csv(path), spread_to)
 
 
 def read_chunks(spark: SparkSession, directory: str, schema: T.StructType, sep: str = ",",
-                multi_line: bool = False) -> DataFrame:
+                multi_line: bool = False, spread_to: int | None = None) -> DataFrame:
     """Directory of headerless numbered chunks read as one table (SRC-5)."""
     return read_delimited(spark, directory, sep=sep, header=False, schema=schema,
-                          multi_line=multi_line, recursive=True)
+                          multi_line=multi_line, recursive=True, spread_to=spread_to)
 
 
 # --- SRC-3: pipe file with '#' header and trailing delimiter -------------------------------
@@ -194,7 +204,7 @@ def require_chunks(spark: SparkSession, directory: str, pattern: str) -> int:
 # --- SRC-7 / SRC-8: JSON ------------------------------------------------------------------
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                    sampling_ratio: float = 1.0) -> DataFrame:
+                    sampling_ratio: float = 1.0, spread_to: int | None = None) -> DataFrame:
     """JSON lines (gz or not).  Inference widens conflicting scalars to string and puts
     unparsable lines into ``_corrupt_record``; pass a recorded schema to skip the
     inference pass on re-runs."""
@@ -203,7 +213,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None
         r = r.schema(schema)
     else:
         r = r.option("samplingRatio", sampling_ratio)
-    return r.json(path)
+    return spread(r.json(path), spread_to)
 
 
 def valid_records(df: DataFrame) -> DataFrame:

@@ -179,3 +179,16 @@ def test_chunks_with_embedded_line_feeds(spark, scratch):
     df = readers.read_chunks(spark, d, schema, multi_line=True)
     got = sorted(tuple(r) for r in df.collect())
     assert got == [("C1", "A1", "line one\nline two", "OMIM"), ("C2", "A2", "plain", "HPO"), ("C3", "A3", "x", "ORDO")]
+
+
+def test_spread_after_unsplittable_read(spark, scratch):
+    s = spark.read.parquet(f"{SF}/supplier.parquet")
+    path = local(scratch("spread"))
+    os.makedirs(path)
+    with gzip.open(f"{path}/supplier.tsv.gz", "wt") as f:  # one large unsplittable file
+        for r in s.collect():
+            f.write("\t".join(str(v) for v in r) + "\n")
+    one = readers.read_delimited(spark, path, header=False, schema=s.schema)
+    many = readers.read_delimited(spark, path, header=False, schema=s.schema, spread_to=6)
+    assert one.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 6
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, s.collect()))
