@@ -46,34 +46,25 @@ def release_keys_by(df: DataFrame, key: str, old, new) -> DataFrame:
     return side_counts(overlap_sides_by(df, key, old, new))
 
 
-def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    if a == b:
-        return a
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-    if isinstance(a, numeric) and isinstance(b, numeric):
-        return T.DoubleType()
-    if isinstance(a, T.StringType) and isinstance(b, numeric):
-        return b
-    if isinstance(b, T.StringType) and isinstance(a, numeric):
-        return a
-    return T.StringType()
-
-
-def union_releases(*frames: DataFrame) -> DataFrame:
-    """CMP-5: union of releases whose columns drifted.  Each column is ``try_cast`` to a
-    common type first (a non-numeric string like ``NR`` becomes null instead of failing
-    the job under ANSI), missing columns are filled with nulls."""
-    types: dict[str, T.DataType] = {}
+def union_releases(*frames: DataFrame, types: dict[str, T.DataType] | None = None) -> DataFrame:
+    """CMP-5: union of releases whose columns drifted, oldest first.
+
+    Each column takes the type it has in the NEWEST release that carries it (drift goes
+    toward the new schema, e.g. ``odds_ratio`` string -> double), unless ``types`` names
+    one.  Older values are ``try_cast``: a non-numeric string like ``NR`` becomes null
+    instead of failing the job under ANSI; no row is dropped.  Missing columns are null."""
+    target: dict[str, T.DataType] = {}
     for f in frames:
         for fld in f.schema.fields:
-            types[fld.name] = _common_type(types[fld.name], fld.dataType) if fld.name in types else fld.dataType
+            target[fld.name] = fld.dataType
+    target.update(types or {})
     aligned = []
     for f in frames:
         cols = []
-        for name in types:
+        for name, dt in target.items():
             if name in f.columns:
-                cols.append(F.col(f"`{name}`").try_cast(types[name]).alias(name))
+                cols.append(F.col(f"`{name}`").try_cast(dt).alias(name))
             else:
-                cols.append(F.lit(None).cast(types[name]).alias(name))
+                cols.append(F.lit(None).cast(dt).alias(name))
         aligned.append(f.select(*cols))
     return reduce(lambda a, b: a.unionByName(b), aligned)

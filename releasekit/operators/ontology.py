@@ -14,21 +14,28 @@ from releasekit.session import ensure_checkpoint_dir
 
 
 def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
-                max_rounds: int = 64) -> DataFrame:
-    """All (ancestor, descendant, depth) pairs; depth = shortest distance.  Cycles are
-    fine; ``max_rounds`` bounds the loop (it fails loudly rather than truncating).
+                max_rounds: int | None = None) -> DataFrame:
+    """All (ancestor, descendant, depth) pairs; depth = shortest distance.
+
+    The loop always ends: every round adds only pairs not seen before (the anti join also
+    makes cycles finish) and pairs are finite; it runs as many rounds as the longest
+    shortest path.  ``max_rounds`` is an optional guard that fails loudly, never truncates.
 
     Each round's new pairs are checkpointed once; the closure is the union of those
-    pieces, so no round rewrites what earlier rounds already stored."""
+    pieces, so no round rewrites what earlier rounds already stored.  A pair first found
+    in round k is at shortest distance k (breadth-first from every node at once)."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     e = (edges.select(F.col(parent).alias("a"), F.col(child).alias("d"))
               .where("a is not null and d is not null").distinct().checkpoint())
     step = e.select(F.col("a").alias("mid"), F.col("d").alias("next"))
     frontier = e.select("a", "d", F.lit(1).alias("depth")).where("a <> d").checkpoint()
-    pieces = [frontier]
     known = frontier
-    for _ in range(max_rounds):
+    rounds = 0
+    while True:
+        rounds += 1
+        if max_rounds is not None and rounds > max_rounds:
+            raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
         nxt = (frontier.join(step, frontier["d"] == step["mid"])
                .select(F.col("a"), F.col("next").alias("d"), (F.col("depth") + 1).alias("depth"))
                .where("a <> d")
@@ -37,11 +44,8 @@ def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
                .checkpoint())
         if nxt.isEmpty():
             break
-        pieces.append(nxt)
         known = known.unionByName(nxt)
         frontier = nxt
-    else:
-        raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
     return known.select(F.col("a").alias("ancestor"), F.col("d").alias("descendant"), "depth")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -212,7 +213,7 @@ def with_position(reg: DataFrame, order: list[str] = KEY, name: str = "position"
 def save_registry(reg: DataFrame, root: str) -> str:
     """Append a new registry version (``rv=<utc micros>``) instead of rewriting the path a
     reader may be using (D16).  Returns the version written."""
-    rv = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    rv = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
     reg.withColumn("rv", F.lit(rv)).write.mode("append").partitionBy("rv").parquet(root)
     return rv
 

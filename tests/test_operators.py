@@ -196,3 +196,11 @@ def test_crosswalk_keeps_sources(spark):
                                 "disease string, concept string, sab string")
     got = rows(ON.crosswalk(classes, mapping, rel, term="term", concept="concept", subject="disease", source="sab"))
     assert got == [("D1", "dominant", "HPO,OMIM"), ("D2", "recessive", "ORDO")]
+
+
+def test_union_releases_follows_newest_type(spark):
+    old = spark.createDataFrame([(1, 5)], "k bigint, n int")
+    new = spark.createDataFrame([(2, "1.5")], "k bigint, n string")
+    assert rows(CMP.union_releases(old, new)) == [(1, "5"), (2, "1.5")]
+    from pyspark.sql import types as T
+    assert rows(CMP.union_releases(old, new, types={"n": T.DoubleType()})) == [(1, 5.0), (2, 1.5)]
