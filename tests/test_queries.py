@@ -80,3 +80,16 @@ def test_pushdown_and_pruning(spark):
     # the nested path query never touches lineitem: the evidence codes join is pruned away
     p = _plan(QUERIES["agg_group_count"](spark, SF))
     assert "lineitem" not in p
+
+
+def test_nested_paths_pruned_to_the_leaf(spark, scratch):
+    from pyspark.sql import functions as F
+    from releasekit.plans import derived as D
+
+    path = scratch("evidence")
+    D.evidence(spark, SF).write.parquet(path)
+    df = spark.read.parquet(path).select(F.col("evidence.ref.url"), F.col("target.segment"))
+    p = _plan(df)
+    assert "ReadSchema: struct<target:struct<segment:string>,evidence:struct<ref:struct<url:string>>>" in p
+    flt = spark.read.parquet(path).where(F.col("evidence.ref.id") == "1_urgent").select("orderkey")
+    assert "IsNotNull(evidence.ref.id), EqualTo(evidence.ref.id,1_urgent)" in _plan(flt)
