@@ -66,12 +66,24 @@ def expand_map(df: DataFrame, column: str, sep: str = "_") -> DataFrame:
 
 def to_flat(df: DataFrame, sep: str = "_") -> DataFrame:
     """PRJ-3 + PRJ-4 (REG-13): nested structs and maps flattened to ``sep``-joined columns,
-    then columns that are null in every row dropped.  Arrays stay arrays."""
+    then columns that are null in every row dropped.  Arrays stay arrays.
+
+    One aggregation pass finds both the map keys and which columns hold values: a map
+    key's column is all-null exactly when no row has a non-null value for that key, so
+    only keys of ``map_filter(m, v is not null)`` become columns.  Key sets are
+    vocabularies (format names, metadata fields), not data-sized."""
     flat = flatten(df, sep)
-    for f in flat.schema.fields:
-        if isinstance(f.dataType, T.MapType):
-            flat = expand_map(flat, f.name, sep)
-    return drop_empty_columns(flat)
+    maps = [f.name for f in flat.schema.fields if isinstance(f.dataType, T.MapType)]
+    plain = [c for c in flat.columns if c not in maps]
+    aggs = [F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(plain)]
+    aggs += [F.array_distinct(F.flatten(F.collect_set(F.map_keys(
+        F.map_filter(F.col(f"`{m}`"), lambda k, v: v.isNotNull()))))).alias(f"m{j}") for j, m in enumerate(maps)]
+    got = flat.agg(*aggs).first()
+    cols = [F.col(f"`{c}`") for i, c in enumerate(plain) if got[f"c{i}"] > 0]
+    for j, m in enumerate(maps):
+        for k in sorted(x for x in (got[f"m{j}"] or []) if x is not None):
+            cols.append(F.col(f"`{m}`")[k].alias(f"{m}{sep}{k}"))
+    return flat.select(*cols)
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

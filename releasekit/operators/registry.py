@@ -163,12 +163,13 @@ def duplicates_of(new: DataFrame, base: DataFrame, keys: list[str]) -> DataFrame
 
 def insert_strict(base: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """REG-8: union, but a key already present (or repeated in ``new``) is an error."""
-    clash = duplicates_of(new, base, keys).select(*keys).limit(1).collect()
-    if clash:
-        raise ValueError(f"entry already exists: {clash[0].asDict()}")
-    rep = new.groupBy(*keys).count().where("count > 1").limit(1).collect()
-    if rep:
-        raise ValueError(f"entry repeated in insert: {rep[0].asDict()}")
+    # both probes in one job: keys already in base, and keys repeated within new
+    clash = duplicates_of(new, base, keys).select(*keys, F.lit("already exists").alias("__why"))
+    rep = new.groupBy(*keys).count().where("count > 1").select(*keys, F.lit("repeated in insert").alias("__why"))
+    bad = clash.unionByName(rep).limit(1).collect()
+    if bad:
+        row = bad[0].asDict()
+        raise ValueError(f"entry {row.pop('__why')}: {row}")
     return base.unionByName(new)
 
 

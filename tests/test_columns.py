@@ -98,3 +98,13 @@ def test_resource_path_and_url(spark):
     assert r.p == "clinvar/submission_summary/v2020-06/20200601T000000/data.parquet"
     assert r.u == "gs://release-bucket/catalog/" + r.p
     assert r.local == "catalog/" + r.p
+
+
+def test_to_flat_expands_maps_and_drops_empty(spark):
+    from releasekit.functions.schema import to_flat
+    df = spark.createDataFrame(
+        [(1, {"parquet": "p1", "csv": None}, None), (2, {"parquet": "p2"}, None)],
+        "id int, resources map<string,string>, note string")
+    flat = to_flat(df)
+    assert flat.columns == ["id", "resources_parquet"]
+    assert sorted(tuple(r) for r in flat.collect()) == [(1, "p1"), (2, "p2")]
