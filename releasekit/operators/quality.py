@@ -65,6 +65,16 @@ def duplicate_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
+def release_violations(df: DataFrame, path_col: str, pattern: str | None = None,
+                       rule: str = "missing_release") -> DataFrame:
+    """SCL-6 strict side (D14): every dump file name must carry its release period; the
+    violation row names the file."""
+    from releasekit.functions.columns import release_from_path
+
+    rel = release_from_path(path_col) if pattern is None else release_from_path(path_col, pattern)
+    return violations(df, rule, rel.isNull(), path_col, path_col)
+
+
 def path_collisions(reg_with_paths: DataFrame, path: str = "path", name: str = "n") -> DataFrame:
     """QLT-7 / D5: release paths have second precision while ``created`` has microseconds,
     so distinct keys can share a path.  Paths used by more than one entry."""

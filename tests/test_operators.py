@@ -204,3 +204,24 @@ def test_union_releases_follows_newest_type(spark):
     assert rows(CMP.union_releases(old, new)) == [(1, "5"), (2, "1.5")]
     from pyspark.sql import types as T
     assert rows(CMP.union_releases(old, new, types={"n": T.DoubleType()})) == [(1, 5.0), (2, 1.5)]
+
+
+def test_release_violations_name_the_file(spark):
+    df = spark.createDataFrame([("/d/submission_summary_2020-06.txt.gz",), ("/d/submission_summary.txt.gz",)], "p string")
+    v = Q.release_violations(df, "p").collect()
+    assert [(r.rule, r.key) for r in v] == [("missing_release", "/d/submission_summary.txt.gz")]
+    with pytest.raises(ValueError, match="submission_summary.txt.gz"):
+        Q.fail(Q.release_violations(df, "p"))
+
+
+def test_path_collisions_seconds_vs_microseconds(spark):
+    import datetime as dt
+    from releasekit.operators import registry as R
+    df = spark.createDataFrame([("s", "a", "v1", dt.datetime(2020, 7, 28, 16, 49, 22, 839928)),
+                                ("s", "a", "v1", dt.datetime(2020, 7, 28, 16, 49, 22, 100)),
+                                ("s", "a", "v2", dt.datetime(2020, 7, 28, 16, 49, 22))],
+                               "source string, artifact string, version string, created timestamp_ntz")
+    reg = R.with_paths(R.build_entries(df, source="source", artifact="artifact", version="version", created="created"))
+    got = Q.path_collisions(reg).collect()
+    assert len(got) == 1 and got[0].n == 2 and got[0].n_keys == 2
+    assert got[0].path == "s/a/v1/20200728T164922/data.parquet"
