@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions.columns import version_from_ts
+from releasekit.sources.writers import write_versioned
 
 
 def register_batch(spark: SparkSession, batch_out: DataFrame, batch_dir: str, registry_root: str,
@@ -35,7 +36,7 @@ def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
                     checkpoint_dir: str, ts_col: str = "ts", grain: str = "day",
                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
                     registry_root: str | None = None, source: str = "stream",
-                    artifact: str = "snapshot") -> int:
+                    artifact: str = "snapshot", rows_per_file: int | None = 1_000_000) -> int:
     """Run one availableNow pass; returns the number of batches processed.  With
     ``registry_root`` every written version is registered (REG-9 upsert)."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -47,7 +48,7 @@ def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn("version", version_from_ts(ts_col, grain))
         batch_dir = f"{out_dir.rstrip('/')}/batch={batch_id}"
-        out.write.mode("overwrite").partitionBy("version").parquet(batch_dir)
+        write_versioned(out, batch_dir, "version", rows_per_file=rows_per_file)
         if registry_root:
             register_batch(spark, spark.read.parquet(batch_dir), batch_dir, registry_root, source, artifact, ts_col)
         batches.append(batch_id)
