@@ -192,3 +192,15 @@ def test_spread_after_unsplittable_read(spark, scratch):
     many = readers.read_delimited(spark, path, header=False, schema=s.schema, spread_to=6)
     assert one.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 6
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, s.collect()))
+
+
+def test_versioned_layout_prunes_partitions(spark, scratch):
+    from releasekit.functions import columns as C
+    from releasekit.sources.writers import write_versioned
+    o = spark.read.parquet(f"{SF}/orders.parquet").withColumn("version", C.version_from_ts("o_orderdate", "month"))
+    root = scratch("versions")
+    write_versioned(o, root, rows_per_file=1000)
+    one = spark.read.parquet(root).where(F.col("version") == "v1998-03")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan and "(version" in plan
+    assert one.count() == o.where(F.col("version") == "v1998-03").count()
