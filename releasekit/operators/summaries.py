@@ -6,6 +6,8 @@ built with ``collect_set`` on bounded vocabularies only (terms, flags, sources).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +45,15 @@ def array_frequency(df: DataFrame, array_col: str, name: str = "value", count_na
               .groupBy(name).agg(F.count(F.lit(1)).alias(count_name)))
 
 
-def distinct_per_group(df: DataFrame, key: str, value: str, name: str = "n", drop_null_keys: bool = True) -> DataFrame:
-    """AGG-7: distinct values per key (pandas ``nunique``: null keys and values ignored)."""
+def distinct_per_group(df: DataFrame, key: str, value: str, name: str = "n", drop_null_keys: bool = True,
+                       approx: float | None = None) -> DataFrame:
+    """AGG-7: distinct values per key (pandas ``nunique``: null keys and values ignored).
+
+    Exact by default.  ``approx=<relative error>`` opts into HyperLogLog++ sketches, which
+    merge map-side, so per-key state stays fixed-size however many values a hot key has."""
     src = df.where(F.col(key).isNotNull()) if drop_null_keys else df
-    return src.groupBy(key).agg(F.count_distinct(value).alias(name))
+    agg = F.approx_count_distinct(value, approx) if approx else F.count_distinct(value)
+    return src.groupBy(key).agg(agg.alias(name))
 
 
 def count_of_counts(per_group: DataFrame, count_col: str = "n", name: str = "n_keys") -> DataFrame:
@@ -96,8 +103,14 @@ def column_profile(df: DataFrame) -> DataFrame:
     return wide.select(rows.alias("r"), F.col("__nrow").alias("nrow")).select("r.*", "nrow")
 
 
-def distinct_combinations(df: DataFrame, keys: list[str], cols: list[str], name: str = "n") -> DataFrame:
-    """AGG-15: exact distinct (c1, c2, ...) tuples per key."""
+def distinct_combinations(df: DataFrame, keys: list[str], cols: list[str], name: str = "n",
+                          approx: float | None = None) -> DataFrame:
+    """AGG-15: distinct (c1, c2, ...) tuples per key; exact unless ``approx`` (relative
+    error) opts into a sketch.  Tuples with a null member are not counted in either mode."""
+    if approx:
+        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+        complete = F.when(~any_null, F.struct(*cols))
+        return df.groupBy(*keys).agg(F.approx_count_distinct(complete, approx).alias(name))
     return df.groupBy(*keys).agg(F.count_distinct(*cols).alias(name))
 
 

@@ -225,3 +225,14 @@ def test_path_collisions_seconds_vs_microseconds(spark):
     got = Q.path_collisions(reg).collect()
     assert len(got) == 1 and got[0].n == 2 and got[0].n_keys == 2
     assert got[0].path == "s/a/v1/20200728T164922/data.parquet"
+
+
+def test_approx_distinct_opt_in(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    exact = dict(A.distinct_per_group(li, "l_returnflag", "l_partkey").collect())
+    approx = dict(A.distinct_per_group(li, "l_returnflag", "l_partkey", approx=0.02).collect())
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.08 * exact[k] for k in exact)
+    e2 = dict(A.distinct_combinations(li, ["l_returnflag"], ["l_partkey", "l_suppkey"]).collect())
+    a2 = dict(A.distinct_combinations(li, ["l_returnflag"], ["l_partkey", "l_suppkey"], approx=0.02).collect())
+    assert all(abs(a2[k] - e2[k]) <= 0.08 * e2[k] for k in e2)
