@@ -307,6 +307,15 @@ def _drifted_orders(spark, sf):
                     "o_orderdate", meta.alias("meta"))
 
 
+def _inferred(spark, df, label):
+    """A release as shipped (JSON lines) and its schema as inferred from all of its data."""
+    from releasekit.sources import readers
+
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
+    return readers.read_json_lines(spark, path)
+
+
 @query("cmp_schema_diff", """
 SELECT * FROM (VALUES
   ('o_totalprice', 'double', 'string', 'changed'),
@@ -319,7 +328,11 @@ SELECT * FROM (VALUES
   ('meta.tags[]', NULL, 'string', 'added')) AS t(path, old, new, change)
 """)
 def cmp_schema_diff(spark, sf):
-    return CMP.schema_diff(spark, table(spark, sf, "orders"), _drifted_orders(spark, sf))
+    """CMP-1/2: both releases are published as JSON lines and their schemas inferred by
+    Spark (a full pass over each, as when a release is imported), then diffed."""
+    old = _inferred(spark, table(spark, sf, "orders"), "schema_old")
+    new = _inferred(spark, _drifted_orders(spark, sf), "schema_new")
+    return CMP.schema_diff(spark, old, new)
 
 
 @query("cmp_release_counts", """
