@@ -66,14 +66,28 @@ def entity_sources(frames: dict[str, DataFrame], key: str, name: str = "sources"
               .agg(F.array_join(F.array_sort(F.collect_set("__src")), ",").alias(name)))
 
 
+def crosswalk_concepts(term_classes: DataFrame, mapping: DataFrame, *, term: str, concept: str,
+                       cls: str = "class") -> DataFrame:
+    """Terms chosen by class -> concepts.  The mapping repeats a (term, concept) pair per
+    semantic type, so it is de-duplicated first.  Small: one row per (concept, class)."""
+    m = mapping.select(term, concept).distinct()
+    return term_classes.select(term, cls).join(m, term).select(concept, cls).distinct()
+
+
 def crosswalk(term_classes: DataFrame, mapping: DataFrame, relations: DataFrame, *,
               term: str, concept: str, subject: str, source: str, cls: str = "class",
-              name: str = "sources") -> DataFrame:
-    """JOI-4: terms chosen by class -> concepts (mapping de-duplicated first, it repeats a
-    pair per semantic type) -> relations of subjects to those concepts, keeping the set
-    of sources that assert each (subject, class)."""
-    m = mapping.select(term, concept).distinct()
-    concepts = term_classes.select(term, cls).join(m, term).select(concept, cls).distinct()
-    hits = relations.select(subject, concept, source).join(concepts, concept)
+              name: str = "sources", subject_map: DataFrame | None = None, via: str | None = None) -> DataFrame:
+    """JOI-4: terms chosen by class -> concepts -> relations of subjects to those concepts,
+    keeping the set of sources that assert each (subject, class).
+
+    The selective step runs first: relations are cut to the chosen concepts before
+    anything else joins them.  When the relation carries an intermediate id (``via``,
+    e.g. an order) rather than the subject, ``subject_map`` (via -> subject) is joined
+    only to the surviving rows."""
+    concepts = crosswalk_concepts(term_classes, mapping, term=term, concept=concept, cls=cls)
+    key = via or subject
+    hits = relations.select(key, concept, source).join(concepts, concept)
+    if subject_map is not None:
+        hits = hits.join(subject_map.select(via, subject), via)
     return (hits.groupBy(subject, cls)
                 .agg(F.array_join(F.array_sort(F.collect_set(F.col(source).cast("string"))), ",").alias(name)))

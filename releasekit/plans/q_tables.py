@@ -406,10 +406,12 @@ def joi_crosswalk_sources(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    rel = (li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(s, li["l_suppkey"] == s["s_suppkey"])
-             .select(F.col("o_custkey").alias("customer"), F.col("s_nationkey").alias("concept"),
-                     F.col("l_returnflag").alias("src")))
-    return ON.crosswalk(terms, mapping, rel, term="term", concept="concept", subject="customer", source="src")
+    # relations are keyed by order; the customer is joined only after the concept filter
+    rel = (li.join(s, li["l_suppkey"] == s["s_suppkey"])
+             .select("l_orderkey", F.col("s_nationkey").alias("concept"), F.col("l_returnflag").alias("src")))
+    cust = o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer"))
+    return ON.crosswalk(terms, mapping, rel, term="term", concept="concept", subject="customer", source="src",
+                        subject_map=cust, via="l_orderkey")
 
 
 # ---------------------------------------------------------------- quality over tables
