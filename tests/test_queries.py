@@ -79,7 +79,10 @@ def test_pushdown_and_pruning(spark):
     assert "GreaterThanOrEqual(l_shipdate" in p
     # the nested path query never touches lineitem: the evidence codes join is pruned away
     p = _plan(QUERIES["agg_group_count"](spark, SF))
-    assert "lineitem" not in p
+    assert "lineitem" not in p and "nation.parquet" not in p
+    # a query on the score alone scans one column of orders: every evidence join is pruned
+    p = _plan(QUERIES["agg_min_max"](spark, SF))
+    assert "Join" not in p and "ReadSchema: struct<o_totalprice:double>" in p
 
 
 def test_nested_paths_pruned_to_the_leaf(spark, scratch):
