@@ -181,7 +181,7 @@ def src_registry_flat_read(spark, sf):
     with_slug = o.withColumn("artifact", C.slugify("o_orderpriority"))
     # all priorities in one write: one directory per artifact, partition-pruned on read
     store = f"{root}/store/orders"
-    write_versioned(with_slug, store, "artifact", rows_per_file=VERSION_ROWS_PER_FILE)
+    write_versioned(with_slug, store, "artifact")
     arts = with_slug.select("artifact").distinct()
     reg = R.build_entries(arts, source=F.lit("orders"), artifact="artifact", version=F.lit("v1"),
                           created=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
@@ -291,8 +291,8 @@ SELECT 'v' || strftime(ts, '%Y-%m-%d') AS version, count(*) AS n FROM events GRO
 def goal_stream_snapshot(spark, sf):
     e = table(spark, sf, "events")
     root = scratch_path(spark, "stream")
-    write_versioned(e.withColumn("day", F.to_date("ts")), f"{root}/incoming", "day",
-                    rows_per_file=VERSION_ROWS_PER_FILE)
+    # test input for the stream: daily files as a producer would drop them
+    write_versioned(e.withColumn("day", F.to_date("ts")), f"{root}/incoming", "day")
     schema = T.StructType(e.schema.fields + [T.StructField("day", T.DateType())])
     snapshot_stream(spark, f"{root}/incoming", schema, f"{root}/snapshots", f"{root}/_checkpoint",
                     registry_root=f"{root}/registry", source="events", artifact="daily")
