@@ -204,3 +204,17 @@ def test_versioned_layout_prunes_partitions(spark, scratch):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(version" in plan and "(version" in plan
     assert one.count() == o.where(F.col("version") == "v1998-03").count()
+
+
+def test_clustered_versioned_write_bounds_files(spark, scratch):
+    import glob
+    from releasekit.sources.writers import write_versioned
+    df = spark.range(0, 4000).select(F.when(F.col("id") < 3000, F.lit("v2")).otherwise(F.lit("v1")).alias("version"),
+                                     F.col("id")).repartition(8)
+    plain, sized = scratch("plain"), scratch("sized")
+    write_versioned(df, plain)
+    write_versioned(df, sized, rows_per_file=1000)
+    count = lambda root, v: len(glob.glob(f"{local(root)}/version={v}/*.parquet"))
+    assert count(plain, "v2") == 8                        # one file per task per version
+    assert count(sized, "v2") <= 3 and count(sized, "v1") == 1   # ceil(rows / rows_per_file)
+    assert spark.read.parquet(sized).count() == 4000
