@@ -170,3 +170,22 @@ def test_created_defaults_to_midnight_today(spark):
     today = dt.datetime.now().date()
     assert e.created.time() == dt.time(0, 0) and abs((e.created.date() - today).days) <= 1
     assert e.storage == "local" and e.formats[0].name == "parquet" and e.resources["parquet"].startswith("s/a/v1/")
+
+
+def test_release_registry_workflow(spark, catalog, scratch):
+    from releasekit.operators.release_registry import ReleaseRegistry
+    root = scratch("rr")
+    reg = ReleaseRegistry(spark, root)
+    assert reg.entries.count() == 0
+    reg = reg.add(catalog.drop("n"))
+    reg.save()
+    again = ReleaseRegistry(spark, root)
+    assert again.entries.count() == 10
+    assert [r.created.day for r in again.find("otpev", "eva", "v20.04").collect()] == [27, 7]
+    assert again.latest().count() == 6
+    with pytest.raises(ValueError):
+        again.add(catalog.drop("n").limit(1))
+    upd = again.add(catalog.drop("n").limit(1), overwrite=True)
+    assert upd.entries.count() == 10
+    assert upd.remove(catalog.drop("n").where("source = 'otpev'")).entries.count() == 3
+    assert "resources_parquet" in again.flat().columns
