@@ -192,6 +192,32 @@ def src_registry_flat_read(spark, sf):
     return spark.read.parquet(url)
 
 
+@query("src_registry_json_read", """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def src_registry_json_read(spark, sf):
+    """SRC-7 + SRC-10: a JSON-lines release is registered with the schema recorded from
+    its one inference pass and its format properties; reading it back through the
+    registry applies the recorded schema, so no second inference pass runs."""
+    e = table(spark, sf, "events")
+    root = scratch_path(spark, "json_release")
+    url = f"{root}/store/events/json/v1/data.json"
+    nested = e.select("event_id", "event_type", F.from_json("props", "k bigint").alias("props"))
+    nested.write.mode("overwrite").option("compression", "gzip").json(url)
+    recorded = readers.read_json_lines(spark, url).schema  # the import's one inference pass
+    one = spark.range(1).select(F.lit("2024-01-30 00:00:00").cast("timestamp_ntz").alias("created"))
+    entry = R.build_entries(
+        one, source=F.lit("events"), artifact=F.lit("json"), version=F.lit("v1"), created="created",
+        formats=F.array(R.format_struct(F.lit("json"), F.lit("directory"), F.lit(True),
+                                        F.create_map(F.lit("compression"), F.lit("gzip"),
+                                                     F.lit("mode"), F.lit("FAILFAST")))),
+        metadata=F.create_map(F.lit("schema_json"), F.lit(recorded.json())),
+        resources=F.create_map(F.lit("json"), F.lit(url)))
+    R.save_registry(entry, f"{root}/registry")
+    back = R.read_release(spark, R.load_registry(spark, f"{root}/registry"), "events", "json", "latest")
+    return back.select("event_id", "event_type", F.col("props.k").alias("k"))
+
+
 # ---------------------------------------------------------------- sinks (SNK)
 
 
