@@ -189,3 +189,25 @@ def test_release_registry_workflow(spark, catalog, scratch):
     assert upd.entries.count() == 10
     assert upd.remove(catalog.drop("n").where("source = 'otpev'")).entries.count() == 3
     assert "resources_parquet" in again.flat().columns
+
+
+def test_import_release_is_idempotent_per_key(spark, scratch):
+    import datetime as dt
+    from releasekit.operators.ingest import import_release
+    root = scratch("imp")
+    created = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "`Var ID` bigint, `Gene Symbol` string")
+    for _ in range(2):
+        out = import_release(spark, df, registry_root=f"{root}/reg", store_root=f"{root}/store",
+                             source="clinvar", artifact="submission_summary", version="v2024-01", created=created)
+    assert out["nrow"] == 2 and out["non_null"] == {"var_id": 2, "gene_symbol": 2}
+    reg = R.load_registry(spark, f"{root}/reg")
+    assert reg.count() == 1
+    assert out["relpath"] == "clinvar/submission_summary/v2024-01/20240101T000000/data.parquet"
+    back = R.read_release(spark, reg, "clinvar", "submission_summary", "v2024-01")
+    assert back.columns == ["var_id", "gene_symbol"] and back.count() == 2
+    refused = import_release(spark, df.limit(1), registry_root=f"{root}/reg", store_root=f"{root}/store",
+                             source="clinvar", artifact="submission_summary", version="v2024-01", created=created,
+                             policy="refuse")
+    assert refused["outcome"] == "refused" and R.read_release(spark, R.load_registry(spark, f"{root}/reg"),
+                                                              "clinvar", "submission_summary").count() == 2
