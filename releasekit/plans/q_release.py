@@ -218,6 +218,62 @@ def src_registry_json_read(spark, sf):
     return back.select("event_id", "event_type", F.col("props.k").alias("k"))
 
 
+# Significance texts given to the three line flags, and the accept rules.
+SIGNIFICANCE = [("A", "Pathogenic"), ("N", "conflicting interpretations"), ("R", "risk factor")]
+REJECT_WORDS = ["conflicting"]
+ACCEPT_WORDS = ["pathogenic", "protective"]
+ACCEPT_VALUES = ["risk factor"]
+
+
+@query("cmp_derived_vs_origin", f"""
+WITH a AS (
+  SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders
+  WHERE regexp_replace(regexp_replace(lower(o_orderpriority), '[^0-9a-z]+', '_', 'g'), '_+$', '') = '1_urgent'),
+o AS (
+  SELECT CASE l_returnflag WHEN 'A' THEN 'Pathogenic' WHEN 'N' THEN 'conflicting interpretations' ELSE 'risk factor' END AS cs,
+         CAST(l_orderkey AS VARCHAR) || ';' || CAST(l_orderkey + 1 AS VARCHAR) || ';' AS rcv
+  FROM lineitem),
+acc AS (
+  SELECT rcv FROM o
+  WHERE CASE WHEN contains(lower(cs), 'conflicting') THEN false
+             WHEN contains(lower(cs), 'pathogenic') OR contains(lower(cs), 'protective') THEN true
+             WHEN cs IN ('risk factor') THEN true ELSE false END),
+b AS (SELECT DISTINCT t AS id FROM (SELECT unnest(string_split(rcv, ';')) AS t FROM acc) WHERE length(trim(t)) > 0)
+SELECT 'both' AS side, count(*) AS n FROM (SELECT id FROM a INTERSECT SELECT id FROM b)
+UNION ALL SELECT 'left_only', count(*) FROM (SELECT id FROM a EXCEPT SELECT id FROM b)
+UNION ALL SELECT 'right_only', count(*) FROM (SELECT id FROM b EXCEPT SELECT id FROM a)
+""")
+def cmp_derived_vs_origin(spark, sf):
+    """CMP-4 as the reference's analysis runs it, end to end.
+    * Derived side: evidence records whose nested cross-reference id matches (FLT-1), the
+      accession taken as the URL tail (SCL-1).
+    * Origin side: a TSV summary read as strings (SRC-2), kept by ordered accept / reject
+      rules on the significance text (FLT-4), its ``;``-separated accession cell exploded
+      (SCL-4).
+    * Result: one overlap aggregation (SET-1/2), never collected id sets."""
+    from releasekit.operators import filters as FL
+    from releasekit.operators import sets as S
+    from releasekit.plans import derived as D
+
+    ev = FL.nested_equals(D.evidence(spark, sf), "evidence.ref", "id", "1_urgent")
+    derived = ev.select(C.url_tail("evidence.ref.url").alias("id"))
+
+    li = table(spark, sf, "lineitem")
+    sig = None
+    for flag, text in SIGNIFICANCE[:-1]:
+        cond = F.col("l_returnflag") == flag
+        sig = F.when(cond, F.lit(text)) if sig is None else sig.when(cond, F.lit(text))
+    sig = sig.otherwise(F.lit(SIGNIFICANCE[-1][1]))
+    rcv = F.concat(F.col("l_orderkey").cast("string"), F.lit(";"), (F.col("l_orderkey") + 1).cast("string"), F.lit(";"))
+    path = scratch_path(spark, "variant_summary")
+    li.select(sig.alias("ClinicalSignificance"), rcv.alias("RCVaccession")).write.mode("overwrite") \
+      .csv(path, sep="\t", header=True)
+    summary = readers.read_delimited(spark, path, sep="\t", header=True)
+    kept = summary.where(FL.accept_rules("ClinicalSignificance", REJECT_WORDS, ACCEPT_WORDS, ACCEPT_VALUES))
+    origin = kept.select(F.explode(C.split_values("RCVaccession", ";")).alias("id"))
+    return S.overlap_report(derived, origin, "id")
+
+
 # ---------------------------------------------------------------- sinks (SNK)
 
 
