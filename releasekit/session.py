@@ -56,8 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             pass
         return d
     local = tempfile.mkdtemp(prefix="releasekit-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+        return spark.sparkContext.getCheckpointDir() or local
+    except Exception:  # Spark Connect: no SparkContext on the client
+        try:
+            spark.conf.set("spark.checkpoint.dir", local)
+        except Exception:
+            pass
+        return local
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
