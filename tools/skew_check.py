@@ -32,6 +32,7 @@ def main():
     from releasekit.operators import sets as S
     from releasekit.operators import summaries as A
     from releasekit.session import ensure_checkpoint_dir
+    from releasekit.sources.writers import write_versioned
 
     logdir = tempfile.mkdtemp(prefix="releasekit-eventlog-")
     spark = (SparkSession.builder.master("local[8]").appName("releasekit-skew")
@@ -83,6 +84,9 @@ def main():
         "upsert anti join (REG-9)": lambda: sink(R.upsert(sk, sk.where("l_linenumber = 1"), ["l_orderkey", "l_linenumber", "l_partkey"])),
         "expand_to_ancestors, hot term (GOAL-2)": lambda: sink(ON.expand_to_ancestors(
             terms, edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant")), "term")),
+        "clustered versioned write, hot version (SNK-2)": lambda: write_versioned(
+            sk.withColumn("version", F.col("l_orderkey").cast("string")).select("version", "l_partkey", "l_quantity"),
+            os.path.join(tempfile.mkdtemp(prefix="releasekit-skew-out-"), "v"), rows_per_file=20_000),
     }
     for name, run in ops.items():
         spark.sparkContext.setJobDescription(name)
