@@ -39,6 +39,8 @@ DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 SAMPLE = 500
 #: Confidence of the compatibility test, and the quantile of labelled values that still passes.
 ALPHA, QUANTILE = 0.05, 0.02
+#: Mean log2 likelihood that a format must exceed: better than characters by chance.
+BACKGROUND = -5.5
 ALPHABET = 66  # the credential characters and the end of the value
 
 Span = tuple[int, str, int]  # start, kind, end
@@ -75,8 +77,9 @@ class Automaton:
 
 
 def infer(values: Sequence[str], alpha: float = ALPHA) -> Automaton:
-    """Prefix tree of ``values``, merged breadth first: each new state joins the first kept
-    state that is compatible with it, with their subtrees, or else is kept."""
+    """Prefix tree of ``values``, merged breadth first: each new state joins, with its
+    subtree, the compatible kept state whose next symbols are distributed most alike (a state
+    with few values is compatible with many), or else is kept."""
     counts: list[dict[str, int]] = [{}]
     following: list[dict[str, int]] = [{}]
     for value in values:
@@ -104,6 +107,10 @@ def infer(values: Sequence[str], alpha: float = ALPHA) -> Automaton:
             todo += [(following[a][s], following[b][s]) for s in following[b] if s in following[a]]
         return True
 
+    def apart(a: int, b: int) -> float:
+        n, m = sum(counts[a].values()) or 1, sum(counts[b].values()) or 1
+        return max((abs(counts[a].get(s, 0) / n - counts[b].get(s, 0) / m) for s in counts[a].keys() | counts[b].keys()), default=0.0)
+
     def fold(a: int, b: int) -> None:
         """Add the tree below ``b`` to ``a``."""
         todo = [(a, b)]
@@ -126,7 +133,7 @@ def infer(values: Sequence[str], alpha: float = ALPHA) -> Automaton:
         new = following[parent][symbol]
         if new in kept:
             continue
-        match = next((k for k in kept if compatible(k, new)), None)
+        match = min((k for k in kept if compatible(k, new)), key=lambda k: apart(k, new), default=None)
         if match is None:
             kept.append(new)
             frontier += [(new, s) for s in sorted(following[new])]
@@ -149,7 +156,7 @@ def train(labelled: dict[str, Sequence[str]], quantile: float = QUANTILE) -> lis
             seen = infer([v for k, v in enumerate(values) if k % 5])
             scores = sorted(seen.likelihood(v) for v in held)
             model = infer(values)
-            model.least = scores[int(quantile * len(scores))] - 0.1
+            model.least = max(scores[int(quantile * len(scores))] - 0.1, BACKGROUND)
             out.append(model)
     return out
 
