@@ -26,18 +26,20 @@ COMMON_WORDS = (
     "le la les de des et en un une que est dans pour sur par "
     "der die das und zu den ist von mit nicht ein eine auf für als "
     "el los las y se del con para no una").split()
-SYMBOLS = "#*$%&|<>"
-CHARACTER_CLASSES = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "stop": ".,;:", "mark": "!?'\"()[]{}-_/\\=+~^@`", "symbol": SYMBOLS}
+CHARACTER_CLASSES = {"upper": "[A-Z]", "digit": "[0-9]", "stop": "[.,;:]", "mark": r"[!?'\"()\[\]{}_/\\=+~^@`-]", "symbol": "[#*$%&|<>]"}
 SPACE = " \t\n\x0b\f\r"
 
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 #: Length from which a text is judged by its histograms, and the largest distances (0 to 1).
-GUARD_WORDS, MAX_CHARACTER_DISTANCE, MAX_WORD_DISTANCE = 50, 0.35, 0.75
+#: Common words need more text than characters until their shares settle.
+GUARD_WORDS, MAX_CHARACTER_DISTANCE = 50, 0.29
+GUARD_COMMON_WORDS, MAX_WORD_DISTANCE = 150, 0.29
 
 
 def words_of(text: Column) -> Column:
     """Maximal runs without space, tab, line feed, vertical tab, form feed or return."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \x09-\x0D]+"), lambda w: w != "")
+    trimmed = F.btrim(text, F.lit(SPACE))
+    return F.when(trimmed != "", F.split(trimmed, r"[ \x09-\x0D]+")).otherwise(F.expr("cast(array() as array<string>)"))
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
@@ -66,11 +68,11 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def word_histogram(words: Column) -> Column:
-    """Counts of COMMON_WORDS, then of all other words.  Each common word becomes one
-    character, and a character's count is what removing it takes from the length."""
+    """Counts of COMMON_WORDS as they stand (no capitals, no stop after them), then of all other
+    words.  Each common word becomes one character, and a character's count is what removing it
+    takes from the length."""
     known = F.array(*(F.lit(w) for w in COMMON_WORDS))
-    bare = F.transform(words, lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?"))))
-    common = F.filter(bare, lambda w: w.isin(COMMON_WORDS))
+    common = F.filter(words, lambda w: w.isin(COMMON_WORDS))
     codes = F.array_join(F.transform(common, lambda w: F.char(F.array_position(known, w) + F.lit(33))), "")
 
     def counts(s: Column) -> Column:
@@ -83,12 +85,12 @@ def word_histogram(words: Column) -> Column:
 def text_statistics(documents: DataFrame) -> DataFrame:
     """Per document the counts and the two histograms; one pass, no shuffle."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    without = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
+    count = lambda chars: F.length(text) - F.length(F.regexp_replace(text, chars, ""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \x09-\x0D]"))
     first = documents.select(
         "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), words_of(text).alias("words"),
-        (F.length(F.translate(text, SPACE, ""))).cast("long").alias("word_chars"),
-        *(without(c).cast("long").alias(n) for n, c in CHARACTER_CLASSES.items()),
+        F.length(F.regexp_replace(text, r"[ \x09-\x0D]+", "")).cast("long").alias("word_chars"),
+        *(count(c).cast("long").alias(n) for n, c in CHARACTER_CLASSES.items()),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
     classes = [F.col(n) for n in CHARACTER_CLASSES]
     rest = functools.reduce(lambda a, c: a - c, classes, F.col("word_chars"))
@@ -120,7 +122,7 @@ def references(statistics: DataFrame, guard: int = GUARD_WORDS) -> DataFrame:
 
 
 def judge_quality(documents: DataFrame, guard: int = GUARD_WORDS, character_distance: float = MAX_CHARACTER_DISTANCE,
-                  word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+                  common_guard: int = GUARD_COMMON_WORDS, word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Per document ``doc_id``, the counts, both distances, ``base_failed`` and ``kept``.  The
     statistics are written once (a few hundred bytes a text): the references and the verdicts
     both read them."""
@@ -129,7 +131,8 @@ def judge_quality(documents: DataFrame, guard: int = GUARD_WORDS, character_dist
         "character_distance": js_distance(F.col("characters"), F.col("ref_characters")),
         "word_distance": js_distance(F.col("common"), F.col("ref_common"))})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    far = (F.col("n_words") >= guard) & (F.coalesce(F.col("character_distance") > character_distance, F.lit(False)) | F.coalesce(F.col("word_distance") > word_distance, F.lit(False)))
+    over = lambda d, most, least: (F.col("n_words") >= least) & F.coalesce(F.col(d) > most, F.lit(False))
+    far = over("character_distance", character_distance, guard) | over("word_distance", word_distance, common_guard)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "character_distance", "word_distance", failed.alias("base_failed"), (~failed & ~far).alias("kept"))
 
