@@ -1,4 +1,4 @@
 """All queries of the subpackage: importing the operators registers them."""
 
-from releasekit.llm import html_text, licenses, minhash, quality_rules, secrets, toxicity, url_filter  # noqa: F401
+from releasekit.llm import decontaminate, html_text, licenses, minhash, packing, quality_rules, secrets, toxicity, url_filter  # noqa: F401
 from releasekit.llm.base import ORACLE, QUERIES  # noqa: F401
