@@ -143,7 +143,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item; rows with a null id are judged together."""
-    bad = contaminated(documents, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
+    bad = stored(contaminated(documents, benchmark).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
     return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
 
 

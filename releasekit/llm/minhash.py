@@ -283,3 +283,16 @@ def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85) ->
 @query("op1_near_duplicates")
 def op1_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def drop_near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row of each component, that of its smallest id; repeated rows of
+    that document go too.  Only the ids of the others move, as a table."""
+    judged = stored(near_duplicates(documents, words, percent), "near")
+    others = stored(judged.where(~F.col("kept")).select(F.col("doc_id").alias("other_id")).distinct(), "others")
+    left = documents.join(others, F.col("doc_id") == F.col("other_id"), "left_anti")
+    repeated = stored(judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id")), "repeated")
+    if repeated.isEmpty():
+        return left
+    again = F.col("doc_id") == F.col("repeated_id")
+    return left.join(repeated, again, "left_anti").unionByName(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
