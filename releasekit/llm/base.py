@@ -41,6 +41,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is no column yet."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)

@@ -46,6 +46,7 @@ LABELLED = (
     (0, 1, 1.0, 1, 1.0, 1, 1.0, 0), (0, 3, 0.9, 2, 1.0, 4, 1.0, 0), (0, 20, 0.8, 5, 1.0, 12, 0.7, 0), (0, 5, 0.0, 1, 1.0, 2, 1.0, 0),
     (0, 4, 0.0, 3, 0.0, 5, 0.0, 0), (0, 7, 0.0, 50, 0.0, 0, 0.0, 0), (0, 2, 0.0, 0, 0.0, 1, 1.0, 0), (0, 40, 0.7, 30, 0.0, 6, 1.0, 0),
     (0, 9, 0.5, 10, 0.6, 3, 1.0, 0), (0, 6, 0.0, 4, 1.0, 4, 0.8, 0), (0, 11, 0.9, 60, 0.0, 40, 0.0, 0), (0, 3, 0.0, 35, 0.0, 2, 1.0, 0),
+    (0, 1, 1.0, 0, 0.0, 80, 0.0, 0), (0, 2, 1.0, 1, 1.0, 60, 0.0, 0), (0, 4, 0.7, 40, 0.0, 45, 0.0, 0), (0, 1, 0.0, 80, 0.0, 0, 0.0, 0),
 )
 
 SKIPPED = frozenset("script style title textarea noscript iframe template select button svg math object".split())

@@ -17,6 +17,7 @@ long texts are scanned whole; repeated rows are scanned one by one; words are ne
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,6 +85,7 @@ FORMS = (
     ("spdx", "spdx license identifier {}", 3, 1.0),
     ("named", "{} licen[cs]e", 2, 0.8),
     ("labelled", "licen[cs]e {}", 2, 0.7),
+    ("versioned", "{}", 1, 0.6),  # for names that hold a version
 )
 
 #: Single notices: label | expression | keyword | priority | strength.  Fixed values.
@@ -130,7 +132,8 @@ def rules() -> tuple[tuple[str, str, str, int, float, bool], ...]:
     for line in LICENSES.splitlines():
         label, name, keyword = line.split("|", 1)[0], line.split("|", 1)[1].rsplit("|", 1)[0], line.rsplit("|", 1)[1]
         spdx = label.replace("-", " ").replace(".", " ")
-        out += [(label, form.format(f"(?:{spdx}|{name})" if n == "spdx" else f"(?:{name})"), "spdx" if n == "spdx" else keyword, p, s, False) for n, form, p, s in FORMS]
+        out += [(label, form.format(f"(?:{spdx}|{name})" if n == "spdx" else f"(?:{name})"), "spdx" if n == "spdx" else keyword, p, s, False)
+                for n, form, p, s in FORMS if n != "versioned" or re.search(r"-\d", label)]
     for line in NOTICES.splitlines():
         label, rest = line.split("|", 1)
         expression, keyword, priority, strength = rest.rsplit("|", 3)

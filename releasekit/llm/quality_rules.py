@@ -1,7 +1,7 @@
 """Quality rules: counts over words and lines, and divergence from language references.
 
 Two histograms describe a text: its characters by class, and its words by a fixed list of
-common words (all others in one bin).  The reference of a language is the sum of the
+common words (all others in one bin).  The reference of a language is the mean of the
 histograms of all its texts that are long enough.  A text whose Jensen-Shannon distance from
 its language's reference is too large is rejected; short texts are not judged by it, as
 their histograms are mostly chance.
@@ -114,11 +114,16 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def references(statistics: DataFrame, guard: int = GUARD_WORDS) -> DataFrame:
-    """``lang, ref_characters, ref_common``: sums over all texts of at least ``guard`` words.
-    The sums are taken before the shuffle, so a language may hold nearly all rows."""
+    """``lang, ref_characters, ref_common``: sums over all texts of at least ``guard`` words of
+    their shares, in millionths, so that every text counts the same and sums are exact.  They
+    are taken before the shuffle, so a language may hold nearly all rows."""
+    def shares(counts: str) -> Column:
+        total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+        return let(total, lambda t: F.transform(counts, lambda x: F.round(F.lit(1e6) * x / t).cast("long")))
+
+    parts = statistics.where(F.col("n_words") >= guard).select("lang", shares("characters").alias("characters"), shares("common").alias("common"))
     sums = lambda c, n: F.array(*(F.sum(F.col(c)[k]) for k in range(n)))
-    return statistics.where(F.col("n_words") >= guard).groupBy("lang").agg(
-        sums("characters", len(CHARACTER_CLASSES) + 1).alias("ref_characters"), sums("common", len(COMMON_WORDS) + 1).alias("ref_common"))
+    return parts.groupBy("lang").agg(sums("characters", len(CHARACTER_CLASSES) + 1).alias("ref_characters"), sums("common", len(COMMON_WORDS) + 1).alias("ref_common"))
 
 
 def judge_quality(documents: DataFrame, guard: int = GUARD_WORDS, character_distance: float = MAX_CHARACTER_DISTANCE,

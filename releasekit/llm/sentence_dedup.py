@@ -26,9 +26,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from releasekit.llm.base import query, stored, table
+from releasekit.llm.base import free_name, query, stored, table
 from releasekit.llm.shingles import mix, word_hashes
 
 MIN_WORDS = 25
@@ -121,11 +121,11 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: boo
     """``documents`` without the sentences of repeated spans (``n_chars``, where there is one, is
     counted anew); or, as a report, one row per removed stretch: ``doc_id, first_sentence,
     last_sentence, start, end`` (code points), ``n_words, origin_id, text``."""
-    marked = stored(repeated_spans(documents, min_words), "repeats").withColumnRenamed("doc_id", "marked_id")
+    mark, marked_id = free_name(documents.columns, "repeated"), free_name(documents.columns, "marked_id")
+    marked = stored(repeated_spans(documents, min_words), "repeats").select(F.col("doc_id").alias(marked_id), F.col("repeated").alias(mark))
     # ids are compared as numbers; a null id meets a null id
-    joined = documents.join(marked, F.col("doc_id").cast("long").eqNullSafe(F.col("marked_id")), "inner" if report else "left").drop("marked_id")
-    names = [c for c in documents.columns if c != "repeated"]
-    schema = T.StructType([documents.schema[c] for c in names])
+    joined = documents.join(marked, F.col("doc_id").cast("long").eqNullSafe(F.col(marked_id)), "inner" if report else "left").drop(marked_id)
+    names, schema = documents.columns, documents.schema
 
     def stretches(text: str, repeated: list[dict]) -> Iterator[tuple[int, int, int, int, int]]:
         """Sentences from and to, code points from and to, and the origin of each stretch."""
@@ -152,7 +152,7 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: boo
 
         for batch in batches:
             cols = {n: batch.column(n) for n in names}
-            marks, texts = batch.column("repeated").to_pylist(), cols["text"].to_pylist()
+            marks, texts = batch.column(mark).to_pylist(), cols["text"].to_pylist()
             for k, r in enumerate(marks):
                 if r and texts[k]:
                     out, at = [], 0
@@ -171,15 +171,15 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: boo
         kinds = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("first_sentence", "last_sentence", "start", "end", "n_words", "origin_id")), ("text", pa.string())])
         for batch in batches:
             out = []
-            for i, text, r in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("repeated").to_pylist(), strict=True):
+            for i, text, r in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column(mark).to_pylist(), strict=True):
                 for p, q, a, b, origin in stretches(text or "", r):
                     out.append((i, p, q, a, b, len(text[a:b].encode("utf-8", "surrogatepass").split()), origin, text[a:b]))
             yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, x)) for x in out], schema=kinds)
 
     if report:
-        return joined.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "repeated").mapInArrow(
+        return joined.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark).mapInArrow(
             rows, "doc_id long, first_sentence long, last_sentence long, start long, end long, n_words long, origin_id long, text string")
-    return joined.select(*names, "repeated").mapInArrow(remove, schema)
+    return joined.select(*names, mark).mapInArrow(remove, schema)
 
 
 @query("op4_sentence_dedup")

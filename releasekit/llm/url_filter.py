@@ -25,8 +25,9 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 LINK = r"""(?i)href\s*=\s*["']?([^"'\s>]*://[^"'\s>]*)"""
 DAMPING = 0.85
 ITERATIONS = 8
-#: A host is blocked when its distrust is at least this, and this many times its trust.
-MIN_DISTRUST, RATIO = 0.02, 2.0
+#: A host is blocked when its distrust is at least this (half of its pages blocked by rules, or
+#: as much from the hosts that it links to), and this many times its trust.
+MIN_DISTRUST, RATIO = 0.07, 2.0
 
 
 def host_of(url: Column) -> Column:
