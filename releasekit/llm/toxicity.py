@@ -20,13 +20,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from releasekit.llm.base import query, table
+from releasekit.llm.base import free_name, query, table
 
 SIZES = (3, 4, 5)
 BITS = 18
 #: The model is fitted on at most this many labelled rows, of at most so many characters each
 #: (longer texts are left out of the sample; they are scored like all others).
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 50_000
+SAMPLE_ROWS, SAMPLE_CHARS = 5_000, 30_000
 MIN_ROWS = 4  # an n-gram in fewer sample rows gets no weight
 THRESHOLD = 0.3
 
@@ -71,20 +71,25 @@ def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds:
     if share in (0.0, 1.0):
         return Model(np.zeros(size, np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     seen = np.empty(size, np.int32)
-    sets = [ngrams(t, seen) for t in texts]
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    col = np.concatenate(sets).astype(np.int64)
-    rows_of = np.bincount(col, minlength=size)
-    toxic_of = np.bincount(col, labels[row], minlength=size)
+    rows_of, toxic_of = np.zeros(size), np.zeros(size)
+    for text, label in zip(texts, labels, strict=True):
+        grams = ngrams(text, seen)
+        rows_of[grams] += 1
+        toxic_of[grams] += label
     p, q = (toxic_of + 1) / (labels.sum() + 2), (rows_of - toxic_of + 1) / ((1 - labels).sum() + 2)
     ratio = np.where(rows_of >= MIN_ROWS, np.log(p / q), 0.0)
     # ratios that chance explains are noise in long texts: drop those within two standard errors
     error = np.sqrt(1 / (toxic_of + 1) + 1 / (rows_of - toxic_of + 1))
     ratio[np.abs(ratio) < 2 * error] = 0.0
-    use = ratio[col] != 0
-    row, col = row[use], col[use]
+    sets = []  # of the n-grams with a ratio only: all of a text's would not fit a driver
+    for text in texts:
+        grams = ngrams(text, seen)
+        sets.append(grams[ratio[grams] != 0].astype(np.int32))
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+    col = np.concatenate(sets)
+    del sets
     names, col = np.unique(col, return_inverse=True)
-    scale = ratio[names]
+    scale = ratio[names].astype(np.float32)
     value = scale[col]
     w, b = np.zeros(len(names)), float(np.log(share / (1 - share)))
     n = len(labels)
@@ -94,9 +99,9 @@ def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds:
     for k in range(rounds):
         mw, mb = w + k / (k + 3) * (w - last), b + k / (k + 3) * (b - lb)
         last, lb = w, b
-        z = np.bincount(row, value * mw[col], minlength=n) + mb
+        z = np.bincount(row, value * mw[col].astype(np.float32), minlength=n) + mb
         wrong = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
-        gw = np.bincount(col, value * wrong[row], minlength=len(names)) / n + ridge / n * mw
+        gw = np.bincount(col, value * wrong[row].astype(np.float32), minlength=len(names)) / n + ridge / n * mw
         # the scale of a mean gradient is far below the bound of one row: steps grow with it
         w, b = mw - step * 40 * gw, mb - step * 40 * wrong.mean()
     weights = np.zeros(size, np.float32)
@@ -119,9 +124,9 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, char
     return fit(list(got["text"]), got["toxic"].to_numpy(float))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with a column ``toxicity`` (0 to 1)."""
-    schema = T.StructType([f for f in documents.schema.fields if f.name != "toxicity"])
+def score(documents: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
+    """``documents`` with a score (0 to 1) in ``column``, which replaces one of that name."""
+    schema = T.StructType([f for f in documents.schema.fields if f.name != column])
     names = schema.fieldNames()
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -131,15 +136,16 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
         own, seen = shared.value, np.empty(1 << BITS, np.int32)
         for batch in batches:
             cols = {n: batch.column(n) for n in names}
-            cols["toxicity"] = pa.array([own.score(ngrams(t, seen)) for t in cols["text"].to_pylist()], pa.float64())
+            cols[column] = pa.array([own.score(ngrams(t, seen)) for t in cols["text"].to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return documents.select(*names).mapInArrow(run, T.StructType(schema.fields + [T.StructField("toxicity", T.DoubleType())]))
+    return documents.select(*names).mapInArrow(run, T.StructType(schema.fields + [T.StructField(column, T.DoubleType())]))
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below ``threshold``, with their columns."""
-    return score(documents, train(documents, labels)).where(F.col("toxicity") < threshold).drop("toxicity")
+    column = free_name(documents.columns, "toxicity")
+    return score(documents, train(documents, labels), column).where(F.col(column) < threshold).drop(column)
 
 
 @query("op10_toxicity")
