@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 SLUG_PATTERN = r"^[A-Za-z0-9_]+$"          # identifier rule for source / artifact / storage slugs
 RELEASE_TS_FORMAT = "yyyyMMdd'T'HHmmss"    # timestamp directory of a release
 ARTIFACT_FILENAME = "data"                 # base name of a published resource
+NAME_RUN, NAME_TAIL = r"[^0-9a-z]+", r"_+$"  # runs of other characters -> "_"; trailing ones go
 
 
 def _c(c) -> Column:
@@ -30,9 +31,11 @@ def prefix(c, length: int) -> Column:
     return F.substring(_c(c), 1, length)
 
 
-def split_values(c, sep_regex: str = ";") -> Column:
-    """Multi-valued cell to an array; empty pieces (trailing ';') are dropped (SCL-4)."""
-    return F.filter(F.split(_c(c), sep_regex), lambda v: F.length(F.trim(v)) > 0)
+def split_values(c, sep_regex: str = ";", drop_empty: bool = False) -> Column:
+    """Multi-valued cell to an array (SCL-4).  Empty pieces (a trailing ';') are kept as the
+    source has them; ``drop_empty`` removes them."""
+    pieces = F.split(_c(c), sep_regex)
+    return F.filter(pieces, lambda v: F.length(F.trim(v)) > 0) if drop_empty else pieces
 
 
 def iri_to_curie(c) -> Column:
@@ -60,7 +63,7 @@ def created_from_version(c, grain: str = "month") -> Column:
 
 def slugify(c) -> Column:
     """lower, runs of non ``[0-9a-z]`` -> ``_``, trailing ``_`` stripped; a leading ``_`` stays (SCL-9)."""
-    return F.regexp_replace(F.regexp_replace(F.lower(_c(c)), r"[^0-9a-z]+", "_"), r"_+$", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(_c(c)), NAME_RUN, "_"), NAME_TAIL, "")
 
 
 def is_slug(c) -> Column:

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from releasekit.functions.columns import NAME_RUN, NAME_TAIL
+
 
 def sanitize_name(name: str) -> str:
     """lower, runs of non ``[0-9a-z]`` -> ``_``, trailing ``_`` stripped (leading kept)."""
-    return re.sub(r"_+$", "", re.sub(r"[^0-9a-z]+", "_", name.lower()))
+    return re.sub(NAME_TAIL, "", re.sub(NAME_RUN, "_", name.lower()))
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
@@ -64,25 +66,29 @@ def expand_map(df: DataFrame, column: str, sep: str = "_") -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c != column], *cols)
 
 
-def to_flat(df: DataFrame, sep: str = "_") -> DataFrame:
+def to_flat(df: DataFrame, sep: str = "_", max_columns: int = 10_000) -> DataFrame:
     """PRJ-3 + PRJ-4 (REG-13): nested structs and maps flattened to ``sep``-joined columns,
     then columns that are null in every row dropped.  Arrays stay arrays.
 
-    One aggregation pass finds both the map keys and which columns hold values: a map
-    key's column is all-null exactly when no row has a non-null value for that key, so
-    only keys of ``map_filter(m, v is not null)`` become columns.  Key sets are
-    vocabularies (format names, metadata fields), not data-sized."""
+    A column per map key is made for keys with a value in some row, at most ``max_columns`` in
+    all (an error beyond that: such a map holds data, not a vocabulary).  Keys are reduced to
+    distinct ones by Spark before they come to the driver."""
     flat = flatten(df, sep)
     maps = [f.name for f in flat.schema.fields if isinstance(f.dataType, T.MapType)]
     plain = [c for c in flat.columns if c not in maps]
-    aggs = [F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(plain)]
-    aggs += [F.array_distinct(F.flatten(F.collect_set(F.map_keys(
-        F.map_filter(F.col(f"`{m}`"), lambda k, v: v.isNotNull()))))).alias(f"m{j}") for j, m in enumerate(maps)]
-    got = flat.agg(*aggs).first()
+    got = flat.agg(F.count(F.lit(1)), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(plain)]).first()
     cols = [F.col(f"`{c}`") for i, c in enumerate(plain) if got[f"c{i}"] > 0]
-    for j, m in enumerate(maps):
-        for k in sorted(x for x in (got[f"m{j}"] or []) if x is not None):
-            cols.append(F.col(f"`{m}`")[k].alias(f"{m}{sep}{k}"))
+    if maps:
+        def held_by(m: str):
+            keys = F.map_keys(F.map_filter(F.col(f"`{m}`"), lambda k, v: v.isNotNull()))
+            return F.transform(keys, lambda k: F.struct(F.lit(m).alias("m"), k.cast("string").alias("k")))
+
+        held = [held_by(m) for m in maps]
+        keys = flat.select(F.explode(F.concat(*[F.coalesce(h, F.array().cast("array<struct<m:string,k:string>>")) for h in held])).alias("x")).select("x.m", "x.k").distinct().limit(max_columns + 1).collect()
+        if len(keys) > max_columns:
+            raise ValueError(f"the maps {maps} have more than {max_columns} keys")
+        for m in maps:
+            cols += [F.col(f"`{m}`")[k].alias(f"{m}{sep}{k}") for k in sorted(r["k"] for r in keys if r["m"] == m)]
     return flat.select(*cols)
 
 

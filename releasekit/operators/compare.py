@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions.schema import schema_rows
+from releasekit.operators.quality import cast_fails
 from releasekit.operators.sets import overlap_report, overlap_sides_by, side_counts
 
 
@@ -30,7 +31,8 @@ def schema_diff(spark: SparkSession, old: DataFrame, new: DataFrame) -> DataFram
 def release_counts(df: DataFrame, release: str, name: str = "n") -> DataFrame:
     """CMP-3: rows per release with the delta to the previous release.
 
-    The window runs over the per-release counts (one row per release), not data rows."""
+    The window runs in one task over the per-release counts: one row per release, which is
+    thousands at most."""
     per = df.groupBy(release).agg(F.count(F.lit(1)).alias(name))
     w = Window.orderBy(release)
     return per.withColumn("delta", F.col(name) - F.lag(name).over(w))
@@ -52,7 +54,8 @@ def union_releases(*frames: DataFrame, types: dict[str, T.DataType] | None = Non
     Each column takes the type it has in the NEWEST release that carries it (drift goes
     toward the new schema, e.g. ``odds_ratio`` string -> double), unless ``types`` names
     one.  Older values are ``try_cast``: a non-numeric string like ``NR`` becomes null
-    instead of failing the job under ANSI; no row is dropped.  Missing columns are null."""
+    instead of failing the job under ANSI; no row is dropped, and ``n_bad`` counts the values
+    of a row that were lost so.  Missing columns are null."""
     target: dict[str, T.DataType] = {}
     for f in frames:
         for fld in f.schema.fields:
@@ -60,11 +63,13 @@ def union_releases(*frames: DataFrame, types: dict[str, T.DataType] | None = Non
     target.update(types or {})
     aligned = []
     for f in frames:
-        cols = []
+        cols, bad = [], F.lit(0)
         for name, dt in target.items():
             if name in f.columns:
                 cols.append(F.col(f"`{name}`").try_cast(dt).alias(name))
+                if f.schema[name].dataType != dt:
+                    bad = bad + cast_fails(f"`{name}`", dt).cast("int")
             else:
                 cols.append(F.lit(None).cast(dt).alias(name))
-        aligned.append(f.select(*cols))
+        aligned.append(f.select(*cols, bad.alias("n_bad")))
     return reduce(lambda a, b: a.unionByName(b), aligned)

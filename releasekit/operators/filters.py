@@ -31,13 +31,14 @@ def any_keyword(c, words: list[str]) -> Column:
 def accept_rules(c, reject_words: list[str], accept_words: list[str], accept_values: list[str] | None = None,
                  value_flag: Column | None = None) -> Column:
     """FLT-4: ordered rules: reject on a reject word, accept on an accept word, accept
-    when the value is in the list (value membership, D7), otherwise reject.
+    when the value is in the list (value membership, D7), otherwise reject.  Words and
+    values are compared in lower case on both sides.
 
     ``value_flag`` is the membership flag when the list is a DataFrame joined in by the
-    caller (``sets.flag_in``); ``accept_values`` is a small literal list."""
+    caller (``sets.flag_in``, on lower-cased values); ``accept_values`` is a small literal list."""
     low = F.lower(_c(c))
     in_list = value_flag if value_flag is not None else (
-        _c(c).isin(accept_values) if accept_values else F.lit(False))
+        low.isin([v.lower() for v in accept_values]) if accept_values else F.lit(False))
     rule = F.when(_c(c).isNull(), F.lit(False))
     for w in reject_words:
         rule = rule.when(low.contains(w.lower()), F.lit(False))

@@ -14,8 +14,10 @@ from releasekit.session import ensure_checkpoint_dir
 
 
 def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
-                max_rounds: int | None = None) -> DataFrame:
-    """All (ancestor, descendant, depth) pairs; depth = shortest distance.
+                max_rounds: int | None = None, roots: DataFrame | None = None) -> DataFrame:
+    """All (ancestor, descendant, depth) pairs; depth = shortest distance.  With ``roots`` (one
+    column of terms) only the pairs whose ancestor is one of them: the search starts there,
+    so it costs what the roots' descendants cost.
 
     The loop always ends: every round adds only pairs not seen before (the anti join also
     makes cycles finish) and pairs are finite; it runs as many rounds as the longest
@@ -29,7 +31,8 @@ def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
     e = (edges.select(F.col(parent).alias("a"), F.col(child).alias("d"))
               .where("a is not null and d is not null").distinct().checkpoint())
     step = e.select(F.col("a").alias("mid"), F.col("d").alias("next"))
-    frontier = e.select("a", "d", F.lit(1).alias("depth")).where("a <> d").checkpoint()
+    start = e if roots is None else e.join(roots.select(F.col(roots.columns[0]).alias("a")).distinct(), "a", "left_semi")
+    frontier = start.select("a", "d", F.lit(1).alias("depth")).where("a <> d").checkpoint()
     known = frontier
     rounds = 0
     while True:
@@ -80,14 +83,20 @@ def crosswalk(term_classes: DataFrame, mapping: DataFrame, relations: DataFrame,
     """JOI-4: terms chosen by class -> concepts -> relations of subjects to those concepts,
     keeping the set of sources that assert each (subject, class).
 
-    The selective step runs first: relations are cut to the chosen concepts before
-    anything else joins them.  When the relation carries an intermediate id (``via``,
+    Relations are cut to the chosen concepts before the subject map joins them.  Where the
+    concept of a relation itself comes from a join, cut that side by ``crosswalk_concepts``
+    first, join the relations to it and end with ``subject_sources``.  When the relation carries an intermediate id (``via``,
     e.g. an order) rather than the subject, ``subject_map`` (via -> subject) is joined
     only to the surviving rows."""
     concepts = crosswalk_concepts(term_classes, mapping, term=term, concept=concept, cls=cls)
     key = via or subject
-    hits = relations.select(key, concept, source).join(concepts, concept)
+    hits = relations.join(concepts, concept).select(key, cls, source)
     if subject_map is not None:
         hits = hits.join(subject_map.select(via, subject), via)
+    return subject_sources(hits, subject=subject, source=source, cls=cls, name=name)
+
+
+def subject_sources(hits: DataFrame, *, subject: str, source: str, cls: str = "class", name: str = "sources") -> DataFrame:
+    """The sources that assert each (subject, class), as sorted text; sources are a small set."""
     return (hits.groupBy(subject, cls)
                 .agg(F.array_join(F.array_sort(F.collect_set(F.col(source).cast("string"))), ",").alias(name)))

@@ -1,9 +1,8 @@
 """The release registry as an ordinary keyed table (REG-1..14, SNK-6, SRC-10).
 
 Every operator takes any DataFrame plus key / order column names, so the same code
-serves the ten-row catalog and billion-row fact tables.  Nothing here sorts or
-windows data rows globally except ``with_position``, which is meant for registry-sized
-frames.
+serves the ten-row catalog and billion-row fact tables.  Key columns are compared
+null-safe throughout: a null field equals a null field.
 """
 
 from __future__ import annotations
@@ -16,9 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from releasekit.functions.columns import resource_relpath, storage_url
+from releasekit.functions.columns import SLUG_PATTERN, resource_relpath, storage_url
 
 KEY = ["source", "storage", "artifact", "version", "created"]
 
@@ -122,9 +120,9 @@ def with_paths(reg: DataFrame) -> DataFrame:
 # --- lookups -----------------------------------------------------------------------------
 
 def find(reg: DataFrame, source: str | None = None, artifact: str | None = None,
-         version: str | None = None) -> DataFrame:
-    """REG-5/REG-7.  ``version`` None/'' = every version; ``'latest'`` = all entries of the
-    lexically greatest version of each (source, artifact) (D1).  Newest first."""
+         version: str | None = "latest") -> DataFrame:
+    """REG-5/REG-7.  ``version`` None/'' = every version; ``'latest'`` (the default) = all
+    entries of the lexically greatest version of each (source, artifact) (D1).  Newest first."""
     df = reg
     if source is not None:
         df = df.where(F.col("source") == source)
@@ -140,8 +138,9 @@ def find(reg: DataFrame, source: str | None = None, artifact: str | None = None,
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the greatest ``order`` tuple winning (REG-6).
 
-    ``max_by`` over a struct: a plain hash aggregate with map-side partial results, so a
-    hot key is pre-reduced on every task before the shuffle, and nothing is sorted."""
+    ``max_by`` over a struct, with map-side partial results, so a hot key is pre-reduced on
+    every task before the shuffle.  Spark plans it as a sort aggregate (struct buffers are
+    not hash-aggregatable): each task sorts its rows by key, nothing is sorted globally."""
     others = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.struct(*[F.col(o) for o in order])).alias("__row")
@@ -149,51 +148,91 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return picked.select(*keys, "__row.*")
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on null-safe equality of ``keys``; ``right`` is reduced to its other columns."""
+    named = right.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
+                         *[F.col(c) for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)])
+    return left.join(named, same, how).drop(*[f"__key_{i}" for i in range(len(keys))])
+
+
 def latest_version_all(df: DataFrame, keys: list[str], version: str = "version") -> DataFrame:
-    """Every row carrying the greatest ``version`` of its key, ties kept (REG-7)."""
+    """Every row carrying the greatest ``version`` of its key, ties kept (REG-7).  The input is
+    read twice: give a stored table where its computation is costly."""
     top = df.groupBy(*keys).agg(F.max(version).alias("__top"))
-    return df.join(top, keys).where(F.col(version) == F.col("__top")).drop("__top")
+    return _same_keys(df, top, keys, "inner").where(F.col(version) == F.col("__top")).drop("__top")
 
 
 # --- updates -----------------------------------------------------------------------------
 
 def duplicates_of(new: DataFrame, base: DataFrame, keys: list[str]) -> DataFrame:
-    return new.join(base.select(*keys), keys, "left_semi")
+    return _same_keys(new, base.select(*keys), keys, "left_semi")
+
+
+def _repeats(new: DataFrame, keys: list[str]) -> DataFrame:
+    return new.groupBy(*keys).count().where("count > 1").select(*keys, F.lit("repeated in insert").alias("__why"))
+
+
+def _refuse(bad: DataFrame) -> None:
+    first = bad.limit(1).collect()
+    if first:
+        row = first[0].asDict()
+        raise ValueError(f"entry {row.pop('__why')}: {row}")
 
 
 def insert_strict(base: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """REG-8: union, but a key already present (or repeated in ``new``) is an error."""
     # both probes in one job: keys already in base, and keys repeated within new
     clash = duplicates_of(new, base, keys).select(*keys, F.lit("already exists").alias("__why"))
-    rep = new.groupBy(*keys).count().where("count > 1").select(*keys, F.lit("repeated in insert").alias("__why"))
-    bad = clash.unionByName(rep).limit(1).collect()
-    if bad:
-        row = bad[0].asDict()
-        raise ValueError(f"entry {row.pop('__why')}: {row}")
+    _refuse(clash.unionByName(_repeats(new, keys)))
     return base.unionByName(new)
 
 
 def upsert(base: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """REG-9: rows of ``new`` replace rows of ``base`` with the same key."""
-    return base.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    """REG-9: rows of ``new`` replace rows of ``base`` with the same key; a key repeated in
+    ``new`` is an error."""
+    _refuse(_repeats(new, keys))
+    return _same_keys(base, new.select(*keys), keys, "left_anti").unionByName(new)
 
 
 def remove(base: DataFrame, gone: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """REG-10: drop every row whose key is in ``gone``."""
-    return base.join(gone.select(*keys), keys, "left_anti")
+    return _same_keys(base, gone.select(*keys), keys, "left_anti")
 
 
 def removed_any(base: DataFrame, gone: DataFrame, keys: list[str] = KEY) -> bool:
-    return bool(base.join(gone.select(*keys), keys, "left_semi").limit(1).collect())
+    return not _same_keys(base, gone.select(*keys), keys, "left_semi").isEmpty()
 
 
 def exists_flag(candidates: DataFrame, base: DataFrame, keys: list[str] = KEY, name: str = "present") -> DataFrame:
     """REG-11: membership flag per candidate row (duplicates in ``base`` cannot multiply rows)."""
     marks = base.select(*keys).distinct().withColumn(name, F.lit(True))
-    return (candidates.join(marks, keys, "left")
+    return (_same_keys(candidates, marks, keys, "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
 
 
+def entry_faults(entries: DataFrame) -> DataFrame:
+    """``entries`` with ``fault``: why an entry may not be registered, null if it may.  Source,
+    storage and artifact are slugs; a version begins with ``v``; there is at least one
+    format, no format twice; every URL is non-empty."""
+    bad_slug = lambda c: F.when(F.col(c).isNull() | ~F.col(c).rlike(SLUG_PATTERN), F.lit(f"{c} is no slug"))
+    names = F.transform("formats", lambda f: f["name"])
+    urls = F.map_values("resources")
+    return entries.withColumn("fault", F.coalesce(
+        bad_slug("source"), bad_slug("storage"), bad_slug("artifact"),
+        F.when(F.col("version").isNull() | ~F.col("version").startswith("v"), F.lit("version does not begin with v")),
+        F.when(F.coalesce(F.size("formats"), F.lit(0)) <= 0, F.lit("no format")),
+        F.when(F.size(F.array_distinct(names)) != F.size(names), F.lit("repeated format")),
+        F.when(F.coalesce(F.size(urls), F.lit(0)) <= 0, F.lit("no URL")),
+        F.when(F.exists(urls, lambda u: F.coalesce(u, F.lit("")) == ""), F.lit("empty URL"))))
+
+
+def require_valid(entries: DataFrame) -> DataFrame:
+    """The same entries; an error if one of them has a fault."""
+    _refuse(entry_faults(entries).where("fault IS NOT NULL").select(*KEY, F.concat(F.lit("refused, "), F.col("fault")).alias("__why")))
+    return entries
+
+
 def dedupe_last(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     """REG-12: the last row (greatest ``ordinal``) of each key, like a dict built in order."""
     return latest_per_key(df, keys, [ordinal])
@@ -204,30 +243,40 @@ def merge(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def with_position(reg: DataFrame, order: list[str] = KEY, name: str = "position") -> DataFrame:
-    """SRT-4: 1-based position under the composite key; for registry-sized frames only."""
-    return reg.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+def with_position(reg: DataFrame, order: list = KEY, name: str = "position") -> DataFrame:
+    """SRT-4: 1-based position under the composite key, without gathering all rows in one task:
+    a range sort, then a number per partition on top of the sizes of those before it (one
+    row per partition)."""
+    ranged = reg.repartitionByRange(*[F.col(o) if isinstance(o, str) else o for o in order]).sortWithinPartitions(*order)
+    numbered = ranged.withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    part, row = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = numbered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
+    joined = numbered.withColumn("__part", part).join(F.broadcast(before.select("__part", "__before")), "__part")
+    return joined.withColumn(name, F.coalesce("__before", F.lit(0)) + row + 1).drop("__id", "__part", "__before")
 
 
 # --- persistence (SNK-6) ----------------------------------------------------------------
 
 def save_registry(reg: DataFrame, root: str) -> str:
-    """Append a new registry version (``rv=<utc micros>``) instead of rewriting the path a
-    reader may be using (D16).  Returns the version written."""
+    """Append a new registry version (the directory ``rv=<utc micros>``) instead of rewriting
+    the path a reader may be using (D16).  An empty registry is a version like any other.
+    Returns the version written."""
     rv = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    reg.withColumn("rv", F.lit(rv)).write.mode("append").partitionBy("rv").parquet(root)
+    reg.coalesce(4).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/rv={rv}")
     return rv
 
 
 def load_registry(spark: SparkSession, root: str) -> DataFrame:
-    """Newest registry version; a missing location is an empty registry."""
-    from releasekit.session import path_exists
-
-    if not path_exists(spark, root):
-        return empty_registry(spark)
-    allv = spark.read.schema(T.StructType(REGISTRY_SCHEMA.fields + [T.StructField("rv", T.StringType())])).parquet(root)
-    newest = allv.agg(F.max("rv")).scalar()
-    return allv.where(F.col("rv") == newest).drop("rv")
+    """Newest complete registry version, found from the directory listing; older ones are not
+    opened.  A missing location is an empty registry; one that can't be reached is an error."""
+    from releasekit.session import child_names
+
+    root = root.rstrip("/")
+    for rv in sorted((n for n in child_names(spark, root) if n.startswith("rv=")), reverse=True):
+        if "_SUCCESS" in child_names(spark, f"{root}/{rv}"):
+            return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/{rv}")
+    return empty_registry(spark)
 
 
 # --- reading through the registry (SRC-10 / SRC-11) ---------------------------------------

@@ -20,7 +20,7 @@ class ReleaseRegistry:
         self.entries = entries if entries is not None else R.load_registry(spark, root)
 
     # lookups ---------------------------------------------------------------------------
-    def find(self, source: str | None = None, artifact: str | None = None, version: str | None = None) -> DataFrame:
+    def find(self, source: str | None = None, artifact: str | None = None, version: str | None = "latest") -> DataFrame:
         return R.find(self.entries, source, artifact, version)
 
     def latest(self) -> DataFrame:
@@ -40,6 +40,7 @@ class ReleaseRegistry:
 
     # updates (each returns a new registry; nothing is written until ``save``) -----------
     def add(self, new: DataFrame, overwrite: bool = False) -> "ReleaseRegistry":
+        R.require_valid(new)
         merged = R.upsert(self.entries, new) if overwrite else R.insert_strict(self.entries, new)
         return ReleaseRegistry(self.spark, self.root, merged)
 

@@ -117,7 +117,7 @@ def distinct_combinations(df: DataFrame, keys: list[str], cols: list[str], name:
 def top_k(counts: DataFrame, count_col: str, key: str, k: int) -> DataFrame:
     """SRT-1/2: by count desc, key asc as tie-break; ``TakeOrderedAndProject`` keeps only
     k rows per task, so nothing big is sorted."""
-    return counts.orderBy(F.desc(count_col), F.asc(key)).limit(k)
+    return counts.orderBy(F.desc(count_col), F.asc_nulls_last(key)).limit(k)
 
 
 def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

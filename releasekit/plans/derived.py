@@ -48,12 +48,18 @@ def registry(spark: SparkSession, sf: str, rel: DataFrame | None = None, formats
                            formats=formats)
 
 
+def unique(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as a table with one row per ``key``; the query fails where a key repeats."""
+    once = lambda c: F.when(F.count(F.lit(1)) == 1, F.first(c)).otherwise(F.raise_error(F.lit(f"{key} repeats"))).alias(c)
+    return df.groupBy(key).agg(*[once(c) for c in df.columns if c != key])
+
+
 def evidence(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
-    # one target per evidence record: dimensions keyed uniquely, which also lets Catalyst
-    # drop these joins from queries that never read a target field
-    c = table(spark, sf, "customer").dropDuplicates(["c_custkey"])
-    n = table(spark, sf, "nation").dropDuplicates(["n_nationkey"])
+    # one target per evidence record: dimensions keyed uniquely (a repeated key fails), which
+    # also lets Catalyst drop these joins from queries that never read a target field
+    c = unique(table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey"), "c_custkey")
+    n = unique(table(spark, sf, "nation").select("n_nationkey", "n_name"), "n_nationkey")
     li = table(spark, sf, "lineitem")
     # codes are a set over a small vocabulary (flag x status), so the per-order state is bounded
     codes = li.groupBy(F.col("l_orderkey")).agg(

@@ -103,14 +103,19 @@ def reg_latest_per_key(spark, sf):
 
 
 @query("reg_latest_version_all", f"""
-WITH {REL2}
-SELECT {KEYS} FROM (
-  SELECT *, rank() OVER (PARTITION BY source, artifact ORDER BY version DESC) AS rk
-  FROM releases2 WHERE version < 'v1998') WHERE rk = 1
+WITH {REL}, r AS (
+  SELECT * FROM releases
+  UNION ALL SELECT source, storage, artifact, version, created + INTERVAL 1 DAY, nrow FROM releases WHERE version >= 'v2001')
+SELECT {KEYS} FROM (SELECT *, rank() OVER (PARTITION BY source, artifact ORDER BY version DESC) AS rk FROM r) WHERE rk = 1
 """)
 def reg_latest_version_all(spark, sf):
-    r2 = D.releases2(spark, sf).where(F.col("version") < "v1998")
-    return _keys(R.latest_version_all(r2, ["source", "artifact"], "version"))
+    """REG-7: the newest versions have two collections each, and both stay.  The registry is
+    stored once; the lookup reads it twice."""
+    rel = D.releases(spark, sf)
+    again = rel.where(F.col("version") >= "v2001").withColumn("created", F.col("created") + F.expr("INTERVAL 1 DAY"))
+    path = scratch_path(spark, "latest")
+    _keys(rel.unionByName(again)).write.parquet(path)
+    return R.latest_version_all(spark.read.parquet(path), ["source", "artifact"], "version")
 
 
 @query("reg_insert_strict", f"""
@@ -128,6 +133,31 @@ def reg_insert_strict(spark, sf):
     return R.insert_strict(base, new).select(*R.KEY, "nrow")
 
 
+@query("reg_validate_insert", f"""
+WITH {REL}
+SELECT artifact, version, created,
+       CASE CAST(substr(version, 7, 2) AS INTEGER) % 5
+            WHEN 0 THEN 'artifact is no slug' WHEN 1 THEN 'version does not begin with v'
+            WHEN 2 THEN 'repeated format' WHEN 3 THEN 'no format' END AS fault
+FROM releases
+""")
+def reg_validate_insert(spark, sf):
+    """The rules an entry must meet before it is registered: accepted rows have no fault, the
+    others the first one.  Faults are planted by the month of the version."""
+    rel = D.releases(spark, sf)
+    m = F.substring("version", 7, 2).cast("int") % 5
+    fmt = lambda *names: F.array(*[R.format_struct(F.lit(n), F.lit("directory"), F.lit(False)) for n in names])
+    none = F.filter(fmt("parquet"), lambda x: F.lit(False))
+    dirty = rel.withColumns({
+        "bad_artifact": F.when(m == 0, F.concat("artifact", F.lit(" !"))).otherwise(F.col("artifact")),
+        "bad_version": F.when(m == 1, F.substring("version", 2, 100)).otherwise(F.col("version")),
+        "formats": F.when(m == 2, fmt("parquet", "parquet")).when(m == 3, none).otherwise(fmt("parquet", "csv"))})
+    url = F.create_map(F.lit("parquet"), F.lit("file:///x"))
+    entries = R.build_entries(dirty, source="source", storage="storage", artifact="bad_artifact", version="bad_version",
+                              created="created", formats="formats", resources=url, source_name="artifact", artifact_name="version")
+    return R.entry_faults(entries).select(F.col("source_name").alias("artifact"), F.col("artifact_name").alias("version"), "created", "fault")
+
+
 UPSERT_USER = 7
 
 
@@ -220,8 +250,14 @@ WITH {REL}
 SELECT {KEYS}, nrow FROM releases
 """)
 def reg_roundtrip(spark, sf):
+    """SNK-6: save, remove all entries, save that empty registry (it must load as empty), insert
+    all again, save and load."""
     root = scratch_path(spark, "registry")
-    R.save_registry(D.registry(spark, sf), root)
+    full = D.registry(spark, sf)
+    R.save_registry(full, root)
+    stored = R.load_registry(spark, root)
+    R.save_registry(R.remove(stored, stored), root)
+    R.save_registry(R.insert_strict(R.load_registry(spark, root), full), root)
     back = R.load_registry(spark, root)
     return back.select(*R.KEY, F.col("metadata")["nrow"].cast("bigint").alias("nrow"))
 
@@ -359,18 +395,19 @@ def cmp_release_keys(spark, sf):
 
 
 @query("cmp_union_releases", """
-SELECT o_orderkey AS key, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS price, CAST(NULL AS VARCHAR) AS extra
-FROM orders WHERE year(o_orderdate) = 1995
+SELECT o_orderkey AS key, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS price, CAST(NULL AS VARCHAR) AS extra,
+       CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS n_bad
+FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
 UNION ALL
-SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE year(o_orderdate) = 1996
+SELECT o_orderkey, o_totalprice, o_orderstatus, 0 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
 """)
 def cmp_union_releases(spark, sf):
     o = table(spark, sf, "orders")
-    y = F.year("o_orderdate")
-    old = o.where(y == 1995).select(
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    old = o.where(F.col("o_orderdate") < cut).select(
         F.col("o_orderkey").alias("key"),
         F.when(F.col("o_orderkey") % 10 == 0, F.lit("NR")).otherwise(F.col("o_totalprice").cast("string")).alias("price"))
-    new = o.where(y == 1996).select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"),
+    new = o.where(F.col("o_orderdate") >= cut).select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"),
                                     F.col("o_orderstatus").alias("extra"))
     return CMP.union_releases(old, new)
 
@@ -408,17 +445,18 @@ def goal_ancestor_expansion(spark, sf):
 
 @query("goal_entity_set", """
 WITH u AS (
-  SELECT p_partkey AS k, 'catalog' AS src FROM part WHERE p_size >= 25
-  UNION ALL SELECT l_partkey, 'early' FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01'
-  UNION ALL SELECT l_partkey, 'late' FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01')
+  SELECT p_partkey AS k, 'catalog' AS src FROM part
+  UNION ALL SELECT l_partkey, 'early' FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
+  UNION ALL SELECT l_partkey, 'late' FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01')
 SELECT k AS p_partkey, string_agg(DISTINCT src, ',' ORDER BY src) AS sources FROM u WHERE k IS NOT NULL GROUP BY k
 """)
 def goal_entity_set(spark, sf):
     p = table(spark, sf, "part")
     li = table(spark, sf, "lineitem")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
     frames = {
-        "catalog": p.where(F.col("p_size") >= 25).select("p_partkey"),
-        "early": li.where(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")).select(F.col("l_partkey").alias("p_partkey")),
-        "late": li.where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select(F.col("l_partkey").alias("p_partkey")),
+        "catalog": p.select("p_partkey"),
+        "early": li.where(F.col("l_shipdate") < cut).select(F.col("l_partkey").alias("p_partkey")),
+        "late": li.where(F.col("l_shipdate") >= cut).select(F.col("l_partkey").alias("p_partkey")),
     }
     return ON.entity_sources(frames, "p_partkey")

@@ -10,34 +10,73 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions import columns as C
-from releasekit.functions.schema import sanitize_columns, to_flat
+from releasekit.functions.schema import to_flat
+from releasekit.operators import quality as Q
 from releasekit.operators import registry as R
 from releasekit.operators.ingest import import_release
 from releasekit.plans.base import query, table
 from releasekit.session import scratch_path
 from releasekit.sources import dumps, readers
 from releasekit.sources.writers import publish, write_parquet, write_profiled, write_versioned
-from releasekit.streaming.snapshots import read_snapshots, snapshot_stream
+from releasekit.streaming.snapshots import snapshot_stream
 
 PREAMBLE_LINES = 15
+VERSION_ROWS_PER_FILE = 1_000_000
 
 
-def cast_like(df, schema: T.StructType):
-    """Apply recorded types by name (the dump carried strings)."""
-    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+def cast_strict(df, schema: T.StructType):
+    """Apply recorded types by name (the dump carried strings); a value of another type fails."""
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # ---------------------------------------------------------------- sources (SRC)
 
 
-@query("src_preamble_tsv", "SELECT * FROM supplier")
-def src_preamble_tsv(spark, sf):
+def _preamble_dump(spark, sf):
+    """Supplier with 15 preamble lines and a header; the first field of some rows begins with the
+    mark of the header, and some balances are NA."""
     s = table(spark, sf, "supplier")
     path = scratch_path(spark, "preamble")
+    name = F.when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit("#"), "s_name")).otherwise(F.col("s_name"))
+    balance = F.when(F.col("s_suppkey") % 7 == 0, F.lit("NA")).otherwise(F.col("s_acctbal").cast("string"))
+    dump = s.select(name.alias("s_name"), "s_suppkey", "s_nationkey", balance.alias("s_acctbal"))
     preamble = [f"## dump line {i + 1}" for i in range(PREAMBLE_LINES)]
-    dumps.write_delimited_dump(s, path, sep="\t", header="#" + "\t".join(s.columns), preamble=preamble,
+    dumps.write_delimited_dump(dump, path, sep="\t", header="#" + "\t".join(dump.columns), preamble=preamble,
                                compression="gzip")
-    return readers.read_preamble_tsv(spark, path, schema=s.schema)
+    return path
+
+
+SQL_PREAMBLE_NAME = "CASE WHEN s_suppkey % 5 = 0 THEN '#' || s_name ELSE s_name END AS s_name"
+
+
+@query("src_preamble_tsv", f"""
+SELECT {SQL_PREAMBLE_NAME}, CAST(s_suppkey AS VARCHAR) AS s_suppkey, CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_suppkey % 7 = 0 AS no_balance
+FROM supplier
+""")
+def src_preamble_tsv(spark, sf):
+    """SRC-1: the preamble goes by count, so rows that look like comments stay."""
+    got = readers.read_preamble_tsv(spark, _preamble_dump(spark, sf), skip=PREAMBLE_LINES)
+    return got.select("s_name", "s_suppkey", "s_nationkey", (F.col("s_acctbal") == "NA").alias("no_balance"))
+
+
+@query("src_preamble_typed", f"""
+SELECT {SQL_PREAMBLE_NAME}, s_suppkey, s_nationkey, CASE WHEN s_suppkey % 7 <> 0 THEN s_acctbal END AS s_acctbal FROM supplier
+""")
+def src_preamble_typed(spark, sf):
+    """SRC-1 with types: integers and doubles are found from all rows, NA tokens are null."""
+    return readers.infer_types(readers.read_preamble_tsv(spark, _preamble_dump(spark, sf), skip=PREAMBLE_LINES))
+
+
+@query("qlt_cast_violations", """
+SELECT 'cast:s_acctbal' AS rule, CAST(s_suppkey AS VARCHAR) AS key, 'NA' AS value FROM supplier WHERE s_suppkey % 7 = 0
+UNION ALL
+SELECT 'cast:s_nationkey', CAST(s_suppkey AS VARCHAR), 'n/a' FROM supplier WHERE s_suppkey % 3 = 0
+""")
+def qlt_cast_violations(spark, sf):
+    """Values of a dump that the recorded types would turn into nulls, as violation rows."""
+    raw = readers.read_preamble_tsv(spark, _preamble_dump(spark, sf), skip=PREAMBLE_LINES)
+    raw = raw.withColumn("s_nationkey", F.when(F.col("s_suppkey").cast("bigint") % 3 == 0, "n/a").otherwise(F.col("s_nationkey")))
+    return Q.cast_violations(raw, table(spark, sf, "supplier").schema, "s_suppkey")
 
 
 @query("src_header_tsv", """
@@ -63,7 +102,7 @@ def src_named_header_repair(spark, sf):
     path = scratch_path(spark, "named")
     dumps.write_delimited_dump(p, path, sep="\t", header="#Format: " + "<tab>".join(p.columns))
     raw = readers.read_with_repaired_header(spark, path, marker="#Format: ", token="<tab>")
-    return cast_like(raw, p.schema)
+    return cast_strict(raw, p.schema)
 
 
 def _chunk_dir(spark, sf, label, chunk_of):
@@ -131,7 +170,7 @@ def src_json_document_terms(spark, sf):
     paged = terms.withColumn("page", F.pmod(F.xxhash64("iri"), F.lit(n_pages)))
     path = scratch_path(spark, "terms")
     dumps.write_json_pages(paged, path, "page")
-    return readers.read_json_documents(spark, path, "_embedded.terms").select("iri", "label")
+    return readers.read_json_documents(spark, path, "_embedded.terms", one_per_line=True).select("iri", "label")
 
 
 @query("src_parquet", """
@@ -143,31 +182,22 @@ def src_parquet(spark, sf):
               .select("l_orderkey", "l_partkey", "l_quantity"))
 
 
-def _month_bounds(ym: str):
-    y, m = int(ym[:4]), int(ym[5:7])
-    start = dt.datetime(y, m, 1)
-    end = dt.datetime(y + (m == 12), m % 12 + 1, 1)
-    return start, end
-
-
 @query("src_registry_read", """
 SELECT * FROM orders WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)
 """)
 def src_registry_read(spark, sf):
-    """SRC-10/11: publish the two newest order months as two versions, register them,
-    then read ``latest`` back through the registry."""
-    o = table(spark, sf, "orders")
-    months = [r["m"] for r in o.select(F.date_format("o_orderdate", "yyyy-MM").alias("m")).where("m is not null")
-              .distinct().orderBy(F.desc("m")).limit(2).collect()]
+    """SRC-10/11: publish every order month as a version, in one write, register them all and
+    read ``latest`` back through the registry."""
+    o = table(spark, sf, "orders").where("o_orderdate IS NOT NULL").withColumn("version", C.version_from_ts("o_orderdate", "month"))
     root = scratch_path(spark, "registry_read")
-    for ym in sorted(months):
-        start, end = _month_bounds(ym)
-        lo, hi = (F.lit(x.isoformat(" ")).cast("timestamp_ntz") for x in (start, end))
-        part = o.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
-        import_release(spark, part, registry_root=f"{root}/registry", store_root=f"{root}/store",
-                       source="orders", artifact="monthly", version=f"v{ym}", created=start, sanitize=False)
-    reg = R.load_registry(spark, f"{root}/registry")
-    return R.read_release(spark, reg, "orders", "monthly", "latest")
+    store = f"{root}/store/orders/monthly"
+    write_versioned(o, store, rows_per_file=VERSION_ROWS_PER_FILE)
+    months = o.groupBy("version").agg(F.max("o_orderdate").alias("created"), F.count(F.lit(1)).alias("nrow"))
+    entries = R.build_entries(months, source=F.lit("orders"), artifact=F.lit("monthly"), version="version", created="created",
+                              metadata=F.create_map(F.lit("nrow"), F.col("nrow").cast("string")),
+                              resources=F.create_map(F.lit("parquet"), F.concat(F.lit(store + "/version="), F.col("version"))))
+    R.save_registry(R.require_valid(entries), f"{root}/registry")
+    return R.read_release(spark, R.load_registry(spark, f"{root}/registry"), "orders", "monthly", "latest")
 
 
 @query("src_registry_flat_read", """
@@ -219,7 +249,7 @@ def src_registry_json_read(spark, sf):
 
 
 # Significance texts given to the three line flags, and the accept rules.
-SIGNIFICANCE = [("A", "Pathogenic"), ("N", "conflicting interpretations"), ("R", "risk factor")]
+SIGNIFICANCE = [("A", "Pathogenic"), ("N", "conflicting interpretations"), ("R", "Risk Factor")]
 REJECT_WORDS = ["conflicting"]
 ACCEPT_WORDS = ["pathogenic", "protective"]
 ACCEPT_VALUES = ["risk factor"]
@@ -230,15 +260,15 @@ WITH a AS (
   SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders
   WHERE regexp_replace(regexp_replace(lower(o_orderpriority), '[^0-9a-z]+', '_', 'g'), '_+$', '') = '1_urgent'),
 o AS (
-  SELECT CASE l_returnflag WHEN 'A' THEN 'Pathogenic' WHEN 'N' THEN 'conflicting interpretations' ELSE 'risk factor' END AS cs,
+  SELECT CASE l_returnflag WHEN 'A' THEN 'Pathogenic' WHEN 'N' THEN 'conflicting interpretations' ELSE 'Risk Factor' END AS cs,
          CAST(l_orderkey AS VARCHAR) || ';' || CAST(l_orderkey + 1 AS VARCHAR) || ';' AS rcv
   FROM lineitem),
 acc AS (
   SELECT rcv FROM o
   WHERE CASE WHEN contains(lower(cs), 'conflicting') THEN false
              WHEN contains(lower(cs), 'pathogenic') OR contains(lower(cs), 'protective') THEN true
-             WHEN cs IN ('risk factor') THEN true ELSE false END),
-b AS (SELECT DISTINCT t AS id FROM (SELECT unnest(string_split(rcv, ';')) AS t FROM acc) WHERE length(trim(t)) > 0)
+             WHEN lower(cs) IN ('risk factor') THEN true ELSE false END),
+b AS (SELECT DISTINCT t AS id FROM (SELECT unnest(string_split(rcv, ';')) AS t FROM acc))
 SELECT 'both' AS side, count(*) AS n FROM (SELECT id FROM a INTERSECT SELECT id FROM b)
 UNION ALL SELECT 'left_only', count(*) FROM (SELECT id FROM a EXCEPT SELECT id FROM b)
 UNION ALL SELECT 'right_only', count(*) FROM (SELECT id FROM b EXCEPT SELECT id FROM a)
@@ -306,7 +336,7 @@ def joi_term_mapping_coverage(spark, sf):
     n_pages = max(1, -(-terms.count() // TERMS_PER_PAGE))
     path = scratch_path(spark, "obo_pages")
     dumps.write_json_pages(terms.withColumn("page", F.pmod(F.xxhash64("iri"), F.lit(n_pages))), path, "page")
-    got = readers.read_json_documents(spark, path, "_embedded.terms")
+    got = readers.read_json_documents(spark, path, "_embedded.terms", one_per_line=True)
     classified = (got.select(C.iri_to_curie("iri").alias("curie"),
                              FL.classify_keywords("label", TERM_CLASSES).alias("class"))
                      .where("class is not null").distinct())
@@ -335,18 +365,25 @@ def snk_parquet_repartition(spark, sf):
     return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-VERSION_ROWS_PER_FILE = 1_000_000
-
-
 @query("snk_versioned_layout", """
-SELECT 'v' || strftime(o_orderdate, '%Y-%m') AS version, count(*) AS n FROM orders GROUP BY 1
+WITH c AS (SELECT 'v' || strftime(o_orderdate, '%Y-%m') AS version, CASE WHEN day(o_orderdate) < 15 THEN 1 ELSE 15 END AS d, o_orderdate FROM orders)
+SELECT version, strftime(date_trunc('month', o_orderdate) + to_days(d - 1), '%Y%m%dT%H%M%S') AS created,
+       'orders/orders/version=' || version || '/created=' || strftime(date_trunc('month', o_orderdate) + to_days(d - 1), '%Y%m%dT%H%M%S') AS directory, count(*) AS n
+FROM c GROUP BY 1, 2, 3
 """)
 def snk_versioned_layout(spark, sf):
+    """SNK-2 in bulk: every month is a version with two collections (the first and the second
+    half of the month), each in the directory of its own time; the path is checked."""
     root = scratch_path(spark, "versioned")
-    o = table(spark, sf, "orders").withColumn("version", C.version_from_ts("o_orderdate", "month"))
-    write_versioned(o, f"{root}/orders/orders", rows_per_file=VERSION_ROWS_PER_FILE)
-    back = spark.read.parquet(f"{root}/orders/orders")
-    return back.groupBy(F.col("version").cast("string").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+    half = F.when(F.dayofmonth("o_orderdate") < 15, 0).otherwise(14)
+    month = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")
+    o = (table(spark, sf, "orders").withColumn("version", C.version_from_ts("o_orderdate", "month"))
+         .withColumn("collected", month + F.make_dt_interval(half)))
+    write_versioned(o, f"{root}/orders/orders", rows_per_file=VERSION_ROWS_PER_FILE, created_col="collected")
+    back = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/orders/orders")
+    path = F.regexp_extract(F.col("_metadata.file_path"), r"(orders/orders/.*)/[^/]*$", 1)
+    return back.groupBy(path.alias("directory")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.regexp_extract("directory", "version=([^/]*)", 1).alias("version"), F.regexp_extract("directory", "created=([^/]*)", 1).alias("created"), "directory", "n")
 
 
 @query("snk_publish_policy", """
@@ -392,10 +429,9 @@ def ingest_publish_read(spark, sf):
     export = s.select(*[F.col(c).alias(SUPPLIER_EXPORT_NAMES[c]) for c in s.columns])
     export.write.mode("overwrite").csv(f"{root}/dump", sep="\t", header=True)
     raw = readers.read_delimited(spark, f"{root}/dump", sep="\t", header=True)
-    clean = cast_like(sanitize_columns(raw), s.schema)
-    import_release(spark, clean, registry_root=f"{root}/registry", store_root=f"{root}/store",
+    import_release(spark, raw, registry_root=f"{root}/registry", store_root=f"{root}/store",
                    source="suppliers", artifact="supplier", version="v2024-01",
-                   created=dt.datetime(2024, 1, 1), sanitize=False)
+                   created=dt.datetime(2024, 1, 1), types=s.schema)
     reg = R.load_registry(spark, f"{root}/registry")
     return R.read_release(spark, reg, "suppliers", "supplier", "latest")
 
@@ -421,14 +457,17 @@ def scl_release_from_filename(spark, sf):
 SELECT 'v' || strftime(ts, '%Y-%m-%d') AS version, count(*) AS n FROM events GROUP BY 1
 """)
 def goal_stream_snapshot(spark, sf):
+    """GOAL-4: two passes whose files share all days; every version, read through its registry
+    entry, must hold the rows of both."""
     e = table(spark, sf, "events")
     root = scratch_path(spark, "stream")
-    # test input for the stream: daily files as a producer would drop them
-    write_versioned(e.withColumn("day", F.to_date("ts")), f"{root}/incoming", "day")
-    schema = T.StructType(e.schema.fields + [T.StructField("day", T.DateType())])
-    snapshot_stream(spark, f"{root}/incoming", schema, f"{root}/snapshots", f"{root}/_checkpoint",
-                    registry_root=f"{root}/registry", source="events", artifact="daily")
-    snaps = read_snapshots(spark, f"{root}/snapshots")
+    for part in (0, 1):  # what a producer drops, and what it adds later
+        e.where(F.pmod("event_id", F.lit(2)) == part).write.parquet(f"{root}/incoming/drop={part}")
+        snapshot_stream(spark, f"{root}/incoming/*", e.schema, f"{root}/snapshots", f"{root}/_checkpoint",
+                        registry_root=f"{root}/registry", source="events", artifact="daily")
+    newest = R.latest_per_key(R.load_registry(spark, f"{root}/registry"), ["version"], ["created"])
+    urls = [r["url"] for r in newest.select(F.element_at("resources", "parquet").alias("url")).collect()]  # one a day
+    snaps = spark.read.option("basePath", f"{root}/snapshots").parquet(*urls)
     return snaps.groupBy(F.col("version").cast("string").alias("version")).agg(F.count(F.lit(1)).alias("n"))
 
 

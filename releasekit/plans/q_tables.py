@@ -112,24 +112,30 @@ def flt_any_keyword(spark, sf):
     return d.where(FL.any_keyword("text", ["license", "password"])).select("doc_id")
 
 
-ACCEPT_LIST = ["3-MEDIUM"]
-
-
-@query("flt_accept_rules", """
-SELECT o_orderpriority AS priority,
-       CASE WHEN o_orderpriority IS NULL THEN false
-            WHEN contains(lower(o_orderpriority), 'not') THEN false
-            WHEN contains(lower(o_orderpriority), 'urgent') THEN true
-            WHEN contains(lower(o_orderpriority), 'high') THEN true
-            WHEN o_orderpriority IN ('3-MEDIUM') THEN true
+ACCEPT_LIST = ["3-Medium"]
+SQL_MIXED_CASE = "CASE o_orderkey % 3 WHEN 0 THEN lower(o_orderpriority) WHEN 1 THEN upper(left(o_orderpriority, 3)) || lower(substr(o_orderpriority, 4)) ELSE o_orderpriority END"
+
+
+@query("flt_accept_rules", f"""
+WITH t AS (SELECT {SQL_MIXED_CASE} AS priority FROM orders)
+SELECT priority,
+       CASE WHEN priority IS NULL THEN false
+            WHEN contains(lower(priority), 'not') THEN false
+            WHEN contains(lower(priority), 'urgent') THEN true
+            WHEN contains(lower(priority), 'high') THEN true
+            WHEN lower(priority) IN ('3-medium') THEN true
             ELSE false END AS accept,
        count(*) AS n
-FROM orders GROUP BY 1, 2
+FROM t GROUP BY 1, 2
 """)
 def flt_accept_rules(spark, sf):
-    o = table(spark, sf, "orders")
-    rule = FL.accept_rules("o_orderpriority", ["not"], ["urgent", "high"], ACCEPT_LIST)
-    return o.groupBy(F.col("o_orderpriority").alias("priority"), rule.alias("accept")).agg(F.count(F.lit(1)).alias("n"))
+    """FLT-4 on texts of mixed case: words and listed values match in any case."""
+    p = F.col("o_orderpriority")
+    k = F.col("o_orderkey") % 3
+    mixed = (F.when(k == 0, F.lower(p)).when(k == 1, F.concat(F.upper(F.left(p, F.lit(3))), F.lower(F.substring(p, 4, 1000)))).otherwise(p))
+    o = table(spark, sf, "orders").select(mixed.alias("priority"))
+    rule = FL.accept_rules("priority", ["not"], ["urgent", "high"], ACCEPT_LIST)
+    return o.groupBy("priority", rule.alias("accept")).agg(F.count(F.lit(1)).alias("n"))
 
 
 CLASSES = [("small", "small"), ("large", "large")]
@@ -248,33 +254,33 @@ def agg_count_of_counts(spark, sf):
     return A.count_of_counts(per)
 
 
-def _early_brands(spark, sf):
-    li = table(spark, sf, "lineitem").where(F.col("l_shipdate") < F.lit("1995-03-01").cast("timestamp_ntz"))
+def _sold_brands(spark, sf):
+    li = table(spark, sf, "lineitem")
     p = table(spark, sf, "part").select("p_partkey", "p_brand")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     return (li.join(p, li["l_partkey"] == p["p_partkey"]).join(s, li["l_suppkey"] == s["s_suppkey"])
               .select(F.col("s_nationkey").alias("nation"), F.col("l_suppkey").alias("supp"), "p_brand"))
 
 
-SQL_EARLY_BRANDS = """
+SQL_SOLD_BRANDS = """
 SELECT s_nationkey AS nation, l_suppkey AS supp, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS terms
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-WHERE l_shipdate < TIMESTAMP '1995-03-01' AND p_brand IS NOT NULL
+WHERE p_brand IS NOT NULL
 GROUP BY 1, 2"""
 
 
-@query("agg_sorted_concat", SQL_EARLY_BRANDS)
+@query("agg_sorted_concat", SQL_SOLD_BRANDS)
 def agg_sorted_concat(spark, sf):
-    return A.sorted_concat(_early_brands(spark, sf), ["nation", "supp"], "p_brand")
+    return A.sorted_concat(_sold_brands(spark, sf), ["nation", "supp"], "p_brand")
 
 
 @query("agg_dependency_check", f"""
-WITH sig AS ({SQL_EARLY_BRANDS})
+WITH sig AS ({SQL_SOLD_BRANDS})
 SELECT n_signatures, count(*) AS n_keys FROM (
   SELECT nation, count(DISTINCT terms) AS n_signatures FROM sig GROUP BY nation) GROUP BY n_signatures
 """)
 def agg_dependency_check(spark, sf):
-    return A.dependency_check(_early_brands(spark, sf), "nation", "supp", "p_brand")
+    return A.dependency_check(_sold_brands(spark, sf), "nation", "supp", "p_brand")
 
 
 @query("agg_value_counts", "SELECT p_type, count(*) AS n FROM part WHERE p_type IS NOT NULL GROUP BY 1")
@@ -327,24 +333,24 @@ SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custke
 """)
 def agg_top_k(spark, sf):
     counts = A.group_count(table(spark, sf, "orders"), "o_custkey")
-    return counts.orderBy(F.desc("n"), F.asc_nulls_last("o_custkey")).limit(25)
+    return A.top_k(counts, "n", "o_custkey", 25)
 
 
 # ---------------------------------------------------------------- sets and joins (SET, JOI)
 
 
 @query("set_overlap_report", """
-WITH l AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01' AND l_partkey IS NOT NULL),
-     r AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_partkey IS NOT NULL)
+WITH l AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey IS NOT NULL),
+     r AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag <> 'R' AND l_orderkey IS NOT NULL)
 SELECT 'both' AS side, count(*) AS n FROM (SELECT k FROM l INTERSECT SELECT k FROM r)
 UNION ALL SELECT 'left_only', count(*) FROM (SELECT k FROM l EXCEPT SELECT k FROM r)
 UNION ALL SELECT 'right_only', count(*) FROM (SELECT k FROM r EXCEPT SELECT k FROM l)
 """)
 def set_overlap_report(spark, sf):
+    """Orders with returned lines against orders with other lines: the two cover the table."""
     li = table(spark, sf, "lineitem")
-    early = F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")
-    late = F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
-    return S.side_counts(S.overlap_sides_by(li, "l_partkey", early, late))
+    returned = F.col("l_returnflag") == "R"
+    return S.side_counts(S.overlap_sides_by(li, "l_orderkey", returned, F.col("l_returnflag") != "R"))
 
 
 @query("set_distinct_values", "SELECT DISTINCT text FROM documents")
@@ -406,12 +412,12 @@ def joi_crosswalk_sources(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    # relations are keyed by order; the customer is joined only after the concept filter
-    rel = (li.join(s, li["l_suppkey"] == s["s_suppkey"])
-             .select("l_orderkey", F.col("s_nationkey").alias("concept"), F.col("l_returnflag").alias("src")))
+    # the suppliers of the chosen concepts first: lineitem is joined once, to those, by supplier
+    concepts = ON.crosswalk_concepts(terms, mapping, term="term", concept="concept")
+    chosen = s.join(concepts, F.col("s_nationkey") == F.col("concept")).select("s_suppkey", "class")
+    rel = li.join(chosen, li["l_suppkey"] == chosen["s_suppkey"]).select("l_orderkey", "class", F.col("l_returnflag").alias("src"))
     cust = o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer"))
-    return ON.crosswalk(terms, mapping, rel, term="term", concept="concept", subject="customer", source="src",
-                        subject_map=cust, via="l_orderkey")
+    return ON.subject_sources(rel.join(cust, "l_orderkey"), subject="customer", source="src")
 
 
 # ---------------------------------------------------------------- quality over tables
@@ -445,8 +451,7 @@ def scl_url_tail_prefix(spark, sf):
 
 
 @query("scl_split_explode", """
-SELECT token, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS token FROM part)
-WHERE length(trim(token)) > 0 GROUP BY token
+SELECT token, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS token FROM part) GROUP BY token
 """)
 def scl_split_explode(spark, sf):
     p = table(spark, sf, "part")

@@ -2,7 +2,7 @@
 
 Scratch output (fixture dumps, published releases, registry versions) always goes
 under the shared folder the cluster names in ``spark.checkpoint.dir``.  Only when
-that setting is absent (a bare local test session) do we create one ourselves.
+that setting is absent on a local master (tests) do we create one ourselves.
 """
 
 from __future__ import annotations
@@ -55,16 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             pass
         return d
+    if not _is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="releasekit-ckpt-")
+    spark.sparkContext.setCheckpointDir(local)
+    return spark.sparkContext.getCheckpointDir() or local
+
+
+def _is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``, not ``local-cluster``)."""
     try:
-        spark.sparkContext.setCheckpointDir(local)
-        return spark.sparkContext.getCheckpointDir() or local
-    except Exception:  # Spark Connect: no SparkContext on the client
-        try:
-            spark.conf.set("spark.checkpoint.dir", local)
-        except Exception:
-            pass
-        return local
+        master = spark.sparkContext.master
+    except Exception:  # Spark Connect: no SparkContext on the client, so a remote cluster
+        return False
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -73,17 +77,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/releasekit-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch output of finished queries (their results can no longer be read)."""
+    fs, path = _file_system(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/releasekit-scratch")
+    fs.delete(path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its (possibly remote) file system, without running a
-    query that fails.  Falls back to a read probe where the Hadoop API is unreachable
-    (Spark Connect)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-    except Exception:
-        try:
-            spark.read.format("binaryFile").load(path).schema
-            return True
-        except Exception:
-            return False
+    """Whether ``path`` exists on its (possibly remote) file system.  Only a real "not found"
+    is False: an unreachable or forbidden location raises."""
+    fs, hpath = _file_system(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a directory; none if it does not exist."""
+    fs, hpath = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def move_into_place(spark: SparkSession, staged: str, target: str) -> None:
+    """Replace ``target`` by the finished ``staged`` directory."""
+    fs, old = _file_system(spark, target)
+    _, new = _file_system(spark, staged)
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {staged} to {target}")

@@ -3,7 +3,8 @@ documents).  They turn a table into the kind of files a public source ships, so
 readers can be exercised on data of any size.
 
 Every dump file is one ``(key, chunk)`` group written as its own directory, and each
-starts with its head lines (preamble / header).  The chunk is a hash of the row, so a
+starts with its head lines (preamble / header).  The chunk is a hash of the row and its
+number in the task, so identical rows spread like others and a
 key holding a third of all rows is still written by ``n_chunks`` tasks.  Head rows are
 generated per group with ``posexplode`` (no cross join), shuffled next to their data,
 and ``sortWithinPartitions`` puts them first; that order already satisfies the file
@@ -18,8 +19,9 @@ CHUNK_COL = "chunk"
 
 
 def as_text(cols: list, sep: str) -> Column:
-    """One delimited line; nulls become empty fields (``concat_ws`` would skip them)."""
-    return F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
+    """One delimited record as the CSV writer makes it: nulls are empty fields, empty strings are
+    quoted, fields that hold the separator, a quote or a line feed are quoted and escaped."""
+    return F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"f{i}") for i, c in enumerate(cols)]), {"sep": sep, "emptyValue": '""', "comment": "\x01", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
 
 
 ROWS_PER_FILE = 1_000_000
@@ -46,7 +48,7 @@ def write_text_dump(lines: DataFrame, path: str, head: list[str], compression: s
     else:
         n_col = F.lit(max(1, n_chunks))
     data = base.select(
-        "value", *keys, F.pmod(F.xxhash64("value"), n_col).alias(CHUNK_COL), F.lit(len(head)).alias("__ord"))
+        "value", *keys, F.pmod(F.xxhash64("value", F.monotonically_increasing_id()), n_col).alias(CHUNK_COL), F.lit(len(head)).alias("__ord"))
     group_cols = keys + [CHUNK_COL]
     if head:
         heads = (data.select(*group_cols).distinct()
@@ -76,7 +78,8 @@ def write_delimited_dump(df: DataFrame, path: str, sep: str = "\t", header: str
 
 
 def write_json_pages(terms: DataFrame, path: str, page_col: str, array_path: tuple[str, str] = ("_embedded", "terms")) -> None:
-    """One JSON document per page (API-style paging): ``{"_embedded":{"terms":[...]}}``.
+    """One JSON document per page (API-style paging), one on each line of a bounded number of
+    files: ``{"_embedded":{"terms":[...]}}``.
 
     Rows are grouped by ``page_col``; the caller picks the page count so a page stays
     bounded (the group is a page, never a whole table)."""
@@ -85,4 +88,4 @@ def write_json_pages(terms: DataFrame, path: str, page_col: str, array_path: tup
     docs = terms.groupBy(page_col).agg(
         F.to_json(F.struct(F.struct(F.collect_list(F.struct(*item_cols)).alias(inner)).alias(outer))).alias("value")
     )
-    (docs.repartition(page_col).write.mode("overwrite").partitionBy(page_col).text(path))
+    docs.select("value").write.mode("overwrite").text(path)

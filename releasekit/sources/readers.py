@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,31 +44,77 @@ def _first_line(spark: SparkSession, path: str, predicate) -> str:
 
 # --- SRC-1: preamble before the header -------------------------------------------------
 
+#: What the CSV parser puts for an empty field; no text holds it, so "" stays apart from null.
+NO_TEXT = "\x00"
+#: Tokens that a typed read takes as null.
+NA_TOKENS = ("", "NA", "N/A", "na", "NaN", "nan", "NULL", "null", "-")
+
+
 def read_preamble_tsv(
     spark: SparkSession,
     path: str,
+    skip: int = 15,
     schema: T.StructType | None = None,
     sep: str = "\t",
     header_mark: str = "#",
-    preamble_mark: str = "##",
     spread_to: int | None = None,
 ) -> DataFrame:
-    """Delimited dump whose preamble lines start with ``preamble_mark`` and whose header
-    line starts with a single ``header_mark`` (``#VariationID<tab>...``).
+    """Delimited dump with ``skip`` preamble lines and then a header line in every file.
 
-    Both are comment lines to the CSV reader, so every file is parsed in parallel and
-    splittable inputs stay split.  Without ``schema`` the names come from the header and
-    every column is a string (the dump format carries no types).
-    """
+    Lines are dropped by count, so a data row may begin with any character.  Without
+    ``schema`` the names come from the header of one file (a leading ``header_mark`` is
+    dropped) and every column is a string; ``infer_types`` finds the types."""
+    if schema is None:
+        one = _files(spark).format("binaryFile").option("pathGlobFilter", "*").load(path).select("path").orderBy("path").first()
+        if one is None:
+            raise ValueError(f"no files under {path}")
+        head = spark.read.text(one["path"]).head(skip + 1)
+        if len(head) <= skip:
+            raise ValueError(f"{one['path']} has no header line after {skip} lines")
+        schema = string_schema(head[skip]["value"].removeprefix(header_mark).split(sep))
+    return spread(read_skip_lines(spark, path, skip + 1, schema, sep), spread_to)
+
+
+def read_commented_tsv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    sep: str = "\t",
+    header_mark: str = "#",
+    preamble_mark: str = "##",
+    spread_to: int | None = None,
+) -> DataFrame:
+    """The same for dumps whose data rows never begin with ``header_mark``: preamble and header
+    are comment lines to the CSV reader, so splittable inputs stay split.  Fails if a file
+    has more such lines than its one header, which would be data rows lost as comments."""
+    marked = F.col("value").startswith(header_mark) & ~F.col("value").startswith(preamble_mark)
     if schema is None:
-        line = _first_line(
-            spark, path, F.col("value").startswith(header_mark) & ~F.col("value").startswith(preamble_mark)
-        )
-        schema = string_schema(line[len(header_mark):].split(sep))
+        schema = string_schema(_first_line(spark, path, marked)[len(header_mark):].split(sep))
+    lost = _files(spark).text(path).where(marked).groupBy(F.col("_metadata.file_path").alias("file")).count().where("count > 1").first()
+    if lost:
+        raise ValueError(f"{lost['file']}: {lost['count']} lines begin with {header_mark!r}; read it by count (read_preamble_tsv)")
     return spread(_files(spark).schema(schema).csv(path, sep=sep, comment=header_mark[0], header=False,
                                                    mode="PERMISSIVE"), spread_to)
 
 
+def infer_types(df: DataFrame, na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
+    """String columns to bigint or double where every value but the NA tokens is one, the tokens
+    to null; one aggregation pass over all rows decides."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    value = {c: F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")) for c in text}
+    if not text:
+        return df
+    fits = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(text)],
+                  *[F.count(value[c].try_cast(t)).alias(f"{t}{i}") for i, c in enumerate(text) for t in ("bigint", "double")]).first()
+
+    def kind(i: int) -> str:
+        if not fits[f"n{i}"]:
+            return "string"
+        return next((t for t in ("bigint", "double") if fits[f"{t}{i}"] == fits[f"n{i}"]), "string")
+
+    return df.select(*[value[f.name].cast(kind(text.index(f.name))).alias(f.name) if f.name in value else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def _drop_leading_lines(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # A file's first split (block start 0) holds its first lines, in arrival order;
@@ -100,7 +146,7 @@ def read_skip_lines(
         F.col("_metadata.file_block_start").alias("start"),
     )
     kept = lines.mapInPandas(_drop_leading_lines(n), "value string")
-    parsed = kept.select(F.from_csv("value", ddl(schema), {"sep": sep}).alias("r"))
+    parsed = kept.select(F.from_csv("value", ddl(schema), {"sep": sep, "nullValue": NO_TEXT}).alias("r"))
     return parsed.select("r.*")
 
 
@@ -116,8 +162,9 @@ def read_delimited(
     recursive: bool = False,
     spread_to: int | None = None,
 ) -> DataFrame:
-    """Delimited text; without a schema every column stays a string (no inference pass)."""
-    r = spark.read.option("sep", sep).option("header", header).option("multiLine", multi_line)
+    """Delimited text; without a schema every column stays a string (no inference pass).  An empty
+    field is null, a quoted empty one the empty string."""
+    r = spark.read.option("nullValue", NO_TEXT).option("sep", sep).option("header", header).option("multiLine", multi_line)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     if schema is not None:
@@ -182,7 +229,8 @@ def chunk_numbers(spark: SparkSession, directory: str, pattern: str) -> DataFram
 def chunk_completeness(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """(n_contiguous, n_found): chunks 1,2,... up to the first gap, and all chunks seen.
 
-    The frame is one row per chunk file, so the ordered position is over a listing, not data.
+    The window is in one task over one row per chunk file, a listing that the driver has held
+    before (millions of files at most).
     """
     nos = chunk_numbers(spark, directory, pattern)
     from pyspark.sql import Window
@@ -204,25 +252,25 @@ def require_chunks(spark: SparkSession, directory: str, pattern: str) -> int:
 # --- SRC-7 / SRC-8: JSON ------------------------------------------------------------------
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                    sampling_ratio: float = 1.0, spread_to: int | None = None) -> DataFrame:
-    """JSON lines (gz or not).  Inference widens conflicting scalars to string and puts
-    unparsable lines into ``_corrupt_record``; pass a recorded schema to skip the
+                    spread_to: int | None = None) -> DataFrame:
+    """JSON lines (gz or not).  Inference reads all lines, widens conflicting scalars to string
+    and puts unparsable lines into ``_corrupt_record``; pass a recorded schema to skip the
     inference pass on re-runs."""
     r = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     if schema is not None:
         r = r.schema(schema)
-    else:
-        r = r.option("samplingRatio", sampling_ratio)
     return spread(r.json(path), spread_to)
 
 
-def valid_records(df: DataFrame) -> DataFrame:
-    """Rows that parsed; the corrupt column is dropped.  Select data columns from the
+def valid_records(df: DataFrame, count_into: Observation | None = None) -> DataFrame:
+    """Rows that parsed; the corrupt column is dropped.  With ``count_into``, whatever consumes
+    the result also counts ``n_read`` and ``n_corrupt`` there.  Select data columns from the
     result (a bare ``count()`` would reference only the corrupt column, which Spark
     refuses on raw JSON/CSV)."""
-    if "_corrupt_record" not in df.columns:
-        return df
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    bad = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in df.columns else F.lit(False)
+    if count_into is not None:
+        df = df.observe(count_into, F.count(F.lit(1)).alias("n_read"), F.count_if(bad).alias("n_corrupt"))
+    return df.where(~bad).drop("_corrupt_record") if "_corrupt_record" in df.columns else df
 
 
 def corrupt_records(df: DataFrame) -> DataFrame:
@@ -234,9 +282,10 @@ def corrupt_records(df: DataFrame) -> DataFrame:
 
 
 def read_json_documents(spark: SparkSession, path: str, array_path: str = "_embedded.terms",
-                        recursive: bool = True) -> DataFrame:
-    """Whole JSON documents (one per file, e.g. API pages) -> one row per array element."""
-    r = spark.read.option("multiLine", "true")
+                        recursive: bool = True, one_per_line: bool = False) -> DataFrame:
+    """Whole JSON documents (API pages) -> one row per array element.  A file holds one document
+    over any number of lines, or, ``one_per_line``, one on each line (then files split)."""
+    r = spark.read.option("multiLine", not one_per_line)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     docs = r.json(path)

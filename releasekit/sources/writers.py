@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from releasekit.functions.columns import ARTIFACT_FILENAME, RELEASE_TS_FORMAT
+from releasekit.session import move_into_place
 
 
 def write_parquet(df: DataFrame, path: str, n_partitions: int | None = None, mode: str = "overwrite",
@@ -62,16 +64,24 @@ def release_relpath(source: str, artifact: str, version: str, created, fmt: str
     return "/".join([source, artifact, version, created.strftime("%Y%m%dT%H%M%S"), f"{ARTIFACT_FILENAME}.{fmt}"])
 
 
-POLICY_MODES = {"replace": "overwrite", "refuse": "errorifexists", "put": "overwrite"}
+POLICIES = ("replace", "refuse", "put")
 
 
 def publish(df: DataFrame, url: str, policy: str = "replace", fmt: str = "parquet",
             n_partitions: int | None = None) -> tuple[str, WriteProfile | None]:
-    """SNK-3: ``replace`` overwrites, ``refuse`` leaves an existing target alone, ``put``
-    writes without checking.  Returns (outcome, profile)."""
-    mode = POLICY_MODES[policy]
+    """SNK-3: ``replace`` exchanges an existing target once the new data are complete (a failed
+    write leaves it as it was), ``refuse`` leaves an existing target alone, ``put`` writes
+    over it in place.  Returns (outcome, profile)."""
+    if policy not in POLICIES:
+        raise ValueError(f"unknown policy {policy!r}; one of {POLICIES}")
+    if policy == "replace":
+        staged = f"{url.rstrip('/')}.staged-{uuid.uuid4().hex[:12]}"
+        prof = write_profiled(df, staged, n_partitions=n_partitions, mode="errorifexists", fmt=fmt)
+        move_into_place(df.sparkSession, staged, url)
+        prof.path = url
+        return "written", prof
     try:
-        prof = write_profiled(df, url, n_partitions=n_partitions, mode=mode, fmt=fmt)
+        prof = write_profiled(df, url, n_partitions=n_partitions, mode="errorifexists" if policy == "refuse" else "overwrite", fmt=fmt)
     except AnalysisException as e:
         if policy == "refuse" and "PATH_ALREADY_EXISTS" in str(e):
             return "refused", None
@@ -79,23 +89,29 @@ def publish(df: DataFrame, url: str, policy: str = "replace", fmt: str = "parque
     return "written", prof
 
 
-def clustered(df: DataFrame, keys: list[str], rows_per_file: int) -> DataFrame:
-    """Co-locate rows by ``keys`` for a partitioned write with files of about
-    ``rows_per_file`` rows.  Range partitioning on (keys, row hash): boundaries are
-    sampled from the data, so a key holding a third of all rows is split over as many
-    tasks as its size needs, while small keys share a task (about one file each).  No
-    join and no per-key state; one count sizes the partition number."""
-    n = max(1, -(-df.count() // rows_per_file))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.repartitionByRange(n, *[F.col(k) for k in keys], row_hash)
+def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Bring the rows of a key together for a partitioned write, in one pass: a rebalance by
+    ``keys``, whose partitions adaptive execution splits where a key is large and joins
+    where keys are small, from the measured sizes."""
+    return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
 def write_versioned(df: DataFrame, root: str, version_col: str = "version", mode: str = "overwrite",
-                    rows_per_file: int | None = None) -> None:
-    """Many releases at once: one ``version=...`` directory each, partition-prunable on read.
+                    rows_per_file: int | None = None, created_col: str | None = None) -> None:
+    """Many releases at once: one ``version=...`` directory each (and below it one
+    ``created=yyyyMMddTHHmmss`` directory per collection, with ``created_col``),
+    partition-prunable on read.  ``overwrite`` replaces the releases that ``df`` holds and
+    leaves all others.
 
     Without ``rows_per_file`` every task writes its own file per version it holds (no
-    shuffle); with it, rows are clustered so each version gets bounded-size files."""
+    shuffle); with it, rows are clustered, and no file gets more rows than that."""
+    levels = [version_col]
+    if created_col:
+        df = df.withColumn("created", F.date_format(created_col, RELEASE_TS_FORMAT))
+        levels.append("created")
+    w = (clustered(df, levels) if rows_per_file else df).write.mode(mode).partitionBy(*levels)
     if rows_per_file:
-        df = clustered(df, [version_col], rows_per_file)
-    df.write.mode(mode).partitionBy(version_col).parquet(root)
+        w = w.option("maxRecordsPerFile", rows_per_file)
+    if mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(root)

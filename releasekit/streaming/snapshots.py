@@ -3,8 +3,10 @@
 A Structured Streaming file source picks up new files; ``trigger(availableNow=True)``
 processes what is there and stops, so a scheduled run is a batch job with
 exactly-once bookkeeping in the checkpoint.  ``foreachBatch`` may replay a batch after
-a failure, so each batch writes to a path derived from its batch id with overwrite:
-a replay rewrites the same files instead of adding copies."""
+a failure, so each batch writes ``version=<v>/batch=<id>`` directories and overwrites
+just those: a replay rewrites the same files instead of adding copies.
+
+A version's entry points at its directory, so it covers every batch that had rows of it."""
 
 from __future__ import annotations
 
@@ -13,30 +15,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions.columns import version_from_ts
-from releasekit.sources.writers import write_versioned
+from releasekit.sources.writers import clustered
 
 
-def register_batch(spark: SparkSession, batch_out: DataFrame, batch_dir: str, registry_root: str,
-                   source: str, artifact: str, ts_col: str) -> None:
-    """Upsert one registry entry per version written by a batch.  ``created`` is the
-    newest event time of that version in the batch, so a replayed batch produces the same
-    keys and the upsert is idempotent.  The per-version summary is one row per version."""
+def register_versions(spark: SparkSession, out_dir: str, batch_id: int, registry_root: str,
+                      source: str, artifact: str, ts_col: str) -> None:
+    """Upsert one registry entry per version that a batch wrote to.  ``created`` is the newest
+    event time and ``nrow`` the count over all batches of the version, so a replayed batch
+    gives the same entries and the upsert is idempotent.  Only the touched versions'
+    directories are read, and of them one column."""
     from releasekit.operators import registry as R
 
-    per_version = batch_out.groupBy("version").agg(F.max(ts_col).alias("created"), F.count(F.lit(1)).alias("nrow"))
+    snaps = read_snapshots(spark, out_dir)
+    touched = snaps.where(F.col("batch") == batch_id).select("version").distinct()
+    per_version = (snaps.join(touched, "version", "left_semi").groupBy(F.col("version").cast("string").alias("version"))
+                   .agg(F.max(ts_col).alias("created"), F.count(F.lit(1)).alias("nrow")))
     entries = R.build_entries(
         per_version, source=F.lit(source), artifact=F.lit(artifact), version="version", created="created",
         metadata=F.create_map(F.lit("nrow"), F.col("nrow").cast("string")),
-        resources=F.create_map(F.lit("parquet"), F.concat(F.lit(batch_dir + "/version="), F.col("version"))))
-    reg = R.load_registry(spark, registry_root)
-    R.save_registry(R.upsert(reg, entries), registry_root)
+        resources=F.create_map(F.lit("parquet"), F.concat(F.lit(out_dir.rstrip("/") + "/version="), F.col("version"))))
+    R.save_registry(R.upsert(R.load_registry(spark, registry_root), entries), registry_root)
 
 
 def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
                     checkpoint_dir: str, ts_col: str = "ts", grain: str = "day",
                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
                     registry_root: str | None = None, source: str = "stream",
-                    artifact: str = "snapshot", rows_per_file: int | None = 1_000_000) -> int:
+                    artifact: str = "snapshot", rows_per_file: int = 1_000_000) -> int:
     """Run one availableNow pass; returns the number of batches processed.  With
     ``registry_root`` every written version is registered (REG-9 upsert)."""
     reader = spark.readStream.schema(schema).format(fmt)
@@ -46,11 +51,11 @@ def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
     batches: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch.withColumn("version", version_from_ts(ts_col, grain))
-        batch_dir = f"{out_dir.rstrip('/')}/batch={batch_id}"
-        write_versioned(out, batch_dir, "version", rows_per_file=rows_per_file)
+        out = batch.withColumn("version", version_from_ts(ts_col, grain)).withColumn("batch", F.lit(batch_id))
+        (clustered(out, ["version"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", rows_per_file).partitionBy("version", "batch").parquet(out_dir))
         if registry_root:
-            register_batch(spark, spark.read.parquet(batch_dir), batch_dir, registry_root, source, artifact, ts_col)
+            register_versions(spark, out_dir, batch_id, registry_root, source, artifact, ts_col)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)

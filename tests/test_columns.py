@@ -28,9 +28,10 @@ def test_prefix_and_curie(spark):
     assert one(spark, C.iri_to_curie("v"), "http://purl.obolibrary.org/obo/HP_0000006") == "HP:0000006"
 
 
-def test_split_values_drops_empty_pieces(spark):
-    assert one(spark, C.split_values("v", ";"), "RCV1;RCV2;") == ["RCV1", "RCV2"]
-    assert one(spark, C.split_values("v", ";"), "") == []
+def test_split_values_keeps_empty_pieces_unless_told(spark):
+    assert one(spark, C.split_values("v", ";"), "RCV1;RCV2;") == ["RCV1", "RCV2", ""]
+    assert one(spark, C.split_values("v", ";", drop_empty=True), "RCV1;RCV2;") == ["RCV1", "RCV2"]
+    assert one(spark, C.split_values("v", ";", drop_empty=True), "") == []
 
 
 def test_release_from_path(spark):

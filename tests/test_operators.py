@@ -164,7 +164,7 @@ def test_union_releases_try_cast(spark):
     old = spark.createDataFrame([(1, "2.5"), (2, "NR")], "k bigint, odds string")
     new = spark.createDataFrame([(3, 1.5, "x")], "k bigint, odds double, extra string")
     got = rows(CMP.union_releases(old, new))
-    assert got == [(1, 2.5, None), (2, None, None), (3, 1.5, "x")]
+    assert got == [(1, 2.5, None, 0), (2, None, None, 1), (3, 1.5, "x", 0)]
 
 
 def test_release_counts_delta(spark):
@@ -201,9 +201,9 @@ def test_crosswalk_keeps_sources(spark):
 def test_union_releases_follows_newest_type(spark):
     old = spark.createDataFrame([(1, 5)], "k bigint, n int")
     new = spark.createDataFrame([(2, "1.5")], "k bigint, n string")
-    assert rows(CMP.union_releases(old, new)) == [(1, "5"), (2, "1.5")]
+    assert rows(CMP.union_releases(old, new)) == [(1, "5", 0), (2, "1.5", 0)]
     from pyspark.sql import types as T
-    assert rows(CMP.union_releases(old, new, types={"n": T.DoubleType()})) == [(1, 5.0), (2, 1.5)]
+    assert rows(CMP.union_releases(old, new, types={"n": T.DoubleType()})) == [(1, 5.0, 0), (2, 1.5, 0)]
 
 
 def test_release_violations_name_the_file(spark):
