@@ -25,7 +25,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from releasekit.llm.base import query, table
+from releasekit.llm.base import query, stored, table
 
 CAPACITIES = (256, 512, 1024, 2048, 4096)
 SHARD = 20_000
@@ -101,7 +101,8 @@ def pack_documents(documents: DataFrame, n_tokens: Column | None = None, capacit
     last = F.greatest(F.lit(0), F.ceil(F.col("n") / largest) - 1).cast("long")
     pieces = sized.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece")).select(
         "doc_id", (F.col("piece") * largest).alias("start"), F.least(F.lit(largest).cast("long"), F.col("n") - F.col("piece") * largest).alias("n_tokens"))
-    shards = max(1, -(-sized.agg(F.sum(last + 1)).first()[0] // shard)) if not sized.isEmpty() else 1
+    pieces = stored(pieces, "pieces")  # texts are read once; the count and the packing read this
+    shards = max(1, -(-pieces.count() // shard))
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -126,7 +127,7 @@ def pack_documents(documents: DataFrame, n_tokens: Column | None = None, capacit
         yield from whole.combine_chunks().to_batches()
 
     # dealt out in turn, not by a key: repeated ids are spread like all others
-    return pieces.repartition(int(shards)).mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, bin_id long, capacity long, position long")
+    return pieces.repartition(shards).mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, bin_id long, capacity long, position long")
 
 
 @query("op8_best_fit_packing")

@@ -229,7 +229,7 @@ def _with_spans(documents: DataFrame, models: Sequence[Automaton], redact: bool)
     from pyspark.sql import types as T
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("end", T.LongType())])
-    schema = T.StructType([f for f in documents.schema.fields if f.name != "secret_spans"])
+    schema = T.StructType([f for f in documents.schema.fields if redact or f.name != "secret_spans"])
     names = schema.fieldNames()
     if not redact:
         schema = schema.add("secret_spans", T.ArrayType(span))
