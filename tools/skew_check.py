@@ -86,7 +86,7 @@ def main():
             terms, edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant")), "term")),
         "clustered versioned write, hot version (SNK-2)": lambda: write_versioned(
             sk.withColumn("version", F.col("l_orderkey").cast("string")).select("version", "l_partkey", "l_quantity"),
-            os.path.join(tempfile.mkdtemp(prefix="releasekit-skew-out-"), "v"), rows_per_file=20_000),
+            os.path.join(scratch_path(spark, "skew"), "v"), rows_per_file=20_000),
     }
     for name, run in ops.items():
         spark.sparkContext.setJobDescription(name)
