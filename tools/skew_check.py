@@ -31,7 +31,7 @@ def main():
     from releasekit.operators import registry as R
     from releasekit.operators import sets as S
     from releasekit.operators import summaries as A
-    from releasekit.session import ensure_checkpoint_dir
+    from releasekit.session import ensure_checkpoint_dir, scratch_path
     from releasekit.sources.writers import write_versioned
 
     logdir = tempfile.mkdtemp(prefix="releasekit-eventlog-")
