@@ -147,7 +147,30 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
 
 
-@query("op5_decontaminate")
+_LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOW.format('text')}, '[^ \\x09-\\x0D]+')"
+
+#: The same result without fingerprints: every window compared with its item.
+ORACLE = f"""
+WITH items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE len({_WORDS}) >= {WORDS}),
+ish AS (SELECT item_id, len(w) AS m, pos, array_to_string(w[pos + 1:pos + {WORDS}], ' ') AS s FROM (SELECT *, unnest(range(len(w) - {WORDS - 1})) AS pos FROM items)),
+weight AS (SELECT s, CAST(round(1000 * ln(1 + (SELECT count(*) FROM items)::DOUBLE / count(DISTINCT item_id))) AS BIGINT) AS w FROM ish GROUP BY s),
+top AS (SELECT CAST(round(1000 * ln(1 + count(*)::DOUBLE)) AS BIGINT) AS w FROM items),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dsh AS MATERIALIZED (SELECT doc_id, place, len(w) - {WORDS - 1} AS n, array_to_string(w[place + 1:place + {WORDS}], ' ') AS s FROM (SELECT *, unnest(range(len(w) - {WORDS - 1})) AS place FROM docs)),
+hit AS (SELECT DISTINCT doc_id, item_id, least(m - {WORDS - 1}, n) AS len, greatest(0, least(place - pos, n - least(m - {WORDS - 1}, n))) AS start FROM dsh JOIN ish USING (s)),
+win AS (SELECT h.doc_id, h.item_id, h.start, h.len, d.s, count(*) AS c FROM hit h JOIN dsh d ON d.doc_id = h.doc_id AND d.place >= h.start AND d.place < h.start + h.len GROUP BY ALL),
+item AS (SELECT item_id, s, count(*) AS c FROM ish GROUP BY ALL),
+total AS (SELECT item_id, sum(c * w) AS t FROM item JOIN weight USING (s) GROUP BY item_id),
+sim AS (SELECT win.doc_id, win.item_id, win.start, win.len, sum(win.c * coalesce(weight.w, (SELECT w FROM top))) AS t, sum(least(win.c, coalesce(item.c, 0)) * coalesce(weight.w, 0)) AS common
+  FROM win LEFT JOIN weight USING (s) LEFT JOIN item ON item.item_id = win.item_id AND item.s = win.s GROUP BY ALL),
+good AS (SELECT doc_id, item_id, start, len, common / (sim.t + total.t - common) AS similarity FROM sim JOIN total USING (item_id) WHERE 100 * common >= {PERCENT} * (sim.t + total.t - common))
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS start, CAST(len + {WORDS - 1} AS BIGINT) AS n_words, round(similarity, 6) AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, len) AS rn FROM good) WHERE rn = 1
+"""
+
+
+@query("op5_decontaminate", ORACLE)
 def op5_decontaminate(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contaminated(documents, table(spark, sf_dir, "benchmark")).withColumn("similarity", F.round("similarity", 6))

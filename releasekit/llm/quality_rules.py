@@ -142,6 +142,41 @@ def judge_quality(documents: DataFrame, guard: int = GUARD_WORDS, character_dist
                          "character_distance", "word_distance", failed.alias("base_failed"), (~failed & ~far).alias("kept"))
 
 
-@query("op3_quality_rules")
+def _oracle() -> str:
+    blank = r"[ \x09-\x0D]"
+    quoted = lambda e: "'" + e.replace("'", "''") + "'"
+    count = lambda e: f"length(t) - length(regexp_replace(t, {quoted(e)}, '', 'g'))"
+    classes = ", ".join(f"{count(e)} AS {n}" for n, e in CHARACTER_CLASSES.items())
+    rest = "word_chars - " + " - ".join(CHARACTER_CLASSES)
+    known = "[" + ", ".join(quoted(w) for w in COMMON_WORDS) + "]"
+    distance = lambda a, b: (
+        f"sqrt(greatest(0.0, list_sum(list_transform(range(1, len({a}) + 1), lambda i: "
+        f"CASE WHEN {a}[i] > 0 THEN {a}[i] / list_sum({a}) * log2(2 * ({a}[i] / list_sum({a})) / ({a}[i] / list_sum({a}) + {b}[i] / list_sum({b}))) ELSE 0.0 END + "
+        f"CASE WHEN {b}[i] > 0 THEN {b}[i] / list_sum({b}) * log2(2 * ({b}[i] / list_sum({b})) / ({a}[i] / list_sum({a}) + {b}[i] / list_sum({b}))) ELSE 0.0 END)) / 2))")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT r, regexp_extract_all(t, '[^ \\x09-\\x0D]+') AS w FROM d),
+c AS (SELECT r, doc_id, lang, length(regexp_replace(t, '{blank}+', '', 'g')) AS word_chars, {classes},
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\x09-\\x0D]')) AS lines FROM d),
+win AS (SELECT r, k, array_to_string(w[k + 1:k + {WINDOW}], ' ') AS s FROM (SELECT r, w, unnest(range(len(w) - {WINDOW - 1})) AS k FROM w)),
+rep AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, s) AS n FROM win) WHERE n > 1),
+cov AS (SELECT r, sum(least({WINDOW}, coalesce(nxt - k, {WINDOW}))) AS n FROM (SELECT r, k, lead(k) OVER (PARTITION BY r ORDER BY k) AS nxt FROM rep) GROUP BY r),
+s AS MATERIALIZED (SELECT c.r, doc_id, lang, len(w.w) AS n_words, word_chars, symbol AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
+    [{", ".join(CHARACTER_CLASSES)}, {rest}] AS ch,
+    list_append(list_transform({known}, lambda q: len(list_filter(w.w, lambda x: x = q))), len(list_filter(w.w, lambda x: NOT list_contains({known}, x)))) AS co
+  FROM c JOIN w USING (r) LEFT JOIN cov USING (r)),
+part AS (SELECT lang, 'ch' AS kind, unnest(range(1, len(ch) + 1)) AS i, unnest(list_transform(ch, lambda x: round(1e6 * x / list_sum(ch)))) AS x FROM s WHERE n_words >= {GUARD_WORDS}
+  UNION ALL SELECT lang, 'co', unnest(range(1, len(co) + 1)), unnest(list_transform(co, lambda x: round(1e6 * x / list_sum(co)))) FROM s WHERE n_words >= {GUARD_WORDS}),
+total AS (SELECT lang, kind, i, sum(x) AS x FROM part GROUP BY ALL),
+ref AS (SELECT lang, list(x ORDER BY i) FILTER (WHERE kind = 'ch') AS rch, list(x ORDER BY i) FILTER (WHERE kind = 'co') AS rco FROM total GROUP BY lang),
+j AS (SELECT s.*, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    CASE WHEN n_words >= {GUARD_WORDS} AND rch IS NOT NULL THEN {distance("ch", "rch")} END AS dch, CASE WHEN n_words >= {GUARD_COMMON_WORDS} AND rco IS NOT NULL THEN {distance("co", "rco")} END AS dco
+  FROM s LEFT JOIN ref USING (lang))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+    NOT base_failed AND NOT coalesce(dch > {MAX_CHARACTER_DISTANCE}, false) AND NOT coalesce(dco > {MAX_WORD_DISTANCE}, false) AS kept
+FROM j"""
+
+
+@query("op3_quality_rules", _oracle())
 def op3_quality_rules(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents")).drop("character_distance", "word_distance")
