@@ -18,7 +18,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     def smallest(e: DataFrame) -> DataFrame:
         return e.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
-    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    edges = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -190,7 +190,7 @@ def estimated_links(classes: DataFrame, threshold: float) -> DataFrame:
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
 
-    return signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long").distinct()
+    return signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
 
 
 def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -225,7 +225,7 @@ def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent
     the set with this digest."""
     sizes = groups.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("long").alias("blocks"))
     wanted = groups.join(sizes, "component")
-    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node")
+    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted.hint("merge"), "node")
 
     def sets(batches):
         import pyarrow as pa
@@ -261,7 +261,7 @@ def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
 
     spread = _block_pairs(members, "blocks", "node").select("component", "lo", "hi", "own", "node", "shingles")
-    return spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long").distinct()
+    return spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
