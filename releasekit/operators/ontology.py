@@ -52,6 +52,13 @@ def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
     return known.select(F.col("a").alias("ancestor"), F.col("d").alias("descendant"), "depth")
 
 
+def ancestors(edges: DataFrame, terms: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
+    """(ancestor, descendant, depth) for the given terms (one column) as descendants only: the
+    search goes up from them, so terms that no evidence names cost nothing."""
+    up = descendants(edges, parent=child, child=parent, roots=terms)
+    return up.select(F.col("descendant").alias("ancestor"), F.col("ancestor").alias("descendant"), "depth")
+
+
 def expand_to_ancestors(evidence: DataFrame, closure: DataFrame, term: str, keep_self: bool = True) -> DataFrame:
     """GOAL-2: every evidence row also counts for all ancestors of its term."""
     up = (evidence.join(closure.select(F.col("descendant").alias(term), "ancestor"), term)

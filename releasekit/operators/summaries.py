@@ -61,10 +61,15 @@ def count_of_counts(per_group: DataFrame, count_col: str = "n", name: str = "n_k
     return per_group.groupBy(count_col).agg(F.count(F.lit(1)).alias(name))
 
 
-def sorted_concat(df: DataFrame, keys: list[str], value: str, sep: str = ",", name: str = "terms") -> DataFrame:
-    """AGG-10: sorted distinct values joined to one string per group (bounded vocabularies)."""
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_set(F.col(value).cast("string"))), sep).alias(name))
+def sorted_concat(df: DataFrame, keys: list[str], value: str, sep: str = ",", name: str = "terms",
+                  max_values: int = 100_000) -> DataFrame:
+    """AGG-10: sorted distinct values joined to one string per group.  For vocabularies: a group
+    with more than ``max_values`` distinct values is an error."""
+    values = F.collect_set(F.col(value).cast("string"))
+    few = F.when(F.size("__v") <= max_values, F.col("__v")).otherwise(
+        F.raise_error(F.lit(f"more than {max_values} distinct values of {value} in a group")).cast("array<string>"))
+    per = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(values.alias("__v"))
+    return per.select(*keys, F.array_join(F.array_sort(few), sep).alias(name))
 
 
 def dependency_check(df: DataFrame, a: str, b: str, value: str) -> DataFrame:

@@ -436,9 +436,9 @@ x AS (SELECT ok, term FROM ev UNION SELECT ev.ok, c.ancestor FROM ev JOIN closur
 SELECT term, count(*) AS n FROM x GROUP BY term
 """)
 def goal_ancestor_expansion(spark, sf):
-    closure = ON.descendants(D.edges(spark, sf))
     ev = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("ok"), F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("term"))
+    closure = ON.ancestors(D.edges(spark, sf), ev.select("term"))
     x = ON.expand_to_ancestors(ev, closure, "term")
     return x.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
