@@ -93,8 +93,15 @@ def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds:
     value = scale[col]
     w, b = np.zeros(len(names)), float(np.log(share / (1 - share)))
     n = len(labels)
-    # curvature bound: the largest row norm
-    step = 1 / (0.25 * max(np.bincount(row, value**2, minlength=n).max(initial=0) + 1, 1) + ridge / n)
+    # the step follows from the largest curvature, found by power iteration (with the intercept)
+    at, at_b = np.ones(len(names), np.float32), 1.0
+    curvature = 1.0
+    for _ in range(20):
+        z = np.bincount(row, value * at[col], minlength=n) + at_b
+        g, gb = np.bincount(col, value * z[row].astype(np.float32), minlength=len(names)) / n, z.mean()
+        curvature = max(float(np.sqrt(g @ g + gb * gb)), 1e-9)
+        at, at_b = (g / curvature).astype(np.float32), gb / curvature
+    step = 1 / (0.25 * 1.1 * curvature + ridge / n)
     last, lb = w.copy(), b
     for k in range(rounds):
         mw, mb = w + k / (k + 3) * (w - last), b + k / (k + 3) * (b - lb)
@@ -102,8 +109,7 @@ def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds:
         z = np.bincount(row, value * mw[col].astype(np.float32), minlength=n) + mb
         wrong = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
         gw = np.bincount(col, value * wrong[row].astype(np.float32), minlength=len(names)) / n + ridge / n * mw
-        # the scale of a mean gradient is far below the bound of one row: steps grow with it
-        w, b = mw - step * 40 * gw, mb - step * 40 * wrong.mean()
+        w, b = mw - step * gw, mb - step * wrong.mean()
     weights = np.zeros(size, np.float32)
     weights[names] = w * scale
     return Model(weights, b)
