@@ -110,7 +110,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
         at = lambda x: F.greatest(F.lit(0), F.least(x["start"], F.size(s) - length(x)))
         return F.array_distinct(F.transform(F.col("wanted"), lambda x: F.struct(at(x).alias("start"), x["m"].alias("m"), F.slice(s, at(x) + 1, length(x)).alias("s"))))
 
-    windows = found.where("all IS NOT NULL").select("doc_id", F.explode(let(F.col("all"), cut)).alias("x")).select("doc_id", "x.start", "x.m", "x.s")
+    # no filter on the shingles here: it would be pushed below the join, to all documents
+    windows = found.select("doc_id", F.explode(let(F.col("all"), cut)).alias("x")).select("doc_id", "x.start", "x.m", "x.s")
     windows = stored(windows.withColumn("win", F.xxhash64("m", "s")), "cut")  # equal windows are one
 
     # 2. fingerprints
