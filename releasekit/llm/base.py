@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -54,6 +54,14 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def slices(batches: Iterator, rows: int = 256) -> Iterator:
+    """Arrow batches in slices of a few rows, so that a worker holds few texts as Python objects
+    at a time, however many rows a batch has."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once: a one-element transform binds it to a
     lambda variable, so the optimizer can't copy the expression into an inner lambda."""

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from releasekit.llm.base import query, stored, table
+from releasekit.llm.base import query, slices, stored, table
 from releasekit.llm.components import components
 from releasekit.llm.shingles import shingle_hashes, word_hashes
 
@@ -108,7 +108,7 @@ def profiles(documents: DataFrame, words: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             sizes, digests, bands, signatures = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = np.unique(shingle_hashes(word_hashes(text), words))
@@ -230,7 +230,7 @@ def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent
     def sets(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             values, keep = [], []
             for text, digest in zip(batch.column("text").to_pylist(), batch.column("digest").to_pylist(), strict=True):
                 s = np.unique(shingle_hashes(word_hashes(text), words)).tobytes()

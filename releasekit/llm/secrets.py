@@ -18,12 +18,11 @@ import bisect
 import hashlib
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from releasekit.llm.base import query, table
+from releasekit.llm.base import query, slices, table
 
 KINDS = ("assign", "access", "hex", "format")
 
@@ -184,13 +183,15 @@ def scan(text: str | None, models: Sequence[Automaton]) -> list[Span]:
 def labelled_values(documents: DataFrame, sample: int = SAMPLE) -> dict[str, list[str]]:
     """Up to ``sample`` distinct values of each base kind, those with the smallest hashes: a
     bounded sample that does not depend on how the rows are dealt out."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = {(k, t[v:e]) for t in batch["text"] if t for _, k, e, v in base_spans(t)}
-            yield pd.DataFrame(sorted(found), columns=["kind", "value"])
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            found = sorted({(k, t[v:e]) for t in batch.column("text").to_pylist() if t for _, k, e, v in base_spans(t)})
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["kind", "value"])
 
     # an assigned value can be as long as a text; formats are learnt from values up to 200 characters
-    values = documents.select("text").mapInPandas(run, "kind string, value string").where("length(value) <= 200").distinct()
+    values = documents.select("text").mapInArrow(run, "kind string, value string").where("length(value) <= 200").distinct()
     out: dict[str, list[str]] = {}
     rows = None
     for kind in KINDS[:3]:
@@ -239,7 +240,7 @@ def _with_spans(documents: DataFrame, models: Sequence[Automaton], redact: bool)
         import pyarrow.compute as pc
 
         kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in slices(batches):
             cols = {n: batch.column(n) for n in names}
             texts = cols["text"].to_pylist()
             spans = [scan(t, models) for t in texts]

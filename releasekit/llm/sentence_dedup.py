@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from releasekit.llm.base import free_name, query, stored, table
+from releasekit.llm.base import free_name, query, slices, stored, table
 from releasekit.llm.shingles import mix, word_hashes
 
 MIN_WORDS = 25
@@ -89,7 +89,7 @@ def _spans_of(documents: DataFrame, min_words: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             rows, places, hs, gs = [], [], [], []
             for k, text in enumerate(texts):
@@ -150,7 +150,7 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: boo
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for batch in batches:
+        for batch in slices(batches):
             cols = {n: batch.column(n) for n in names}
             marks, texts = batch.column(mark).to_pylist(), cols["text"].to_pylist()
             for k, r in enumerate(marks):
@@ -169,7 +169,7 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: boo
         import pyarrow as pa
 
         kinds = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("first_sentence", "last_sentence", "start", "end", "n_words", "origin_id")), ("text", pa.string())])
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for i, text, r in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column(mark).to_pylist(), strict=True):
                 for p, q, a, b, origin in stretches(text or "", r):

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from releasekit.llm.base import free_name, query, table
+from releasekit.llm.base import free_name, query, slices, table
 
 SIZES = (3, 4, 5)
 BITS = 18
@@ -140,7 +140,7 @@ def score(documents: DataFrame, model: Model, column: str = "toxicity") -> DataF
         import pyarrow as pa
 
         own, seen = shared.value, np.empty(1 << BITS, np.int32)
-        for batch in batches:
+        for batch in slices(batches):
             cols = {n: batch.column(n) for n in names}
             cols[column] = pa.array([own.score(ngrams(t, seen)) for t in cols["text"].to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
