@@ -113,6 +113,7 @@ def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     found = stored(_spans_of(documents, min_words), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "place")
     many = found.groupBy("h", "g").agg(F.min(order).alias("origin"), F.count("*").alias("n")).where("n > 1").select("h", "g", "origin")
+    many = stored(many, "many")  # a table, not an aggregation in the join's stage: so a hot span's rows can be split there
     later = found.join(many, ["h", "g"]).where(order > F.col("origin"))
     return later.groupBy("doc_id").agg(F.collect_set(F.struct("place", F.col("origin.doc_id").alias("origin"))).alias("repeated"))
 
