@@ -18,8 +18,8 @@ Edge cases: a null or empty text, or one without words, has an empty set and is
 nothing; a text with fewer words than a shingle has one shingle, its whole sequence; rows
 with a null id are linked with nothing, have a null component and are kept; repeated rows
 have equal sets and so one component; rows that share an id but not a text are judged each by
-its own text.  Other columns are kept by ``drop_near_duplicates``.  Long texts are hashed
-whole.
+its own text (a row's key is its id and a 64-bit hash of its text; a class's node is a number
+of its own).  Other columns are kept by ``drop_near_duplicates``.  Long texts are hashed whole.
 """
 
 from __future__ import annotations
@@ -103,8 +103,8 @@ def forest(nodes: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
 
 
 def profiles(documents: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands, signature`` per row; the last three are null where
-    the set is empty."""
+    """``doc_id, text_hash, n_shingles, digest, bands, signature`` per row; the last three are null
+    where the set is empty."""
     def run(batches):
         import pyarrow as pa
 
@@ -118,11 +118,11 @@ def profiles(documents: DataFrame, words: int) -> DataFrame:
                 bands.append(band_keys(least).tobytes() if len(s) else None)
                 signatures.append(pack(least) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.binary()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "bands", "signature"])
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.binary()), pa.array(signatures, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "bands", "signature"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, bands binary, signature binary")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, digest binary, bands binary, signature binary")
 
 
 def _groups(batches, key: list[str]) -> Iterator[dict[str, list]]:
@@ -221,11 +221,11 @@ def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
     """``u, v``: forests of links confirmed on full sets, per group and pair of blocks.
-    ``groups``: node, digest, n_shingles, component; the node is the id of a document that has
-    the set with this digest."""
+    ``groups``: node, id and text_hash of a row that has the set with this digest, digest,
+    n_shingles, component."""
     sizes = groups.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("long").alias("blocks"))
     wanted = groups.join(sizes, "component")
-    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted.hint("merge"), "node")
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted.hint("merge"), ["id", "text_hash"])
 
     def sets(batches):
         import pyarrow as pa
@@ -264,19 +264,31 @@ def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent
     return spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
-    """Per row ``doc_id, n_shingles, component_id, kept``: the smallest id that links of
-    ``100 * intersection >= percent * union`` reach, and whether it is the row's own."""
+def judged_rows(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """Per row ``doc_id, text_hash, n_shingles, least``: the smallest id and text hash of the
+    component that the row is in, its own where it is linked with nothing."""
     profile = stored(profiles(documents, words), "minhash")
     full = profile.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
-                                                F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
+    classes = full.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("n_shingles").alias("n_shingles"),
+                                         F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    # the number is fixed by storing it
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), F.col("row.doc_id").alias("id"), F.col("row.text_hash").alias("text_hash"),
+                                    "digest", "n_shingles", "bands", "signature"), "classes")
     groups = components(estimated_links(classes, percent / 100))
-    grouped = stored(classes.select("node", "digest", "n_shingles").join(groups, "node"), "groups")
+    grouped = stored(classes.select("node", "id", "text_hash", "digest", "n_shingles").join(groups, "node"), "groups")
     found = components(confirmed_links(documents, grouped, words, percent))
-    named = classes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    return profile.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+    linked = stored(classes.select("node", "digest", "id", "text_hash").join(found, "node"), "linked")
+    least = stored(linked.groupBy("component").agg(F.min(F.struct(F.col("id").alias("doc_id"), "text_hash")).alias("least")), "least")
+    named = linked.join(least, "component").select("node", "least")
+    named = classes.select("node", "digest", F.struct(F.col("id").alias("doc_id"), "text_hash").alias("own")).join(named, "node", "left").select("digest", F.coalesce("least", "own").alias("least"))
+    return profile.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(named, "digest", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("least", F.struct("doc_id", "text_hash")).alias("least"))
+
+
+def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
+    """Per row ``doc_id, n_shingles, component_id, kept``: the smallest id that links of
+    ``100 * intersection >= percent * union`` reach, and whether it is the row's own."""
+    return judged_rows(documents, words, percent).select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -286,13 +298,17 @@ def op1_near_duplicates(spark, sf_dir):
 
 
 def drop_near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with one row of each component, that of its smallest id; repeated rows of
-    that document go too.  Only the ids of the others move, as a table."""
-    judged = stored(near_duplicates(documents, words, percent), "near")
-    others = stored(judged.where(~F.col("kept")).select(F.col("doc_id").alias("other_id")).distinct(), "others")
-    left = documents.join(others, F.col("doc_id") == F.col("other_id"), "left_anti")
-    repeated = stored(judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id")), "repeated")
+    """``documents`` with one row of each component, that of its smallest id (and smallest text
+    hash, where texts share the id); repeated rows of that document go too.  Only the ids and
+    text hashes of the others move, as a table."""
+    judged = stored(judged_rows(documents, words, percent).where("doc_id IS NOT NULL"), "near")
+    keys = ["doc_id", "text_hash"]
+    own = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    named = [F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash")]
+    others = stored(judged.where(~own).select(*named).distinct(), "others")
+    same = (documents["doc_id"] == F.col("other_id")) & (F.xxhash64(documents["text"]) == F.col("other_hash"))
+    left = documents.join(others, same, "left_anti")
+    repeated = stored(judged.where(own).groupBy(*keys).count().where("count > 1").select(*named), "repeated")
     if repeated.isEmpty():
         return left
-    again = F.col("doc_id") == F.col("repeated_id")
-    return left.join(repeated, again, "left_anti").unionByName(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

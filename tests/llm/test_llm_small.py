@@ -53,6 +53,17 @@ def test_drop_near_duplicates_keeps_one_of_each(docs, none):
     assert minhash.drop_near_duplicates(twice).count() == 1
 
 
+def test_texts_that_share_an_id_are_dropped_each_by_itself(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    frame = lambda texts: spark.createDataFrame(texts, "doc_id long, text string")
+    left = lambda texts: sorted(rows(minhash.drop_near_duplicates(frame(texts)), "doc_id", "text"))
+    assert left([(3, a), (5, a), (5, b)]) == [(3, a), (5, b)]
+    assert left([(1, a), (1, b), (1, b), (2, b + " x"), (3, c), (4, a + " y")]) == [(1, a), (1, b), (3, c)]
+    assert len(left([(1, a), (1, a + " x"), (2, a)])) == 1
+    # two texts under one smallest id are two classes: a link of one is none of the other
+    assert sorted(rows(minhash.near_duplicates(frame([(1, a), (1, b), (2, b + " x"), (0, a + " y")])), "doc_id", "component_id")) == [(0, 0), (1, 0), (1, 1), (2, 1)]
+
+
 def brute_components(texts, words, percent):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
