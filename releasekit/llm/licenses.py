@@ -120,9 +120,12 @@ mit|mit style license|mit|1|0.6
 cc|creative commons|creative|1|0.5
 """.strip()
 
-#: A text whose words hold none of these has no detection: every match holds one of them.
+#: A text whose words hold none of these has no detection: every match holds one of them (the
+#: last two lines are for names with a version, which stand without any other word).
 GATES = ("licen", " under ", "permission ", "warranty ", "redistribution ", "redistribute ", " compliance ", " later version ", " cc by", "public domain", "rights reserved",
-         "proprietary and ", " gnu gpl ", "creative commons", " by n", "unencumbered ", " this library ", " this source code ")
+         "proprietary and ", " gnu gpl ", "creative commons", " by n", "unencumbered ", " this library ", " this source code ",
+         "apache", " gpl", "lgpl", "agpl", "fdl", "bsd", " mpl", " epl",
+         "cddl", "eupl", "cc0", "odbl", " ofl")
 
 
 @functools.cache

@@ -276,6 +276,46 @@ def test_licenses(spark, docs, none):
     assert licenses.scan_licenses(docs).count() == len(ROWS) and licenses.scan_licenses(none).count() == 0
 
 
+def examples(expression):
+    """Texts that a rule's expression matches: each choice once, optional parts left out and taken."""
+    from re import _parser
+
+    def forms(parts):
+        out = [""]
+        for op, arg in parts:
+            op = str(op)
+            if op == "LITERAL":
+                more = [chr(arg)]
+            elif op == "IN":
+                more = [chr(arg[0][1])]
+            elif op == "BRANCH":
+                more = [x for branch in arg[1] for x in forms(branch)]
+            elif op == "SUBPATTERN":
+                more = forms(arg[3])
+            else:
+                assert op == "MAX_REPEAT" and arg[:2] == (0, 1), op
+                more = ["", forms(arg[2])[0]]
+            out = [a + b for a in out for b in more]
+        return out
+
+    return forms(_parser.parse(expression))
+
+
+def test_every_rule_passes_the_document_gate():
+    for label, expression, keywords, _, _, _ in licenses.rules():
+        for text in examples(expression):
+            joined = f" {text} "
+            assert re.search(f"(?<= )(?:{expression})(?= )", joined), (label, text)
+            assert any(g in joined for g in licenses.GATES), (label, text)
+            assert any(k in joined for k in keywords.split("/")), (label, text)
+
+
+def test_names_with_a_version_need_no_other_word(spark):
+    texts = [(0, "Code is GPLv3."), (1, "Apache 2.0"), (2, "BSD-3-Clause"), (3, "Our parser is MPL-2.0, the docs CC0"), (4, "apachean bsdx")]
+    got = {r["doc_id"]: sorted(x["label"] for x in r["found"] or []) for r in licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {0: ["gpl-3.0"], 1: ["apache-2.0"], 2: ["bsd-3-clause"], 3: ["cc0-1.0", "mpl-2.0"], 4: []}
+
+
 def test_toxicity(spark, none):
     texts = [(k, f"a calm and friendly text number {k}" + (" you stupid idiot" if k % 4 == 0 else " my dear friend"), k % 4 == 0) for k in range(400)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in texts] + [(1000, None), (1001, ""), (1002, "you stupid idiot " * 2000), (None, "my dear friend")], "doc_id long, text string").withColumn("toxicity", F.lit("clash"))
