@@ -19,8 +19,9 @@ once, so a passage in a third of all documents costs one look-up.
 
 Edge cases: null and empty texts, and texts and items with fewer words than a shingle, match
 nothing; a document shorter than an item is one window; repeated items match each by itself,
-repeated rows count as one document; null ids of documents match each other and are reported
-once under the null id; a null item id is reported as such.
+repeated rows count as one document; rows that share an id, or have none, but differ in text are
+judged each by its own text (a row's key is its id and a 64-bit hash of its text) and reported
+once an item under their id; a null item id is reported as such.
 """
 
 from __future__ import annotations
@@ -88,10 +89,9 @@ def weight_of(df: Column, items: int) -> Column:
     return F.round(1000 * F.log(1 + F.lit(float(items)) / df)).cast("long")
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, item_id, start`` (the window's first word), ``n_words``, ``similarity`` for each
-    document and item of similarity ``percent`` or more, the most similar and then the first
-    window of each."""
+def matches(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, text_hash, item_id, start`` (the window's first word), ``n_words, similarity`` of
+    all windows and items of similarity ``percent`` or more."""
     entries = stored(benchmark_shingles(benchmark, words), "items")
     small = entries.select("h").distinct().count() <= BROADCAST_SHINGLES
     hint = F.broadcast if small else (lambda x: x)
@@ -100,10 +100,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
     top = top["top"] if top else 0
 
     # 1. windows
-    placed = documents.select("doc_id", F.posexplode(shingles(words_of(F.col("text")), words)).alias("place", "h"))
-    hits = placed.join(hint(entries.select("h", "at", "m")), "h").select("doc_id", "m", (F.col("place") - F.col("at")).alias("start")).distinct()
-    wanted = stored(hits.groupBy("doc_id").agg(F.collect_list(F.struct("start", "m")).alias("wanted")), "windows")
-    found = documents.select(F.col("doc_id").alias("id"), "text").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("doc_id", "wanted", shingles(words_of(F.col("text")), words).alias("all"))
+    key = ["doc_id", "text_hash"]
+    documents = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    placed = documents.select(*key, F.posexplode(shingles(words_of(F.col("text")), words)).alias("place", "h"))
+    hits = placed.join(hint(entries.select("h", "at", "m")), "h").select(*key, "m", (F.col("place") - F.col("at")).alias("start")).distinct()
+    wanted = stored(hits.groupBy(*key).agg(F.collect_list(F.struct("start", "m")).alias("wanted")), "windows")
+    own = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("id_hash") == F.col("text_hash"))
+    found = documents.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("id_hash"), "text").join(wanted, own).select(*key, "wanted", shingles(words_of(F.col("text")), words).alias("all"))
 
     def cut(s: Column) -> Column:
         length = lambda x: F.least(x["m"] - (words - 1), F.size(s))
@@ -111,7 +114,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
         return F.array_distinct(F.transform(F.col("wanted"), lambda x: F.struct(at(x).alias("start"), x["m"].alias("m"), F.slice(s, at(x) + 1, length(x)).alias("s"))))
 
     # no filter on the shingles here: it would be pushed below the join, to all documents
-    windows = found.select("doc_id", F.explode(let(F.col("all"), cut)).alias("x")).select("doc_id", "x.start", "x.m", "x.s")
+    windows = found.select(*key, F.explode(let(F.col("all"), cut)).alias("x")).select(*key, "x.start", "x.m", "x.s")
     windows = stored(windows.withColumn("win", F.xxhash64("m", "s")), "cut")  # equal windows are one
 
     # 2. fingerprints
@@ -137,15 +140,24 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
         F.sum(F.least("c", "item_c") * F.col("w")).alias("common"))
     union = F.col("win_total") + F.col("item_total") - F.col("common")
     similar = common.join(totals, "item").where(100 * F.col("common") >= percent * union).select("win", "item_id", (F.col("common") / union).alias("similarity"))
-    best = F.min(F.struct((-F.col("similarity")).alias("s"), "start", (F.size("s") + (words - 1)).alias("n"))).alias("b")
-    return windows.join(similar, "win").groupBy("doc_id", "item_id").agg(best).select(
+    return windows.join(similar, "win").select(*key, "item_id", "start", (F.size("s") + (words - 1)).alias("n_words"), "similarity")
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, item_id, start`` (the window's first word), ``n_words``, ``similarity`` for each
+    document and item of similarity ``percent`` or more, the most similar and then the first
+    window of each."""
+    best = F.min(F.struct((-F.col("similarity")).alias("s"), "start", F.col("n_words").alias("n"))).alias("b")
+    return matches(documents, benchmark, words, percent).groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", F.col("b.start").cast("long").alias("start"), F.col("b.n").cast("long").alias("n_words"), (-F.col("b.s")).alias("similarity"))
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item; rows with a null id are judged together."""
-    bad = stored(contaminated(documents, benchmark).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """The documents that hold no benchmark item, each row judged by its own text; a row with a
+    null text has none, and goes where a text of its id (if it has one) goes."""
+    bad = stored(matches(documents, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "contaminated")
+    textless = bad.where("bad_id IS NOT NULL").select("bad_id", F.xxhash64(F.lit(None).cast("string")).alias("bad_hash"))
+    return documents.join(bad.unionByName(textless), documents["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(documents["text"]) == F.col("bad_hash")), "left_anti")
 
 
 _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

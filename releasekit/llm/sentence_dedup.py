@@ -3,8 +3,8 @@
 A text is cut into sentences.  From each sentence on, a span takes two or more consecutive
 sentences until it has ``MIN_WORDS`` words (one sentence alone makes a span only if it has
 twice as many).  Spans are hashed (96 bits over their lower-cased words), counted over the
-whole corpus, and every span but the first of its kind, by document id and place, marks its
-sentences for removal.  Short repeated lines, such as a menu or a greeting, reach no span.
+whole corpus, and every span but the first of its kind, by document id, text (a 64-bit hash) and
+place, marks its sentences for removal.  Short repeated lines, such as a menu or a greeting, reach no span.
 
 A sentence ends after ``.``, ``!``, ``?`` or ``…`` before white space, at a line feed, and
 before a word with a capital first letter: so a passage that was pasted into the middle of a
@@ -15,9 +15,9 @@ third of all documents hold is one row per task there, and in the join that mark
 occurrences its rows can be split.
 
 Edge cases: null and empty texts have no spans and stay as they are; a text all of whose
-sentences go becomes empty; rows with a null id come after all others; a repeated id counts
-as one document, so rows with the same id and text keep the same sentences; long texts are
-cut whole.
+sentences go becomes empty; rows with a null id come after all others; rows with the same
+id and text count as one document and keep the same sentences; texts that share an id, or have
+none, are cut each by itself; long texts are cut whole.
 """
 
 from __future__ import annotations
@@ -85,12 +85,12 @@ def text_spans(text: str, found: list[tuple[int, int]], min_words: int = MIN_WOR
 
 
 def _spans_of(documents: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, place`` (first sentence), ``h, g`` of all spans."""
+    """``doc_id, text_hash, place`` (first sentence), ``h, g`` of all spans."""
     def run(batches):
         import pyarrow as pa
 
         for batch in slices(batches):
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            ids, keys, texts = batch.column("doc_id"), batch.column("text_hash"), batch.column("text").to_pylist()
             rows, places, hs, gs = [], [], [], []
             for k, text in enumerate(texts):
                 if text:
@@ -100,50 +100,53 @@ def _spans_of(documents: DataFrame, min_words: int) -> DataFrame:
                     hs.append(h)
                     gs.append(g)
             if rows:
+                of = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hs)), pa.array(np.concatenate(gs))],
-                    names=["doc_id", "place", "h", "g"])
+                    [ids.take(of), keys.take(of), pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(hs)), pa.array(np.concatenate(gs))],
+                    names=["doc_id", "text_hash", "place", "h", "g"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, place int, h long, g int")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, place int, h long, g int")
 
 
 def repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, places, origins``: per document the first sentences of its spans that stood in the
-    corpus before, and the ids of the documents that hold each first."""
+    """``doc_id, text_hash, repeated``: per document its spans that stood in the corpus before
+    (first sentence and hash), and the ids of the documents that hold each first."""
     found = stored(_spans_of(documents, min_words), "spans")
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "place")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "place")
     many = found.groupBy("h", "g").agg(F.min(order).alias("origin"), F.count("*").alias("n")).where("n > 1").select("h", "g", "origin")
     many = stored(many, "many")  # a table, not an aggregation in the join's stage: so a hot span's rows can be split there
     later = found.join(many, ["h", "g"]).where(order > F.col("origin"))
-    return later.groupBy("doc_id").agg(F.collect_set(F.struct("place", F.col("origin.doc_id").alias("origin"))).alias("repeated"))
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "h", F.col("origin.doc_id").alias("origin"))).alias("repeated"))
 
 
 def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: bool = False) -> DataFrame:
     """``documents`` without the sentences of repeated spans (``n_chars``, where there is one, is
     counted anew); or, as a report, one row per removed stretch: ``doc_id, first_sentence,
     last_sentence, start, end`` (code points), ``n_words, origin_id, text``."""
-    mark, marked_id = free_name(documents.columns, "repeated"), free_name(documents.columns, "marked_id")
-    marked = stored(repeated_spans(documents, min_words), "repeats").select(F.col("doc_id").alias(marked_id), F.col("repeated").alias(mark))
+    mark, marked_id, marked_hash = (free_name(documents.columns, n) for n in ("repeated", "marked_id", "marked_hash"))
+    marked = stored(repeated_spans(documents, min_words), "repeats").select(F.col("doc_id").alias(marked_id), F.col("text_hash").alias(marked_hash), F.col("repeated").alias(mark))
     # ids are compared as numbers; a null id meets a null id
-    joined = documents.join(marked, F.col("doc_id").cast("long").eqNullSafe(F.col(marked_id)), "inner" if report else "left").drop(marked_id)
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col(marked_id)) & (F.xxhash64("text") == F.col(marked_hash))
+    joined = documents.join(marked, own, "inner" if report else "left").drop(marked_id, marked_hash)
     names, schema = documents.columns, documents.schema
 
     def stretches(text: str, repeated: list[dict]) -> Iterator[tuple[int, int, int, int, int]]:
         """Sentences from and to, code points from and to, and the origin of each stretch."""
         cut = sentences(text)
-        first, last, _, _ = text_spans(text, cut, min_words)
-        ends = dict(zip(first.tolist(), last.tolist()))
+        first, last, h, _ = text_spans(text, cut, min_words)
+        ends = dict(zip(zip(first.tolist(), h.tolist()), last.tolist()))
         now = None
         for r in sorted(repeated, key=lambda r: r["place"]):
-            a = r["place"]
-            if a not in ends:  # a row that shares its id with another text
+            a, end = r["place"], ends.get((r["place"], r["h"]))
+            if end is None:  # another text's span
                 continue
             if now and a <= now[1] + 1 and (a <= now[1] or r["origin"] == now[2]):
-                now[1] = max(now[1], ends[a])
+                now[1] = max(now[1], end)
             else:
                 if now:
                     yield now[0], now[1], cut[now[0]][0], cut[now[1]][1], now[2]
-                now = [a, ends[a], r["origin"]]
+                now = [a, end, r["origin"]]
         if now:
             yield now[0], now[1], cut[now[0]][0], cut[now[1]][1], now[2]
 

@@ -415,6 +415,32 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_contaminated_rows_are_judged_by_their_own_text(spark):
+    item = " ".join(f"i{j}" for j in range(30))
+    clean = [" ".join(f"{x}{j}" for j in range(50)) for x in "abc"]
+    frame = spark.createDataFrame([(None, item + " tail"), (None, clean[0]), (1, "head " + item), (1, clean[1]), (2, clean[2]), (3, None), (None, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert sorted(rows(decontaminate.contaminated(frame, bench), "doc_id", "start"), key=str) == [(1, 1), (None, 0)]
+    assert sorted(rows(decontaminate.drop_contaminated(frame, bench), "doc_id", "text"), key=str) == sorted([(None, clean[0]), (1, clean[1]), (2, clean[2]), (3, None), (None, None)], key=str)
+
+
+def test_windows_of_one_null_id_document_are_not_cut_from_the_others(spark):
+    item = [f"i{j}" for j in range(30)]
+    frame = spark.createDataFrame([(None, " ".join([f"n{k}x{j}" for j in range(40)] + item[k % 3:])) for k in range(40)], "doc_id long, text string")
+    got = decontaminate.matches(frame, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    assert got.select("text_hash").distinct().count() == 40 and got.groupBy("text_hash").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_sentences_of_another_text_of_the_id_stay(spark):
+    filler = lambda i: " ".join(f"f{i}x{j}" for j in range(60)) + ".\n"
+    texts = [(0, passage(1)), (None, passage(1) + "\n" + filler(1)), (None, filler(2) + filler(3)), (5, passage(1) + "\n" + filler(4)), (5, filler(5) + filler(6)), (None, passage(2)), (None, passage(2) + " Own.")]
+    left = sorted(rows(sentence_dedup.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string")), "doc_id", "text"), key=str)
+    everything = " ".join(t for _, t in left)
+    for k in range(1, 7):
+        assert everything.count(f"f{k}x30") == 1
+    assert everything.count("p1q30") == 1 and everything.count("p2q30") == 1
+
+
 def test_native_operators_have_no_python_in_their_plans(spark):
     from releasekit.llm.queries import QUERIES
 
