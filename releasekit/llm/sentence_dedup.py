@@ -2,7 +2,8 @@
 
 A text is cut into sentences.  From each sentence on, a span takes two or more consecutive
 sentences until it has ``MIN_WORDS`` words (one sentence alone makes a span only if it has
-twice as many).  Spans are hashed (96 bits over their lower-cased words), counted over the
+twice as many); and back from each sentence, another does likewise, so that a repeated passage
+is covered to its last sentence.  Spans are hashed (96 bits over their lower-cased words), counted over the
 whole corpus, and every span but the first of its kind, by document id, text (a 64-bit hash) and
 place, marks its sentences for removal.  Short repeated lines, such as a menu or a greeting, reach no span.
 
@@ -44,14 +45,18 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def spans(counts: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentence of each span, from the sentences' numbers of words."""
+    """First and last sentence of each span, from the sentences' numbers of words: for each
+    sentence the shortest span that starts there and the shortest that ends there, ordered."""
     n = len(counts)
     total = np.concatenate([[0], np.cumsum(counts)])
-    first = np.arange(n)
+    at, alone = np.arange(n), counts >= 2 * min_words
     last = np.searchsorted(total, total[:-1] + min_words, "left") - 1  # where the words are enough
-    last = np.where((last == first) & (counts < 2 * min_words), first + 1, last)
-    fits = last < n
-    return first[fits], last[fits]
+    last = np.where((last == at) & ~alone, at + 1, last)
+    first = np.searchsorted(total, total[1:] - min_words, "right") - 1
+    first = np.where((first == at) & ~alone, at - 1, first)
+    ahead, back = last < n, first >= 0
+    code = np.unique(np.concatenate([at[ahead] * n + last[ahead], first[back] * n + at[back]]))
+    return code // max(n, 1), code % max(n, 1)
 
 
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -137,16 +142,14 @@ def remove_repeats(documents: DataFrame, min_words: int = MIN_WORDS, report: boo
         first, last, h, _ = text_spans(text, cut, min_words)
         ends = dict(zip(zip(first.tolist(), h.tolist()), last.tolist()))
         now = None
-        for r in sorted(repeated, key=lambda r: r["place"]):
-            a, end = r["place"], ends.get((r["place"], r["h"]))
-            if end is None:  # another text's span
-                continue
-            if now and a <= now[1] + 1 and (a <= now[1] or r["origin"] == now[2]):
+        known = [(r["place"], ends[r["place"], r["h"]], r["origin"]) for r in repeated if (r["place"], r["h"]) in ends]  # no other text's spans
+        for a, end, origin in sorted(known, key=lambda x: x[:2]):
+            if now and a <= now[1] + 1 and (a <= now[1] or origin == now[2]):
                 now[1] = max(now[1], end)
             else:
                 if now:
                     yield now[0], now[1], cut[now[0]][0], cut[now[1]][1], now[2]
-                now = [a, end, r["origin"]]
+                now = [a, end, origin]
         if now:
             yield now[0], now[1], cut[now[0]][0], cut[now[1]][1], now[2]
 

@@ -396,6 +396,33 @@ def test_sentence_dedup(spark, docs, none):
     assert sentence_dedup.remove_repeats(none).count() == sentence_dedup.remove_repeats(none, report=True).count() == 0
 
 
+def test_repeated_passages_go_to_their_last_sentence(spark):
+    def sentence(label, n):
+        return f"{label.capitalize()} " + " ".join(f"{label}w{j}" for j in range(n - 1)) + "."
+
+    for k, lengths in enumerate([(60, 20), (52, 24), (14, 14, 10), (15, 15, 6, 6, 6), (10, 10, 10, 40, 3), (26, 4)]):
+        text = " ".join(sentence(f"s{k}x{i}", n) for i, n in enumerate(lengths))
+        own = [sentence(f"own{k}y{i}", 30) for i in range(4)]
+        frame = spark.createDataFrame([(1, f"{own[0]} {text} {own[1]}"), (2, f"{own[2]} {text} {own[3]}")], "doc_id long, text string")
+        left = dict(rows(sentence_dedup.remove_repeats(frame), "doc_id", "text"))
+        assert left == {1: f"{own[0]} {text} {own[1]}", 2: f"{own[2]} {own[3]}"}, lengths
+
+
+def test_spans_cover_every_passage_of_enough_words():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    for _ in range(300):
+        counts = rnd.integers(3, 60, 12)
+        first, last = sentence_dedup.spans(counts)
+        assert all(counts[a:b + 1].sum() >= 25 and (b > a or counts[a] >= 50) for a, b in zip(first, last))
+        p, q = sorted(rnd.integers(0, 12, 2))
+        inside = {k for a, b in zip(first.tolist(), last.tolist()) if p <= a and b <= q for k in range(a, b + 1)}
+        if counts[p:q + 1].sum() >= (25 if q > p else 50):
+            assert inside == set(range(p, q + 1))
+    assert [len(x) for x in sentence_dedup.spans(np.array([], np.int64))] == [0, 0]
+
+
 def test_decontamination(spark, docs, none):
     items = [(k, " ".join(f"i{k}w{j}" for j in range(30))) for k in range(12)] + [(50, None), (51, ""), (52, "too few words"), (None, " ".join(f"null{j}" for j in range(20))), (60, " ".join(["again and", "again"] * 8))]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("h", F.lit(1))
