@@ -122,6 +122,23 @@ def test_candidates_reach_pairs_at_the_threshold():
     assert found == 300
 
 
+def test_bands_and_margin_reach_the_thresholds():
+    import numpy as np
+
+    rnd, n = np.random.default_rng(11), 200_000
+    for similarity, most in ((0.80, 4e-4), (0.85, 1e-4)):
+        missed = 0
+        for _ in range(n // 20_000):
+            equal = rnd.random((20_000, minhash.MINIMA)) < similarity
+            band = np.zeros(len(equal), bool)
+            for places in minhash._PLACES:
+                band |= equal[:, places].all(axis=1)
+            chance = 2.0**-minhash.BITS
+            estimate = ((equal | (rnd.random(equal.shape) < chance)).mean(axis=1) - chance) / (1 - chance)
+            missed += (~(band & (estimate >= similarity - minhash.MARGIN))).sum()
+        assert missed / n < most, (similarity, missed)
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(50)] + [(100, 101), (101, 100), (7, 7), (200, 150), (151, 150), (200, 201)]
     got = dict(rows(components(spark.createDataFrame(chain, "u long, v long")), "node", "component"))
