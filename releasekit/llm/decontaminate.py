@@ -5,7 +5,9 @@ weighted-shingle similarity.
    item: as long as the item, and shifted so that the shared shingle stands where it stands in
    the item.  (Without a shared shingle the similarity is 0.)
 2. Windows and items get a SimHash of their weighted shingles: 64 bits, each the sign of a sum.
-   Shingles that fewer items hold weigh more.
+   Shingles that fewer items hold weigh more.  A sign adds up square roots of weights, so the
+   cosine that the fingerprints follow is at least the share 2s / (1 + s) of a similarity s,
+   however uneven the weights are.
 3. Fingerprints are cut into blocks.  If two differ in at most ``RADIUS`` bits, then by the
    pigeonhole principle one block differs in at most ``RADIUS // BLOCKS``; items are entered
    under all values that near to theirs, and windows look up their own, so no pair within the
@@ -54,12 +56,13 @@ def shingles(words: Column, size: int = WORDS) -> Column:
 
 def fingerprint(rows: DataFrame, key: list[str]) -> DataFrame:
     """SimHash per ``key`` of rows with ``h`` (shingle hash), ``c`` (how often) and ``w`` (weight):
-    bit b is set where the weights of shingles with that bit outweigh the others."""
+    bit b is set where the square roots of the weights of shingles with that bit outweigh the
+    others (in thousandths, whole numbers); ``total`` sums up the weights themselves."""
     spread = F.xxhash64("h", F.lit(5))
     value = F.col("w") * F.col("c")
-    sums = rows.withColumn("x", spread).withColumn("v", value).groupBy(*key).agg(
+    sums = rows.withColumn("x", spread).withColumn("v", F.round(1000 * F.sqrt(value)).cast("long")).groupBy(*key).agg(
         *(F.sum(F.when(F.getbit("x", F.lit(b)) == 1, F.col("v")).otherwise(-F.col("v"))).alias(f"s{b}") for b in range(BITS)),
-        F.sum("v").alias("total"))
+        F.sum(value).alias("total"))
     bits = functools.reduce(lambda a, b: a.bitwiseOR(b), (F.when(F.col(f"s{b}") > 0, F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long") for b in range(BITS)))
     return sums.select(*key, "total", bits.alias("fp"))
 

@@ -485,6 +485,20 @@ def test_sentences_of_another_text_of_the_id_stay(spark):
     assert everything.count("p1q30") == 1 and everything.count("p2q30") == 1
 
 
+@pytest.mark.parametrize("shared, changed", [(310, 5), (130, 2)])
+def test_fingerprints_of_items_that_share_a_template_are_near(spark, shared, changed):
+    """Two sets with ``shared`` light shingles in common and ``changed`` heavy ones each of their own."""
+    light, heavy = 693, 5303
+    assert 100 * shared * light >= 80 * (shared * light + 2 * changed * heavy)
+    kinds = [(k, side, f"{k}t{j}", light) for k in range(150) for side in (0, 1) for j in range(shared)]
+    kinds += [(k, side, f"{k}r{side}x{j}", heavy) for k in range(150) for side in (0, 1) for j in range(changed)]
+    frame = spark.createDataFrame(kinds, "k int, side int, name string, w long").select("k", "side", F.xxhash64("name").alias("h"), "w", F.lit(1).alias("c"))
+    got = {(r["k"], r["side"]): (r["fp"], r["total"]) for r in decontaminate.fingerprint(frame, ["k", "side"]).collect()}
+    assert {t for _, t in got.values()} == {shared * light + changed * heavy}
+    distances = [((got[k, 0][0] ^ got[k, 1][0]) & (2**64 - 1)).bit_count() for k in range(150)]
+    assert max(distances) <= decontaminate.RADIUS
+
+
 def test_native_operators_have_no_python_in_their_plans(spark):
     from releasekit.llm.queries import QUERIES
 
