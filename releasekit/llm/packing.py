@@ -89,14 +89,27 @@ def word_count(text: Column) -> Column:
     return F.when(F.coalesce(trimmed, F.lit("")) == "", 0).otherwise(F.size(F.split(trimmed, r"[ \x09-\x0D]+")))
 
 
+#: Scripts written without spaces (Thai to Lao, Burmese, Khmer, kana, Han): each character is a token.
+_UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
+#: Characters of other words in a token at most.
+TOKEN_CHARS = 16
+
+
+def token_count(text: Column) -> Column:
+    """Tokens by a fixed rule: a character of a script without spaces, or up to ``TOKEN_CHARS``
+    others without ASCII white space.  A word of usual length is one token."""
+    rule = rf"[{_UNSPACED}]|[^ \x09-\x0D{_UNSPACED}]{{1,{TOKEN_CHARS}}}"
+    return F.coalesce(F.regexp_count(text, F.lit(rule)), F.lit(0))
+
+
 def pack_documents(documents: DataFrame, n_tokens: Column | None = None, capacities: Sequence[int] = CAPACITIES,
                    cost=sequence_cost, shard: int = SHARD) -> DataFrame:
     """``doc_id, start, n_tokens`` (a piece of the document, in tokens), ``bin_id, capacity,
     position`` (the place of its first token in the sequence).  ``n_tokens`` is the length of a
-    document, by default its words; any tokenizer's count can stand there."""
+    document, by default ``token_count``; any tokenizer's count can stand there."""
     capacities, largest = sorted(capacities), max(capacities)
     costs = {c: float(cost(c)) for c in capacities}
-    count = F.coalesce(n_tokens if n_tokens is not None else word_count(F.col("text")), F.lit(0)).cast("long")
+    count = F.coalesce(n_tokens if n_tokens is not None else token_count(F.col("text")), F.lit(0)).cast("long")
     sized = documents.select("doc_id", count.alias("n"))
     last = F.greatest(F.lit(0), F.ceil(F.col("n") / largest) - 1).cast("long")
     pieces = sized.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece")).select(

@@ -378,6 +378,12 @@ def test_packing(docs, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_text_without_spaces_is_packed_by_its_length(spark):
+    texts = [(0, "漢字かな" * 300), (1, "QUJD" * 250_000), (2, "plain words of usual length"), (3, "ภาษาไทย"), (4, None), (5, " \n ")]
+    got = packing.pack_documents(spark.createDataFrame(texts, "doc_id long, text string")).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"))
+    assert dict(rows(got, "doc_id", "n")) == {0: 1200, 1: 62_500, 2: 5, 3: 7, 4: 0, 5: 0}
+
+
 def test_packing_is_never_worse_than_any_single_opening():
     import numpy as np
 
