@@ -6,6 +6,7 @@ import string
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from releasekit.session import ensure_checkpoint_dir
@@ -62,6 +63,35 @@ def slices(batches: Iterator, rows: int = 256) -> Iterator:
             yield batch.slice(at, rows)
 
 
+def raw_bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a column of strings, one after the other, and the limits of each row
+    in them; a null counts as empty.  Nothing is copied where the column is one buffer."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column, "").cast(pa.large_utf8())
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    _, limits, data = column.buffers()
+    limits = np.frombuffer(limits, np.int64)[column.offset:column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return whole[limits[0]:limits[-1]], limits - limits[0]
+
+
+def byte_slices(batches: Iterator, column: str, most: int) -> Iterator:
+    """Arrow batches in slices whose texts hold ``most`` bytes at most, or one row."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            start = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, start + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once: a one-element transform binds it to a
     lambda variable, so the optimizer can't copy the expression into an inner lambda."""
