@@ -127,7 +127,7 @@ def profiles(documents: DataFrame, words: int) -> DataFrame:
         run, "doc_id long, text_hash long, n_shingles long, digest binary, bands binary, signature binary")
 
 
-def _groups(batches, key: list[str]) -> Iterator[dict[str, list]]:
+def row_groups(batches, key: list[str]) -> Iterator[dict[str, list]]:
     """Rows of sorted batches, gathered by ``key``; a group's size is bounded by its blocks."""
     import pyarrow as pa
 
@@ -178,7 +178,7 @@ def estimated_links(classes: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for group in _groups(batches, key):
+        for group in row_groups(batches, key):
             nodes = group["node"].to_numpy()
             signatures = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint64).reshape(len(nodes), -1)
             sizes, own = group["n_shingles"].to_numpy(), group["own"].to_numpy()
@@ -248,7 +248,7 @@ def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent
     def run(batches):
         import pyarrow as pa
 
-        for group in _groups(batches, key):
+        for group in row_groups(batches, key):
             nodes, own = group["node"].to_numpy(), group["own"].to_numpy()
             found = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
             lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
