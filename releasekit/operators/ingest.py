@@ -1,7 +1,7 @@
 """Whole import: ingest -> clean -> Parquet -> publish -> register (SNK-5).
 
-Idempotent per (source, artifact, version, created): re-running replaces the release
-directory and upserts the same registry key."""
+Idempotent per (source, artifact, version, created): re-running replaces the release (readers
+see the old or the new one, whole) and upserts the same registry key."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from releasekit.functions.columns import SLUG_PATTERN
 from releasekit.functions.schema import sanitize_columns
 from releasekit.operators import registry as R
 from releasekit.operators.quality import cast_fails
-from releasekit.sources.writers import WriteProfile, publish, release_relpath
+from releasekit.sources.writers import WriteProfile, publish_release, release_relpath
 
 
 def _check_names(source: str, artifact: str, storage: str, version: str) -> None:
@@ -60,7 +60,7 @@ def import_release(
         df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in types.fields])
     rel = release_relpath(source, artifact, version, created, "parquet")
     url = f"{store_root.rstrip('/')}/{rel}"
-    outcome, prof = publish(df, url, policy=policy, n_partitions=n_partitions)
+    outcome, prof = publish_release(df, url, policy=policy, n_partitions=n_partitions)
     if prof is None:  # refused: the release already exists, keep its entry as is
         prof = WriteProfile(nrow=-1, non_null={}, schema=df.schema.treeString(), path=url)
     meta = {"nrow": str(prof.nrow), "schema": prof.schema, "schema_json": df.schema.json()}
@@ -78,8 +78,7 @@ def import_release(
         one, source=F.lit(source), artifact=F.lit(artifact), version=F.lit(version), created="created",
         storage=F.lit(storage), root=F.lit(store_root.rstrip("/")), metadata="metadata",
     )
-    reg = R.load_registry(spark, registry_root)
     if outcome == "written":
-        reg = R.upsert(reg, R.require_valid(entry))
-        R.save_registry(reg, registry_root)
+        R.require_valid(entry)
+        R.update_registry(spark, registry_root, lambda reg: R.upsert(reg, entry))
     return {"outcome": outcome, "url": url, "relpath": rel, "nrow": prof.nrow, "non_null": prof.non_null, "bad_casts": bad_casts}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from releasekit.functions.columns import SLUG_PATTERN, resource_relpath, storage_url
+from releasekit.session import child_names, remove_path
+from releasekit.sources import commits
+from releasekit.sources.writers import published_path
 
 KEY = ["source", "storage", "artifact", "version", "created"]
 
@@ -258,25 +262,64 @@ def with_position(reg: DataFrame, order: list = KEY, name: str = "position") ->
 
 # --- persistence (SNK-6) ----------------------------------------------------------------
 
-def save_registry(reg: DataFrame, root: str) -> str:
-    """Append a new registry version (the directory ``rv=<utc micros>``) instead of rewriting
-    the path a reader may be using (D16).  An empty registry is a version like any other.
-    Returns the version written."""
-    rv = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    reg.coalesce(4).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/rv={rv}")
-    return rv
+COMMITS = "_commits"
+
+
+def save_registry(reg: DataFrame, root: str, base: int | None = None) -> str:
+    """Write a new registry version and commit it; the path that a reader may be using is never
+    rewritten (D16).  An empty registry is a version like any other.  With ``base`` (the number
+    that ``load_version`` gave) the commit is made only if no other has come since, else it is a
+    ``CommitConflict`` and nothing has changed; without, ``reg`` follows whatever is there.
+    Returns the directory of the version."""
+    spark, root = reg.sparkSession, root.rstrip("/")
+    data = f"rv={_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
+    # file sizes are left to adaptive execution
+    reg.hint("rebalance").write.mode("errorifexists").option("maxRecordsPerFile", 1_000_000).parquet(f"{root}/{data}")
+    log = f"{root}/{COMMITS}"
+    while True:
+        at = base if base is not None else (commits.head(spark, log) or (0,))[0]
+        if commits.commit(spark, log, at + 1, {"data": data}):
+            return data
+        if base is not None:
+            remove_path(spark, f"{root}/{data}")
+            raise commits.CommitConflict(f"{root} has moved on from version {base}")
+
+
+def load_version(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
+    """Number and content of the newest registry version; older ones are not opened.  A missing
+    location is an empty registry with number 0; one that can't be reached is an error."""
+    root = root.rstrip("/")
+    found = commits.head(spark, f"{root}/{COMMITS}")
+    if found:
+        return found[0], spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/{found[1]['data']}")
+    # registries from before there were commits: the newest complete directory
+    for rv in sorted((n for n in child_names(spark, root) if n.startswith("rv=")), reverse=True):
+        if "_SUCCESS" in child_names(spark, f"{root}/{rv}"):
+            return 0, spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/{rv}")
+    return 0, empty_registry(spark)
 
 
 def load_registry(spark: SparkSession, root: str) -> DataFrame:
-    """Newest complete registry version, found from the directory listing; older ones are not
-    opened.  A missing location is an empty registry; one that can't be reached is an error."""
-    from releasekit.session import child_names
+    return load_version(spark, root)[1]
 
-    root = root.rstrip("/")
-    for rv in sorted((n for n in child_names(spark, root) if n.startswith("rv=")), reverse=True):
-        if "_SUCCESS" in child_names(spark, f"{root}/{rv}"):
-            return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/{rv}")
-    return empty_registry(spark)
+
+def update_registry(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame], attempts: int = 50) -> int:
+    """Read, change, commit.  Where another writer commits in between, the registry is read again
+    and ``change`` (and its checks) applied to that, so no writer's entries are lost and a strict
+    insert still fails on a key that has come meanwhile.  Returns the number of the version."""
+    for _ in range(attempts):
+        number, reg = load_version(spark, root)
+        try:
+            save_registry(change(reg), root, base=number)
+            return number + 1
+        except commits.CommitConflict:
+            continue
+    raise commits.CommitConflict(f"{root}: {attempts} attempts, each overtaken by another writer")
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 10) -> list[str]:
+    """Remove the data of all but the newest ``keep`` registry versions."""
+    return commits.expire(spark, f"{root.rstrip('/')}/{COMMITS}", root, keep)
 
 
 # --- reading through the registry (SRC-10 / SRC-11) ---------------------------------------
@@ -312,4 +355,4 @@ def read_release(spark: SparkSession, reg: DataFrame, source: str, artifact: str
     schema = recorded_schema(entry) if enforce_schema and name not in ("parquet", "orc", "delta") else None
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(url)
+    return reader.load(published_path(spark, url))

@@ -8,17 +8,29 @@ current (lazy) registry DataFrame.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from releasekit.operators import registry as R
 
 
 class ReleaseRegistry:
+    """``entries`` are the registry as loaded, with all changes made since.  A registry that was
+    given its ``entries`` outright replaces what is stored when it is saved."""
+
     def __init__(self, spark: SparkSession, root: str, entries: DataFrame | None = None):
         self.spark = spark
         self.root = root
+        self.changes: tuple[Callable[[DataFrame], DataFrame], ...] | None = () if entries is None else None
         self.entries = entries if entries is not None else R.load_registry(spark, root)
 
+    def _changed(self, change: Callable[[DataFrame], DataFrame]) -> "ReleaseRegistry":
+        out = ReleaseRegistry(self.spark, self.root, change(self.entries))
+        out.changes = None if self.changes is None else (*self.changes, change)
+        return out
+
     # lookups ---------------------------------------------------------------------------
     def find(self, source: str | None = None, artifact: str | None = None, version: str | None = "latest") -> DataFrame:
         return R.find(self.entries, source, artifact, version)
@@ -41,15 +53,17 @@ class ReleaseRegistry:
     # updates (each returns a new registry; nothing is written until ``save``) -----------
     def add(self, new: DataFrame, overwrite: bool = False) -> "ReleaseRegistry":
         R.require_valid(new)
-        merged = R.upsert(self.entries, new) if overwrite else R.insert_strict(self.entries, new)
-        return ReleaseRegistry(self.spark, self.root, merged)
+        return self._changed(lambda reg: R.upsert(reg, new) if overwrite else R.insert_strict(reg, new))
 
     def remove(self, gone: DataFrame) -> "ReleaseRegistry":
-        return ReleaseRegistry(self.spark, self.root, R.remove(self.entries, gone))
+        return self._changed(lambda reg: R.remove(reg, gone))
 
     def merge(self, *others: "ReleaseRegistry") -> "ReleaseRegistry":
-        return ReleaseRegistry(self.spark, self.root, R.merge(self.entries, *[o.entries for o in others]))
+        return self._changed(lambda reg: R.merge(reg, *[o.entries for o in others]))
 
     def save(self) -> str:
-        """Append as a new registry version; returns the version id."""
-        return R.save_registry(self.entries, self.root)
+        """Commit the changes made since loading, on top of what other writers have committed
+        meanwhile; returns the version id."""
+        if self.changes is None:
+            return R.save_registry(self.entries, self.root)
+        return f"version {R.update_registry(self.spark, self.root, lambda reg: reduce(lambda r, change: change(r), self.changes, reg))}"

@@ -10,6 +10,7 @@ from releasekit.operators import compare as CMP
 from releasekit.operators import ontology as ON
 from releasekit.operators import quality as Q
 from releasekit.operators import registry as R
+from releasekit.operators.release_registry import ReleaseRegistry
 from releasekit.plans import derived as D
 from releasekit.plans.base import query, table
 from releasekit.session import scratch_path
@@ -262,6 +263,28 @@ def reg_roundtrip(spark, sf):
     return back.select(*R.KEY, F.col("metadata")["nrow"].cast("bigint").alias("nrow"))
 
 
+@query("reg_concurrent_commits", f"""
+WITH {REL}
+SELECT {KEYS}, CASE WHEN version < 'v1996' THEN nrow + 1 ELSE nrow END AS nrow FROM releases WHERE NOT (version >= 'v1996' AND version < 'v1997' AND artifact = '5_low')
+""")
+def reg_concurrent_commits(spark, sf):
+    """SNK-6, REG-8/9, D16: two writers load the same version.  One inserts the releases of 1996 and
+    saves; the other replaces the entries of earlier years and inserts those of later ones, and
+    saves on top of it; a third, begun before both, removes some of 1996 once they are there."""
+    root = scratch_path(spark, "commits")
+    full = D.registry(spark, sf)
+    old, year, later = full.where("version < 'v1996'"), full.where("version >= 'v1996' AND version < 'v1997'"), full.where("version >= 'v1997'")
+    R.save_registry(old, root)
+    first, second, third = (ReleaseRegistry(spark, root) for _ in range(3))
+    first = first.add(year)
+    counted = F.map_from_entries(F.transform(F.map_entries("metadata"), lambda e: F.struct(e["key"], (e["value"].cast("bigint") + 1).cast("string"))))
+    second = second.add(old.withColumn("metadata", counted), overwrite=True).add(later)
+    third = third.remove(year.where("artifact = '5_low'"))
+    for writer in (first, second, third):
+        writer.save()
+    return R.load_registry(spark, root).select(*R.KEY, F.col("metadata")["nrow"].cast("bigint").alias("nrow"))
+
+
 # ---------------------------------------------------------------- quality rules (QLT)
 
 

@@ -17,7 +17,7 @@ from releasekit.operators.ingest import import_release
 from releasekit.plans.base import query, table
 from releasekit.session import scratch_path
 from releasekit.sources import dumps, readers
-from releasekit.sources.writers import publish, write_parquet, write_profiled, write_versioned
+from releasekit.sources.writers import publish, publish_release, read_published, write_parquet, write_profiled, write_versioned
 from releasekit.streaming.snapshots import snapshot_stream
 
 PREAMBLE_LINES = 15
@@ -406,6 +406,24 @@ def snk_publish_policy(spark, sf):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+@query("snk_publish_pointer", """
+SELECT 'opened before' AS reader, lang, count(*) AS nrow FROM documents WHERE lang <> 'en' GROUP BY lang
+UNION ALL SELECT 'opened after', lang, count(*) FROM documents GROUP BY lang
+""")
+def snk_publish_pointer(spark, sf):
+    """SNK-3/5: a release is replaced while a reader has it open, after a writer died before it set
+    the pointer; each reader sees one whole release."""
+    d = table(spark, sf, "documents")
+    url = scratch_path(spark, "pointer")
+    publish_release(d.where("lang <> 'en'"), url)
+    before = read_published(spark, url)
+    write_parquet(d.where("lang = 'en'"), f"{url}/_releases/died")
+    publish_release(d, url)
+    after = read_published(spark, url)
+    count = lambda df, name: df.groupBy("lang").agg(F.count(F.lit(1)).alias("nrow")).select(F.lit(name).alias("reader"), "lang", "nrow")
+    return count(before, "opened before").unionByName(count(after, "opened after"))
+
+
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

@@ -101,10 +101,24 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
 def move_into_place(spark: SparkSession, staged: str, target: str) -> None:
-    """Replace ``target`` by the finished ``staged`` directory."""
+    """Replace ``target`` by the finished ``staged`` directory.  The old one is set aside first and
+    removed last, so a crash in between loses neither; readers may find no ``target`` for the
+    moment between the two renames (``writers.publish_release`` has no such moment)."""
     fs, old = _file_system(spark, target)
     _, new = _file_system(spark, staged)
-    fs.delete(old, True)
+    _, aside = _file_system(spark, f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"could not set {target} aside")
     if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
         raise OSError(f"could not move {staged} to {target}")
+    if had:
+        fs.delete(aside, True)

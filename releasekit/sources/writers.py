@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from releasekit.functions.columns import ARTIFACT_FILENAME, RELEASE_TS_FORMAT
-from releasekit.session import move_into_place
+from releasekit.session import child_names, move_into_place, remove_path
+from releasekit.sources import commits
 
 
 def write_parquet(df: DataFrame, path: str, n_partitions: int | None = None, mode: str = "overwrite",
@@ -89,6 +90,58 @@ def publish(df: DataFrame, url: str, policy: str = "replace", fmt: str = "parque
     return "written", prof
 
 
+RELEASES, COMMITS = "_releases", "_commits"
+
+
+def publish_release(df: DataFrame, url: str, policy: str = "replace", fmt: str = "parquet",
+                    n_partitions: int | None = None, keep: int = 2) -> tuple[str, WriteProfile | None]:
+    """SNK-3 for releases that are read while they change: the data go to a folder of their own
+    below ``url``, and a numbered pointer, written last, makes them the release.  Readers
+    (``published_path``, ``read_published``, the registry) follow the newest pointer, so they see
+    one whole release at any moment; a writer that dies leaves the old one in place.
+
+    ``replace`` keeps the data of the newest ``keep`` releases, for readers that began before;
+    ``put`` keeps all; ``refuse`` leaves an existing release alone, also where two writers start
+    at once.  A plain directory at ``url`` counts as a release and goes with the first
+    ``replace``.  Returns (outcome, profile)."""
+    if policy not in POLICIES:
+        raise ValueError(f"unknown policy {policy!r}; one of {POLICIES}")
+    spark, url = df.sparkSession, url.rstrip("/")
+    log = f"{url}/{COMMITS}"
+    found = commits.head(spark, log)
+    plain = [n for n in child_names(spark, url) if n not in (COMMITS, RELEASES)] if not found else []
+    if policy == "refuse" and (found or plain):
+        return "refused", None
+    data = f"{RELEASES}/{uuid.uuid4().hex}"
+    prof = write_profiled(df, f"{url}/{data}", n_partitions=n_partitions, mode="errorifexists", fmt=fmt)
+    what = {"data": data, "format": fmt, "nrow": prof.nrow, "schema": df.schema.json()}
+    number = found[0] if found else 0
+    while not commits.commit(spark, log, number + 1, what):
+        if policy == "refuse":
+            remove_path(spark, f"{url}/{data}")
+            return "refused", None
+        number = commits.head(spark, log)[0]
+    if policy == "replace":
+        commits.expire(spark, log, url, keep)
+        for name in plain:
+            remove_path(spark, f"{url}/{name}")
+    return "written", prof
+
+
+def published_path(spark: SparkSession, url: str) -> str:
+    """The folder that holds the release at ``url`` now; ``url`` itself where nothing was published
+    by pointer."""
+    url = url.rstrip("/")
+    found = commits.head(spark, f"{url}/{COMMITS}")
+    return f"{url}/{found[1]['data']}" if found else url
+
+
+def read_published(spark: SparkSession, url: str, fmt: str | None = None) -> DataFrame:
+    """The release at ``url``, in the format that its pointer names."""
+    found = commits.head(spark, f"{url.rstrip('/')}/{COMMITS}")
+    return spark.read.format(fmt or (found[1]["format"] if found else "parquet")).load(published_path(spark, url))
+
+
 def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
     """Bring the rows of a key together for a partitioned write, in one pass: a rebalance by
     ``keys``, whose partitions adaptive execution splits where a key is large and joins

@@ -34,7 +34,7 @@ def register_versions(spark: SparkSession, out_dir: str, batch_id: int, registry
         per_version, source=F.lit(source), artifact=F.lit(artifact), version="version", created="created",
         metadata=F.create_map(F.lit("nrow"), F.col("nrow").cast("string")),
         resources=F.create_map(F.lit("parquet"), F.concat(F.lit(out_dir.rstrip("/") + "/version="), F.col("version"))))
-    R.save_registry(R.upsert(R.load_registry(spark, registry_root), entries), registry_root)
+    R.update_registry(spark, registry_root, lambda reg: R.upsert(reg, entries))
 
 
 def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
