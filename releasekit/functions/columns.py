@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values that must equal the reference's contracts.
 SLUG_PATTERN = r"^[A-Za-z0-9_]+$"          # identifier rule for source / artifact / storage slugs
@@ -92,3 +93,17 @@ def storage_url(scheme, bucket, root, relpath) -> Column:
 def artifact_kind(c, file_suffix: str) -> Column:
     """A name ending in ``file_suffix`` is a single file, anything else a directory (SCL-11)."""
     return F.when(_c(c).endswith(file_suffix), F.lit("file")).otherwise(F.lit("directory"))
+
+
+#: What counts as a number in text.  Spark's cast takes Java's suffixes too, and would read the
+#: identifiers 1D and 2F as numbers.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(?i:nan|inf|infinity)\s*$"
+
+
+def read_as(c, dt, source=None) -> Column:
+    """``c`` as type ``dt``, null where it is none.  ``source`` is the type that ``c`` has; text
+    (the default) must look like a number to be read as one."""
+    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(dt, T.NumericType) and (source is None or isinstance(source, T.StringType)):
+        return F.when(c.rlike(NUMBER), c.try_cast(dt))
+    return c.try_cast(dt)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from releasekit.functions.columns import read_as
 from releasekit.functions.schema import schema_rows
 from releasekit.operators.quality import cast_fails
 from releasekit.operators.sets import overlap_report, overlap_sides_by, side_counts
@@ -66,9 +67,9 @@ def union_releases(*frames: DataFrame, types: dict[str, T.DataType] | None = Non
         cols, bad = [], F.lit(0)
         for name, dt in target.items():
             if name in f.columns:
-                cols.append(F.col(f"`{name}`").try_cast(dt).alias(name))
+                cols.append(read_as(f"`{name}`", dt, f.schema[name].dataType).alias(name))
                 if f.schema[name].dataType != dt:
-                    bad = bad + cast_fails(f"`{name}`", dt).cast("int")
+                    bad = bad + cast_fails(f"`{name}`", dt, f.schema[name].dataType).cast("int")
             else:
                 cols.append(F.lit(None).cast(dt).alias(name))
         aligned.append(f.select(*cols, bad.alias("n_bad")))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from releasekit.functions.columns import SLUG_PATTERN
+from releasekit.functions.columns import SLUG_PATTERN, read_as
 from releasekit.functions.schema import sanitize_columns
 from releasekit.operators import registry as R
 from releasekit.operators.quality import cast_fails
@@ -56,8 +56,8 @@ def import_release(
     casts = None
     if types is not None:
         casts = Observation("casts")
-        df = df.observe(casts, F.count(F.lit(1)).alias("n"), *[F.count_if(cast_fails(f"`{f.name}`", f.dataType)).alias(f"bad{i}") for i, f in enumerate(types.fields)])
-        df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in types.fields])
+        df = df.observe(casts, F.count(F.lit(1)).alias("n"), *[F.count_if(cast_fails(f"`{f.name}`", f.dataType, df.schema[f.name].dataType)).alias(f"bad{i}") for i, f in enumerate(types.fields)])
+        df = df.select(*[read_as(f"`{f.name}`", f.dataType, df.schema[f.name].dataType).alias(f.name) for f in types.fields])
     rel = release_relpath(source, artifact, version, created, "parquet")
     url = f"{store_root.rstrip('/')}/{rel}"
     outcome, prof = publish_release(df, url, policy=policy, n_partitions=n_partitions)

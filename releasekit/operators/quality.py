@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from releasekit.functions.columns import SLUG_PATTERN
+from releasekit.functions.columns import SLUG_PATTERN, read_as
 
 
 def _c(c) -> Column:
@@ -84,15 +84,16 @@ def path_collisions(reg_with_paths: DataFrame, path: str = "path", name: str = "
             .where(F.col(name) > 1))
 
 
-def cast_fails(c, dt) -> Column:
-    """Whether a value is there but is none of type ``dt``."""
-    return _c(c).isNotNull() & _c(c).try_cast(dt).isNull()
+def cast_fails(c, dt, source=None) -> Column:
+    """Whether a value is there but is none of type ``dt``; ``source`` is the type it has (text if
+    not given)."""
+    return _c(c).isNotNull() & read_as(c, dt, source).isNull()
 
 
 def cast_violations(df: DataFrame, schema: T.StructType, key, rule: str = "cast") -> DataFrame:
     """Values that would become null under the recorded ``schema``: one row each, ``column`` in
     the rule's name, from one pass."""
-    bad = [F.when(cast_fails(f"`{f.name}`", f.dataType), F.struct(F.lit(f"{rule}:{f.name}").alias("rule"), F.col(f"`{f.name}`").cast("string").alias("value")))
+    bad = [F.when(cast_fails(f"`{f.name}`", f.dataType, df.schema[f.name].dataType), F.struct(F.lit(f"{rule}:{f.name}").alias("rule"), F.col(f"`{f.name}`").cast("string").alias("value")))
            for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
     if not bad:
         return df.limit(0).select(F.lit(rule).alias("rule"), _c(key).cast("string").alias("key"), F.lit("").alias("value"))

@@ -79,6 +79,54 @@ def qlt_cast_violations(spark, sf):
     return Q.cast_violations(raw, table(spark, sf, "supplier").schema, "s_suppkey")
 
 
+@query("src_typed_identifiers", """
+SELECT o_orderkey, o_orderkey || 'D' AS suffixed, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS padded,
+       CASE WHEN o_orderkey % 7 >= 4 THEN o_totalprice END AS price, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey % 2 = 0 END AS even,
+       CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE o_orderstatus END AS status
+FROM orders
+""")
+def src_typed_identifiers(spark, sf):
+    """SRC-1 with lossless types: identifiers that a cast would read as numbers stay text, any of the
+    usual tokens is null, a dash is not; numbers, truth values and dates get their types."""
+    o = table(spark, sf, "orders")
+    token = F.element_at(F.array(*[F.lit(t) for t in ("n/a", "None", "<NA>", "#N/A")]), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    dump = o.select(
+        "o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit("D")).alias("suffixed"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("padded"),
+        F.when(F.col("o_orderkey") % 7 >= 4, F.col("o_totalprice").cast("string")).otherwise(token).alias("price"),
+        F.when(F.col("o_orderkey") % 5 == 0, "NaN").when(F.col("o_custkey") % 2 == 0, "True").otherwise("False").alias("even"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise(F.col("o_orderstatus")).alias("status"))
+    path = scratch_path(spark, "typed")
+    dumps.write_delimited_dump(dump, path, header="#" + "\t".join(dump.columns), preamble=[f"## dump line {i + 1}" for i in range(PREAMBLE_LINES)], compression="gzip")
+    return readers.infer_types(readers.read_preamble_tsv(spark, path, skip=PREAMBLE_LINES))
+
+
+@query("src_quarantine", """
+WITH lines AS (
+  SELECT CASE WHEN l_orderkey % 11 = 0 THEN 'too few fields' WHEN l_orderkey % 13 = 0 THEN 'too many fields' WHEN l_orderkey % 17 = 0 THEN 'bad quotes'
+              WHEN l_orderkey % 19 = 0 THEN 'no double in l_extendedprice' ELSE 'good' END AS outcome, l_extendedprice
+  FROM lineitem)
+SELECT outcome, count(*) AS n, CAST(round(sum(CASE WHEN outcome = 'good' THEN l_extendedprice END), 2) AS DECIMAL(24, 2)) AS price FROM lines GROUP BY outcome
+UNION ALL SELECT 'read', count(*), NULL FROM lines
+UNION ALL SELECT 'bad lines numbered', count(*), NULL FROM lines WHERE outcome <> 'good'
+""")
+def src_quarantine(spark, sf):
+    """SRC-1/2/5 on a damaged dump: rows with too few or too many fields, bad quotes or no number are
+    set aside with file and line, none becomes nulls; read, good and bad rows add up."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
+    key, line = F.col("l_orderkey"), dumps.as_text(["l_orderkey", "l_returnflag", "l_extendedprice"], "\t")
+    damaged = (F.when(key % 11 == 0, F.substring_index(line, "\t", 2)).when(key % 13 == 0, F.concat(line, F.lit("\tmore")))
+               .when(key % 17 == 0, F.concat(F.lit('"'), line)).when(key % 19 == 0, F.concat(line, F.lit("D"))).otherwise(line))
+    path = scratch_path(spark, "damaged")
+    dumps.write_text_dump(li.select(damaged.alias("value")), path, head=["# damaged", "l_orderkey\tl_returnflag\tl_extendedprice"], compression="gzip", n_chunks=8)
+    rows = readers.read_rescued(spark, path, li.schema, skip=2)
+    outcome = F.coalesce(F.col(f"{readers.RESCUED}.fault"), F.lit("good")).alias("outcome")
+    per = rows.groupBy(outcome).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).cast("decimal(24,2)").alias("price"))
+    none = F.lit(None).cast("decimal(24,2)").alias("price")
+    read = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("outcome"), "n", none)
+    numbered = readers.quarantined(spark, rows, path).where("line > 2").select("file", "line").distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit("bad lines numbered").alias("outcome"), "n", none)
+    return per.unionByName(read).unionByName(numbered)
+
+
 @query("src_header_tsv", """
 SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
 """)

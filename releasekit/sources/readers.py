@@ -7,13 +7,14 @@ Each reader returns a lazy DataFrame.  The only eager steps read a header line
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from releasekit.functions.columns import read_as
+
 
 def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
@@ -46,8 +47,8 @@ def _first_line(spark: SparkSession, path: str, predicate) -> str:
 
 #: What the CSV parser puts for an empty field; no text holds it, so "" stays apart from null.
 NO_TEXT = "\x00"
-#: Tokens that a typed read takes as null.
-NA_TOKENS = ("", "NA", "N/A", "na", "NaN", "nan", "NULL", "null", "-")
+#: The tokens that the usual dataframe reader takes as null.
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def read_preamble_tsv(
@@ -97,39 +98,89 @@ def read_commented_tsv(
                                                    mode="PERMISSIVE"), spread_to)
 
 
+#: The types that text may have, as bits, from the narrowest; a value has all that give it back
+#: unchanged as a value.
+LATTICE = {"bigint": 1, "boolean": 2, "double": 4, "decimal": 8, "date": 16, "timestamp_ntz": 32}
+_WHOLE, _PLAIN, _EXPONENT = r"^(0|-?[1-9][0-9]*)$", r"^-?(0|[1-9][0-9]*)\.[0-9]+$", r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?[eE][+-]?[0-9]{1,3}$"
+_DAY, _TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?$"
+_TRUTH = ("True", "TRUE", "true", "False", "FALSE", "false")
+#: Significant digits that a double always gives back, and digits of a decimal.
+DOUBLE_DIGITS, DECIMAL_DIGITS = 15, 38
+
+
+def _type_bits(v: Column) -> Column:
+    """The types of one value.  Numbers have no sign ``+``, no leading zeros and no spaces, else they
+    are identifiers; a double has no more significant digits than it can give back."""
+    whole, plain = v.rlike(_WHOLE), v.rlike(_PLAIN)
+    significant = F.length(F.regexp_replace(F.regexp_replace(v, r"[eE].*$|[-.]", ""), r"^0+|0+$", ""))
+    finite = F.abs(v.try_cast("double")) < F.lit(float("inf"))
+    day = v.rlike(_DAY) & v.try_cast("date").isNotNull()
+    bit = lambda test, name: F.when(test, LATTICE[name]).otherwise(0)
+    found = [bit(whole & v.try_cast("bigint").isNotNull(), "bigint"), bit(v.isin(*_TRUTH), "boolean"),
+             bit((whole | plain | v.rlike(_EXPONENT)) & (significant <= DOUBLE_DIGITS) & finite, "double"),
+             bit((whole | plain) & ~v.rlike(r"^-0[.0]*$"), "decimal"), bit(day, "date"),
+             bit(day | (v.rlike(_TIME) & v.try_cast("timestamp_ntz").isNotNull()), "timestamp_ntz")]
+    return F.when(v.isNotNull(), reduce(lambda a, b: a.bitwiseOR(b), found))
+
+
 def infer_types(df: DataFrame, na_tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
-    """String columns to bigint or double where every value but the NA tokens is one, the tokens
-    to null; one aggregation pass over all rows decides."""
+    """String columns to the narrowest type of ``LATTICE`` that every value but the NA tokens has,
+    the tokens to null; columns without such a type, or without values, stay text.
+
+    Nothing is lost: ``1D``, ``2F``, ``007`` and ``+5`` are no numbers, whole numbers beyond 64
+    bits and fractions beyond 15 digits become decimals.  One aggregation pass over all rows
+    decides: the types of a column are the bits that all its values share."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    value = {c: F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")) for c in text}
     if not text:
         return df
-    fits = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(text)],
-                  *[F.count(value[c].try_cast(t)).alias(f"{t}{i}") for i, c in enumerate(text) for t in ("bigint", "double")]).first()
+    value = {c: F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")) for c in text}
+    digits = lambda v: F.length(F.regexp_replace(F.substring_index(v, ".", 1), "-", ""))
+    scale = lambda v: F.when(v.contains("."), F.length(F.substring_index(v, ".", -1))).otherwise(0)
+    found = df.agg(*[x for i, c in enumerate(text) for x in (
+        F.bit_and(_type_bits(value[c])).alias(f"bits{i}"), F.max(digits(value[c])).alias(f"digits{i}"), F.max(scale(value[c])).alias(f"scale{i}"))]).first()
 
     def kind(i: int) -> str:
-        if not fits[f"n{i}"]:
-            return "string"
-        return next((t for t in ("bigint", "double") if fits[f"{t}{i}"] == fits[f"n{i}"]), "string")
+        bits, size, point = found[f"bits{i}"] or 0, found[f"digits{i}"], found[f"scale{i}"]
+        for name, bit in LATTICE.items():
+            if bits & bit and (name != "decimal" or size + point <= DECIMAL_DIGITS):
+                return f"decimal({size + point},{point})" if name == "decimal" else name
+        return "string"
 
     return df.select(*[value[f.name].cast(kind(text.index(f.name))).alias(f.name) if f.name in value else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
-def _drop_leading_lines(n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # A file's first split (block start 0) holds its first lines, in arrival order;
-        # positions are counted per file across the batches of this task (vectorised).
-        seen: dict[str, int] = {}
-        for pdf in batches:
-            first = pdf["start"] == 0
-            fp = pdf.loc[first, "fp"]
-            pos = fp.groupby(fp, sort=False).cumcount() + fp.map(seen).fillna(0).astype("int64")
-            keep = ~first
-            keep.loc[first] = pos >= n
-            for f, c in fp.value_counts(sort=False).items():
-                seen[f] = seen.get(f, 0) + int(c)
-            yield pdf.loc[keep, ["value"]]
-    return run
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file, start, id``: text lines, where their split begins, and a number that rises by
+    one from line to line of a split."""
+    return _files(spark).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """Per split of a file: the number of its first line (``first``), how many lines it has (``n``)
+    and how many lie before it in the file (``before``).  One row per split reaches the shuffle."""
+    per = lines.groupBy("file", "start").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    return per.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
+def _line_number() -> Column:
+    """1-based line number of a line joined with its split.  Both passes over the files must deal
+    them out alike; if the number of cores changed in between, the ids don't fit and it fails."""
+    offset = F.col("id") - F.col("first")
+    moved = F.raise_error(F.lit("files were dealt out differently in two passes; set spark.sql.files.minPartitionNum")).cast("bigint")
+    return F.when((offset >= 0) & (offset < F.col("n")), F.col("before") + offset + 1).otherwise(moved)
+
+
+def _kept_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The lines of every file but its first ``n``, with ``file``, ``start`` and ``id``.  What is
+    broadcast has a row for each file (more where ``n`` lines are more than a split), like the
+    listing that the driver holds anyway."""
+    lines = _lines(spark, path)
+    if not n:
+        return lines
+    heads = F.broadcast(_splits(lines).where(F.col("before") < n))
+    joined = lines.join(heads, ["file", "start"], "left")
+    return joined.where(F.col("first").isNull() | (_line_number() > n)).select("value", "file", "start", "id")
 
 
 def read_skip_lines(
@@ -137,19 +188,64 @@ def read_skip_lines(
 ) -> DataFrame:
     """General form of SRC-1: drop the first ``n`` lines of every file, parse the rest.
 
-    Works for preambles without a comment marker.  Lines are dropped per partition in
-    arrival order (the first split of a file starts at byte 0); parsing is ``from_csv``.
-    """
-    lines = _files(spark).text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("fp"),
-        F.col("_metadata.file_block_start").alias("start"),
-    )
-    kept = lines.mapInPandas(_drop_leading_lines(n), "value string")
+    Works for preambles without a comment marker, also where they are longer than a split of a
+    file.  Line numbers come from the order of lines within splits; parsing is ``from_csv``."""
+    kept = _kept_lines(spark, path, n)
     parsed = kept.select(F.from_csv("value", ddl(schema), {"sep": sep, "nullValue": NO_TEXT}).alias("r"))
     return parsed.select("r.*")
 
 
+# --- quarantine of malformed rows -----------------------------------------------------------
+
+RESCUED = "_rescued"
+
+
+def _fault(value: Column, row: Column, schema: T.StructType, sep: str) -> Column:
+    """Why a line is no row of ``schema``, null if it is one.  Doubled quotes go first, then quoted
+    fields; what is left shows the number of fields, and a quote at the start of one is stray."""
+    mark = re.escape(sep)
+    bare = F.regexp_replace(F.replace(value, F.lit('""'), F.lit("")), f'(^|{mark})"[^"]*+"(?={mark}|$)', "$1")
+    fields = F.size(F.split(bare, mark, -1))
+    stray = bare.rlike(f'(^|{mark})"') | value.rlike(f'(^|{mark})""[^"{mark}]')
+    n = len(schema.fields)
+    typed = [F.when(cell.isNotNull() & read_as(cell, f.dataType).isNull(), f"no {f.dataType.simpleString()} in {f.name}")
+             for f in schema.fields if not isinstance(f.dataType, T.StringType) for cell in (row[f.name],)]
+    return F.coalesce(F.when(stray, "bad quotes"), F.when(fields < n, "too few fields"), F.when(fields > n, "too many fields"), *typed, F.lit(None).cast("string"))
+
+
+def read_rescued(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", skip: int = 0,
+                 na_tokens: tuple[str, ...] = ("",)) -> DataFrame:
+    """Delimited lines without silent nulls: a line with too few or too many fields, badly placed
+    quotes or a value of another type has nulls in all columns of ``schema`` and ``_rescued``
+    (``file, start, id, text, fault``), which is null for good rows.  ``skip`` leading lines of
+    every file are dropped; cells equal to one of ``na_tokens`` are null.  Quotes within a quoted
+    field are doubled."""
+    kept = _kept_lines(spark, path, skip)
+    row = F.from_csv("value", ddl(string_schema(schema.names)), {"sep": sep, "escape": "\"", "nullValue": NO_TEXT})
+    parsed = kept.select("*", row.alias("__row"))
+    cells = F.struct(*[F.when(~F.col("__row")[f.name].isin(*na_tokens), F.col("__row")[f.name]).alias(f.name) for f in schema.fields])
+    parsed = parsed.withColumn("__row", cells)
+    parsed = parsed.withColumn("__fault", _fault(F.col("value"), F.col("__row"), schema, sep))
+    good = F.col("__fault").isNull()
+    return parsed.select(*[F.when(good, read_as(F.col("__row")[f.name], f.dataType)).alias(f.name) for f in schema.fields],
+                         F.when(~good, F.struct("file", "start", "id", F.col("value").alias("text"), F.col("__fault").alias("fault"))).alias(RESCUED))
+
+
+def good_rows(df: DataFrame, count_into: Observation | None = None) -> DataFrame:
+    """Rows without a fault.  With ``count_into``, whatever consumes the result also counts
+    ``n_read`` and ``n_bad`` there."""
+    if count_into is not None:
+        df = df.observe(count_into, F.count(F.lit(1)).alias("n_read"), F.count(RESCUED).alias("n_bad"))
+    return df.where(F.col(RESCUED).isNull()).drop(RESCUED)
+
+
+def quarantined(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """``file, line, text, fault`` of the rows that ``read_rescued`` set aside; ``line`` is the
+    number in the file.  Only these rows meet the table of splits."""
+    bad = df.where(F.col(RESCUED).isNotNull()).select(f"{RESCUED}.*")
+    return bad.join(_splits(_lines(spark, path)), ["file", "start"]).select("file", _line_number().alias("line"), "text", "fault")
+
+
 # --- SRC-2 / SRC-5: plain delimited --------------------------------------------------------
 
 def read_delimited(
@@ -233,7 +329,6 @@ def chunk_completeness(spark: SparkSession, directory: str, pattern: str) -> Dat
     before (millions of files at most).
     """
     nos = chunk_numbers(spark, directory, pattern)
-    from pyspark.sql import Window
     ranked = nos.withColumn("pos", F.row_number().over(Window.orderBy("no")))
     return ranked.agg(
         F.count_if(F.col("no") == F.col("pos")).cast("bigint").alias("n_contiguous"),

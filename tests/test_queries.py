@@ -66,6 +66,16 @@ def test_plans_stay_jvm_side(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+#: Every operator of a physical plan that runs Python on the executors.
+PYTHON_NODES = ["PythonUDF", "PythonUDTF", "EvalPython", "MapInPandas", "MapInArrow", "GroupsInPandas", "GroupsInArrow", "CoGroup", "AggregateInPandas", "WindowInPandas", "FlatMapGroups", "PythonMapIn"]
+
+
+@pytest.mark.parametrize("name", ["src_preamble_tsv", "src_preamble_typed", "src_typed_identifiers", "src_quarantine", "qlt_cast_violations"])
+def test_readers_run_no_python(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in PYTHON_NODES if n in plan]
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
