@@ -2,8 +2,10 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,13 +56,12 @@ def test_against_one_dictionary(spark, least, top):
     assert collocations.collocations(df.where("false")).count() == 0
 
 
-def spilled(rows, size, monkeypatch, **limits):
-    """The counts of a task with small limits, from its runs."""
-    for name, value in limits.items():
-        monkeypatch.setattr(collocations, name, value)
-    c, total, parts, runs = collocations.Counter("en"), Counter(), {}, 0
+def spilled(rows, size, pairs=None):
+    """The counts of a task, from its runs."""
+    c, total, parts, runs = collocations.Counter("en", pairs), Counter(), {}, 0
+
     def take(found):
-        for part, run in found:
+        for part, run in zip(found[0].tolist(), found[1].to_pylist()):
             entries = [tuple(e.rsplit(b"\t", 1)) for e in run.split(b"\n")]
             words = [e[0].split(b" ") for e in entries]
             assert words == sorted(words)
@@ -70,19 +71,40 @@ def spilled(rows, size, monkeypatch, **limits):
     text = collocations._BREAK.join((t or "").encode() for _, t in rows).translate(collocations._TABLE) + collocations._BREAK
     for words in collocations.chunks(text, size):
         c.read(words)
-        while c.trie.entries > collocations.MOST_ENTRIES:
+        while c.trie.size > collocations.MOST_ENTRIES:
             runs += 1
-            take(c.runs(c.trie.entries // 2, 7))
-    take(c.runs(0, 7))
+            take(c.spill(c.trie.size // 2, 7))
+        assert c.trie.size == sum(len(k) for k, _ in c.trie.subtree())
+    if c.trie.size:
+        take(c.spill(0, 7))
     return total, c.total, runs
 
 
 @pytest.mark.parametrize("size", [1, 7, 100, 10**6])
 def test_bursts_spills_and_chunks(monkeypatch, size):
+    for name, value in (("BURST", 8), ("SHARE", 2), ("MOST_ENTRIES", 100), ("RUN_ENTRIES", 5)):
+        monkeypatch.setattr(collocations, name, value)
     rows = texts(size, 120, 30)
     want = Counter(" ".join(p).encode() for _, t in rows for p in phrases(t))
-    got, total, runs = spilled(rows, size, monkeypatch, BURST=8, MOST_ENTRIES=200, RUN_ENTRIES=5)
-    assert got == want and total == sum(n for p, n in want.items() if b" " not in p) and (runs > 3 or size > 1000)
+    got, total, runs = spilled(rows, size)
+    assert got == {p: n for p, n in want.items() if p.count(b" ") < 2}
+    assert total == sum(n for p, n in want.items() if b" " not in p) and (runs > 3 or size > 1000)
+    full = np.full(collocations.MAP_BITS // 8, 255, np.uint8)
+    assert spilled(rows, size, full)[0] == {p: n for p, n in want.items() if p.count(b" ") == 2}
+    assert not spilled(rows, size, np.zeros_like(full))[0]
+
+
+def test_map_of_pairs_is_the_same_in_spark_and_numpy(spark):
+    pairs = [("en", "a b"), ("en", "b a"), ("de", "Straße 漢字"), ("", "x \u00ff")] + [("fr", f"w{k} v{k * 7}") for k in range(500)]
+    bits = collocations.pair_map(spark.createDataFrame(pairs, "lang string, phrase string"))
+    want = set()
+    for lang, p in pairs:
+        a, b = (zlib.crc32(w.encode()) for w in p.split(" "))
+        want |= set(collocations.pair_bits(a, b, zlib.crc32(lang.encode())))
+    assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == want and len(bits) * 8 == collocations.MAP_BITS
+    c = collocations.Counter("en", bits)
+    c.read([b"a", b"b", b"a", b"b", b"c"])
+    assert {k.decode(): 1 for r in c.spill(0, 1)[1].to_pylist() for k in [e.split(b"\t")[0] for e in r.split(b"\n")]} == {"a b a": 1, "b a b": 1}
 
 
 def test_long_text_in_one_row(spark):
