@@ -63,6 +63,32 @@ def slices(batches: Iterator, rows: int = 256) -> Iterator:
             yield batch.slice(at, rows)
 
 
+#: Bits of a map of keys, and comparisons that a task gets.
+MAP_BITS, COMPARISONS = 1 << 26, 20_000_000
+
+
+def key_map(keys: DataFrame, key: Column) -> DataFrame:
+    """``bucket, bits``: a bitmap of the 64-bit values ``key``, or-ed together in Spark and stored: at
+    most 2,048 rows of 4 KB, whatever the number of keys, so it can be broadcast."""
+    bit = F.pmod(key, F.lit(MAP_BITS)) + 1  # the functions number bits from 1
+    return stored(keys.groupBy(F.bitmap_bucket_number(bit).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bits")), "keymap")
+
+
+def in_map(rows: DataFrame, key: Column, bitmap: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the column ``name``: false where ``key`` is surely not among the keys of the map
+    (a few other rows have true, too).  No shuffle."""
+    bit = F.pmod(key, F.lit(MAP_BITS)) + 1
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.expr("1").cast("int") == F.getbit(byte.cast("long"), F.pmod(at, F.lit(8)).cast("int")).cast("int")
+    return rows.withColumn("__bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(bitmap), "__bucket", "left").withColumn(name, F.coalesce(held, F.lit(False))).drop("__bucket", "__bits")
+
+
+def tasks_for(spark: SparkSession, comparisons: int | None) -> int:
+    """How many tasks to deal ``comparisons`` out to."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, -(-(comparisons or 0) // COMPARISONS)))
+
+
 def raw_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a column of strings, one after the other, and the limits of each row
     in them; a null counts as empty.  Nothing is copied where the column is one buffer."""

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from releasekit.llm.base import query, stored, table
+from releasekit.llm.base import query, stored, table, tasks_for
 from releasekit.llm.components import components
 from releasekit.llm.minhash import forest, row_groups
 from releasekit.llm.shingles import mix
@@ -47,8 +47,8 @@ CODES = {2: 24, 3: 72, 4: 144}
 WIDEST, MOST_WORDS, LEAST_DIMS = 1e-4, 16_384, 32
 #: Products held at a time while decoding.
 PRODUCTS = 4_000_000
-#: Classes in a block of a filter, and comparisons that a task gets.
-BLOCK, COMPARISONS = 2048, 20_000_000
+#: Classes in a block of a filter.
+BLOCK = 2048
 
 
 def cap_shares(alpha: float, dims: int, cosine: float) -> tuple[float, float]:
@@ -215,7 +215,6 @@ def compared(members: DataFrame, cosine: float, tasks: int) -> DataFrame:
 def found_links(classes: DataFrame, cosine: float) -> DataFrame:
     """``compared`` over all filters that two classes share; ``classes``: node, cell, label, dims,
     embedding, copies."""
-    spark = classes.sparkSession
     rows = classes.groupBy("cell").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     filters = filter_rows(classes, rows, cosine)
     shared = filters.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
@@ -227,8 +226,7 @@ def found_links(classes: DataFrame, cosine: float) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "filter", "node", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
     full = classes.join(lists, "node").select("node", "label", "dims", "embedding", "copies", "filters")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, math.ceil(work / COMPARISONS)))
-    return compared(spread.join(full, "node"), cosine, tasks)
+    return compared(spread.join(full, "node"), cosine, tasks_for(classes.sparkSession, work))
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:

@@ -7,9 +7,13 @@
    signatures, a block of them against a block, by counting bits; the collision-corrected
    estimate must come within a margin of the threshold.  A task emits only a spanning forest
    of its pairs, never the pairs, and no task gets more than two blocks of a band.
-3. The components of these estimated links are groups in which all true links lie.  Within a
-   group, full shingle sets are compared, again block against block, and the forests of the
-   confirmed links give the final components.
+3. The components of these estimated links are groups in which all true links lie.  The pairs of
+   the forests are confirmed on full sets first: about one set a class is moved.  Where that does
+   not connect a group, its parts are compared, block against block: all classes of the smaller
+   parts with all of the group.  The confirmed links give the final components.
+
+Texts are moved only for classes in groups: a bitmap of their keys, of fixed size, tells the
+others at the scan.
 
 A band misses a pair of similarity 0.80 with probability 0.74; the bands share minima, so all 48
 do with 0.9 in ten thousand.  With the estimate's margin a pair at 0.80 is missed with 1.4 in
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from releasekit.llm.base import query, slices, stored, table
+from releasekit.llm.base import in_map, key_map, query, slices, stored, table, tasks_for
 from releasekit.llm.components import components
 from releasekit.llm.shingles import shingle_hashes, word_hashes
 
@@ -85,8 +89,8 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal / MINIMA - chance) / (1 - chance)
 
 
-def forest(nodes: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of ``pairs`` (indexes into ``nodes``) as stars around the least node."""
+def tree(nodes: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs (indexes into ``nodes``) of a spanning forest, the first that connect, as nodes."""
     parent = list(range(len(nodes)))
 
     def root(i: int) -> int:
@@ -95,13 +99,31 @@ def forest(nodes: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
             i = parent[i]
         return i
 
+    out = []
     for i, j in pairs.tolist():
-        i, j = root(i), root(j)
-        if i != j:
-            low, high = (i, j) if nodes[i] <= nodes[j] else (j, i)
-            parent[high] = low
-    roots = [root(i) for i in range(len(nodes))]
-    return [(int(nodes[i]), int(nodes[r])) for i, r in enumerate(roots) if nodes[i] != nodes[r]]
+        a, b = root(i), root(j)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((int(nodes[i]), int(nodes[j])))
+    return out
+
+
+def forest(nodes: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of ``pairs`` (indexes into ``nodes``) as stars around the least node."""
+    least: dict[int, int] = {}
+    near: dict[int, list[int]] = {}
+    for u, v in tree(nodes, pairs):
+        near.setdefault(u, []).append(v)
+        near.setdefault(v, []).append(u)
+    for start in sorted(near):
+        if start not in least:
+            least[start], todo = start, [start]
+            while todo:
+                for v in near[todo.pop()]:
+                    if v not in least:
+                        least[v] = start
+                        todo.append(v)
+    return [(u, r) for u, r in least.items() if u != r]
 
 
 def profiles(documents: DataFrame, words: int) -> DataFrame:
@@ -157,7 +179,8 @@ def _block_pairs(members: DataFrame, blocks: str, node: str) -> DataFrame:
 
 
 def estimated_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """``u, v``: forests of the links by estimate, per band and pair of blocks."""
+    """``u, v``: pairs of the links by estimate that span a forest, per band and pair of blocks.  Blocks
+    are in the order of nodes, so the bands of a group mostly give the same pairs."""
     def keys(batches):
         import pyarrow as pa
 
@@ -170,7 +193,8 @@ def estimated_links(classes: DataFrame, threshold: float) -> DataFrame:
 
     rows = classes.select("node", "bands").mapInArrow(keys, "node long, band int, key long")
     shared = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    members = rows.join(shared, ["band", "key"]).withColumn("blocks", F.ceil(F.col("n") / BAND_BLOCK).cast("long"))
+    members = stored(rows.join(shared, ["band", "key"]).withColumn("blocks", F.ceil(F.col("n") / BAND_BLOCK).cast("long")), "bands")
+    work = members.groupBy().agg(F.sum("n")).first()[0]
     spread = _block_pairs(members.select("band", "key", "node", "blocks"), "blocks", "node")
     signed = spread.join(classes.select("node", "signature", "n_shingles"), "node")
     key = ["band", "key", "lo", "hi"]
@@ -188,11 +212,17 @@ def estimated_links(classes: DataFrame, threshold: float) -> DataFrame:
             near = estimates(signatures[a], signatures[b]) >= threshold - MARGIN
             near &= np.minimum(sizes[a, None], sizes[None, b]) >= (threshold - 1e-9) * np.maximum(sizes[a, None], sizes[None, b])
             i, j = np.nonzero(np.triu(near, 1) if lo == hi else near)
-            links = forest(nodes, np.column_stack([a[i], b[j]]))
+            links = tree(nodes, np.column_stack([a[i], b[j]]))
             if links:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
+                yield _links(links)
+
+    return signed.repartition(tasks_for(classes.sparkSession, work), *key).sortWithinPartitions(*key, "node").mapInArrow(run, "u long, v long")
+
+
+def _links(links: list[tuple[int, int]]):
+    import pyarrow as pa
 
-    return signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
+    return pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], names=["u", "v"])
 
 
 def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -221,13 +251,13 @@ def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
-    """``u, v``: forests of links confirmed on full sets, per group and pair of blocks.
-    ``groups``: node, id and text_hash of a row that has the set with this digest, digest,
-    n_shingles, component."""
-    sizes = groups.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("long").alias("blocks"))
-    wanted = groups.join(sizes, "component")
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted.hint("merge"), ["id", "text_hash"])
+def shingle_sets(documents: DataFrame, groups: DataFrame, words: int) -> DataFrame:
+    """``node, shingles`` of the classes in ``groups`` (node, id and text_hash of a row that has the
+    set with this digest, digest).  Of the texts, those whose key is in no group stay where they
+    are."""
+    keyed = documents.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    wanted = groups.select("node", "id", "text_hash", "digest")
+    some = in_map(keyed, F.xxhash64("id", "text_hash"), key_map(wanted, F.xxhash64("id", "text_hash")), "wanted").where("wanted").drop("wanted")
 
     def sets(batches):
         import pyarrow as pa
@@ -238,32 +268,88 @@ def confirmed_links(documents: DataFrame, groups: DataFrame, words: int, percent
                 s = np.unique(shingle_hashes(word_hashes(text), words)).tobytes()
                 keep.append(hashlib.blake2b(s, digest_size=16).digest() == digest)
                 values.append(s)
-            out = pa.RecordBatch.from_arrays([batch.column("component"), batch.column("node"), batch.column("blocks"), pa.array(values, pa.binary())],
-                                             names=["component", "node", "blocks", "shingles"])
-            yield out.filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(values, pa.binary())], names=["node", "shingles"]).filter(pa.array(keep))
+
+    found = some.join(wanted.hint("merge"), ["id", "text_hash"]).select("node", "text", "digest").mapInArrow(sets, "node long, shingles binary")
+    return found.dropDuplicates(["node"])
 
-    members = texts.select("component", "node", "blocks", "text", "digest").mapInArrow(sets, "component long, node long, blocks long, shingles binary")
-    key = ["component", "lo", "hi"]
+
+def confirmed_pairs(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``u, v``) that are linked on full sets.  The set of ``v`` goes to its pair, that
+    of ``u`` once to each block of its pairs."""
+    dealt = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / GROUP_BLOCK).cast("long"))
+    keyed = pairs.join(pairs.groupBy("u").agg(F.count("*").alias("n")), "u").withColumn("block", dealt).select("u", "block", "v")
+    hubs = keyed.select("u", "block").distinct().withColumn("v", F.lit(None).cast("long"))
+    rows = hubs.join(sets.withColumnRenamed("node", "u"), "u").unionByName(keyed.join(sets.withColumnRenamed("node", "v"), "v"))
 
     def run(batches):
-        import pyarrow as pa
+        hub, of = None, None
+        for batch in slices(batches):
+            links = []
+            for u, block, v, s in zip(*(batch.column(c).to_pylist() for c in ("u", "block", "v", "shingles")), strict=True):
+                x = np.frombuffer(s, np.uint64)
+                if v is None:
+                    hub, of = x, (u, block)
+                    continue
+                assert of == (u, block)
+                both = len(np.intersect1d(hub, x, assume_unique=True))
+                if 100 * both >= percent * (len(hub) + len(x) - both):
+                    links.append((u, v))
+            if links:
+                yield _links(links)
+
+    dealt_rows = rows.select("u", "block", "v", "shingles").repartition("u", "block").sortWithinPartitions("u", "block", F.asc_nulls_first("v"))
+    return dealt_rows.mapInArrow(run, "u long, v long")
+
+
+def cross_links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: forests of the links between the parts of a group.  ``members``: node, component,
+    part, n_shingles, of groups of several parts.  The largest part of a group needs no comparison
+    with itself: its blocks meet those of the other parts, and these meet each other."""
+    weight = F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("long")
+    sizes = members.groupBy("component", "part").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("component").agg(F.max(F.struct("n", "part")).alias("m")).select("component", F.col("m.part").alias("main"))
+    sided = stored(members.join(main, "component").withColumn("inner", F.col("part") == F.col("main")).select("component", "node", "part", "inner", "n_shingles"), "sides")
+    blocks = sided.groupBy("component", "inner").agg(weight.alias("w")).groupBy("component").agg(
+        F.max(F.when(F.col("inner"), F.col("w"))).alias("mains"), F.max(F.when(~F.col("inner"), F.col("w"))).alias("others"))
+    placed = sided.join(blocks, "component").withColumn("own", F.when(F.col("inner"), F.col("others") + F.pmod(F.xxhash64("node", F.lit(11)), F.col("mains"))).otherwise(F.pmod(F.xxhash64("node", F.lit(11)), F.col("others"))))
+    meets = F.when(F.col("inner"), F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("others") + F.col("mains") - 1))
+    spread = placed.withColumn("other", F.explode(meets)).select("component", "node", "part", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    key = ["component", "lo", "hi"]
 
+    def run(batches):
         for group in row_groups(batches, key):
-            nodes, own = group["node"].to_numpy(), group["own"].to_numpy()
+            nodes, own, part = group["node"].to_numpy(), group["own"].to_numpy(), group["part"].to_numpy()
             found = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
             lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
             a = np.flatnonzero(own == lo)
             b = a if lo == hi else np.flatnonzero(own == hi)
             both = common_counts([found[k] for k in a], [found[k] for k in b]).astype(np.int64)
             n = np.array([len(x) for x in found], np.int64)
-            near = 100 * both >= percent * (n[a, None] + n[None, b] - both)
+            near = (100 * both >= percent * (n[a, None] + n[None, b] - both)) & (part[a, None] != part[None, b])
             i, j = np.nonzero(np.triu(near, 1) if lo == hi else near)
-            links = forest(nodes, np.column_stack([a[i], b[j]]))
+            links = tree(nodes, np.column_stack([a[i], b[j]]))
             if links:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
+                yield _links(links)
+
+    work = blocks.agg(F.sum(F.col("others") * (F.col("others") + F.col("mains")))).first()[0] or 0
+    tasks = tasks_for(members.sparkSession, work * GROUP_BLOCK * GROUP_BLOCK)
+    return spread.join(sets, "node").select("component", "lo", "hi", "own", "node", "part", "shingles").repartition(tasks, *key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
+
 
-    spread = _block_pairs(members, "blocks", "node").select("component", "lo", "hi", "own", "node", "shingles")
-    return spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
+def confirmed_links(documents: DataFrame, groups: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``u, v``: links confirmed on full sets that connect what all links connect.  ``groups``: node, id,
+    text_hash, digest, n_shingles, component; ``pairs``: the estimated links that span them."""
+    sets = stored(shingle_sets(documents, groups, words), "sets")
+    sure = stored(confirmed_pairs(sets, pairs, percent), "sure")
+    parts = components(sure)
+    named = groups.select("node", "component", "n_shingles").join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    named = stored(named, "parts")
+    several = named.groupBy("component").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("component")
+    left = stored(named.join(several, "component", "left_semi"), "several")
+    if left.isEmpty():
+        return sure
+    return sure.unionByName(stored(cross_links(sets, left, percent), "cross"))
 
 
 def judged_rows(documents: DataFrame, words: int, percent: int) -> DataFrame:
@@ -276,9 +362,9 @@ def judged_rows(documents: DataFrame, words: int, percent: int) -> DataFrame:
     # the number is fixed by storing it
     classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), F.col("row.doc_id").alias("id"), F.col("row.text_hash").alias("text_hash"),
                                     "digest", "n_shingles", "bands", "signature"), "classes")
-    groups = components(estimated_links(classes, percent / 100))
-    grouped = stored(classes.select("node", "id", "text_hash", "digest", "n_shingles").join(groups, "node"), "groups")
-    found = components(confirmed_links(documents, grouped, words, percent))
+    pairs = stored(estimated_links(classes, percent / 100).distinct(), "pairs")
+    grouped = stored(classes.select("node", "id", "text_hash", "digest", "n_shingles").join(components(pairs), "node"), "groups")
+    found = components(confirmed_links(documents, grouped, pairs, words, percent))
     linked = stored(classes.select("node", "digest", "id", "text_hash").join(found, "node"), "linked")
     least = stored(linked.groupBy("component").agg(F.min(F.struct(F.col("id").alias("doc_id"), "text_hash")).alias("least")), "least")
     named = linked.join(least, "component").select("node", "least")
@@ -306,11 +392,17 @@ def drop_near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80
     judged = stored(judged_rows(documents, words, percent).where("doc_id IS NOT NULL"), "near")
     keys = ["doc_id", "text_hash"]
     own = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
-    named = [F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash")]
+    named = [F.col("doc_id").alias("__other_id"), F.col("text_hash").alias("__other_hash")]
     others = stored(judged.where(~own).select(*named).distinct(), "others")
-    same = (documents["doc_id"] == F.col("other_id")) & (F.xxhash64(documents["text"]) == F.col("other_hash"))
-    left = documents.join(others, same, "left_anti")
+    keyed = documents.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(documents["text"]))
+    key = F.xxhash64("__id", "__hash")
     repeated = stored(judged.where(own).groupBy(*keys).count().where("count > 1").select(*named), "repeated")
-    if repeated.isEmpty():
-        return left
-    return left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    # only rows that may be among these are moved
+    gone = others.withColumn("__once", F.lit(False)).unionByName(repeated.withColumn("__once", F.lit(True)))
+    marked = in_map(keyed, key, key_map(gone, F.xxhash64("__other_id", "__other_hash")), "__maybe")
+    stay = marked.where(~F.col("__maybe")).select(*documents.columns)
+    same = (F.col("__id") == F.col("__other_id")) & (F.col("__hash") == F.col("__other_hash"))
+    met = marked.where("__maybe").join(gone, same, "left").where("__once IS NULL OR __once")
+    left = met.where("__once IS NULL").select(*documents.columns)
+    once = met.where("__once").dropDuplicates(["__id", "__hash", "text"]).select(*documents.columns)
+    return stay.unionByName(left).unionByName(once)
