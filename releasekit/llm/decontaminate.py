@@ -33,7 +33,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from releasekit.llm.base import ascii_lower, let, query, stored, table
+from releasekit.llm.base import ascii_lower, in_map, key_map, let, query, stored, table
 
 WORDS, PERCENT = 5, 80
 BITS, BLOCKS, RADIUS = 64, 8, 23
@@ -96,7 +96,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, perc
     """``doc_id, text_hash, item_id, start`` (the window's first word), ``n_words, similarity`` of
     all windows and items of similarity ``percent`` or more."""
     entries = stored(benchmark_shingles(benchmark, words), "items")
-    small = entries.select("h").distinct().count() <= BROADCAST_SHINGLES
+    places = entries.select("h", "at", "m").distinct()
+    small = places.count() <= BROADCAST_SHINGLES  # the rows that are broadcast; the weights are fewer
     hint = F.broadcast if small else (lambda x: x)
     weights = entries.select("h", "w").distinct()
     top = entries.select("top").first()
@@ -106,7 +107,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, perc
     key = ["doc_id", "text_hash"]
     documents = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     placed = documents.select(*key, F.posexplode(shingles(words_of(F.col("text")), words)).alias("place", "h"))
-    hits = placed.join(hint(entries.select("h", "at", "m")), "h").select(*key, "m", (F.col("place") - F.col("at")).alias("start")).distinct()
+    hits = placed.join(hint(places), "h").select(*key, "m", (F.col("place") - F.col("at")).alias("start")).distinct()
     wanted = stored(hits.groupBy(*key).agg(F.collect_list(F.struct("start", "m")).alias("wanted")), "windows")
     own = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("id_hash") == F.col("text_hash"))
     found = documents.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("id_hash"), "text").join(wanted, own).select(*key, "wanted", shingles(words_of(F.col("text")), words).alias("all"))
@@ -156,11 +157,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, words: int = WORDS,
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, each row judged by its own text; a row with a
-    null text has none, and goes where a text of its id (if it has one) goes."""
-    bad = stored(matches(documents, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "contaminated")
-    textless = bad.where("bad_id IS NOT NULL").select("bad_id", F.xxhash64(F.lit(None).cast("string")).alias("bad_hash"))
-    return documents.join(bad.unionByName(textless), documents["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(documents["text"]) == F.col("bad_hash")), "left_anti")
+    """The documents that hold no benchmark item, each row judged by its own text; a null text holds
+    none.  Only rows whose id and text may be among the others are moved."""
+    bad = stored(matches(documents, benchmark).select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct(), "contaminated")
+    key = lambda i, h: F.xxhash64(F.coalesce(F.col(i).cast("string"), F.lit("")), h)
+    keyed = documents.withColumn("__hash", F.xxhash64("text"))
+    marked = in_map(keyed, key("doc_id", "__hash"), key_map(bad, key("__bad_id", "__bad_hash")), "__maybe")
+    met = marked.where("__maybe").join(bad, F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (F.col("__hash") == F.col("__bad_hash")), "left_anti")
+    return marked.where("NOT __maybe").select(*documents.columns).unionByName(met.select(*documents.columns))
 
 
 _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
