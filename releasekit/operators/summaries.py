@@ -64,7 +64,7 @@ def count_of_counts(per_group: DataFrame, count_col: str = "n", name: str = "n_k
 def sorted_concat(df: DataFrame, keys: list[str], value: str, sep: str = ",", name: str = "terms",
                   max_values: int = 100_000) -> DataFrame:
     """AGG-10: sorted distinct values joined to one string per group.  For vocabularies: a group
-    with more than ``max_values`` distinct values is an error."""
+    with more than ``max_values`` distinct values is an error (``sorted_values`` has no bound)."""
     values = F.collect_set(F.col(value).cast("string"))
     few = F.when(F.size("__v") <= max_values, F.col("__v")).otherwise(
         F.raise_error(F.lit(f"more than {max_values} distinct values of {value} in a group")).cast("array<string>"))
@@ -72,11 +72,50 @@ def sorted_concat(df: DataFrame, keys: list[str], value: str, sep: str = ",", na
     return per.select(*keys, F.array_join(F.array_sort(few), sep).alias(name))
 
 
-def dependency_check(df: DataFrame, a: str, b: str, value: str) -> DataFrame:
-    """AGG-11: does the value set of (a, b) depend on a only?  Signature per (a, b),
-    distinct signatures per a, then their distribution.  One bucket ``1 -> #a`` proves it."""
-    sig = sorted_concat(df, [a, b], value, name="signature")
-    per_a = sig.groupBy(a).agg(F.count_distinct("signature").alias("n_signatures"))
+def sorted_values(df: DataFrame, keys: list[str], value: str, name: str = "position") -> DataFrame:
+    """AGG-10 without a bound: one row per distinct value of a group, with its 1-based position in the
+    group's order.  A range sort numbers all rows, and the least number of a group is taken off,
+    so no group is gathered, however large."""
+    from releasekit.operators.registry import with_position
+
+    rows = with_position(df.where(F.col(value).isNotNull()).select(*keys, value).distinct(), [*keys, value], "__at").checkpoint()
+    start = rows.groupBy(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]).agg(F.min("__at").alias("__start"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)])
+    return rows.join(start, same).select(*keys, (F.col("__at") - F.col("__start") + 1).alias(name), value)
+
+
+def set_fingerprints(df: DataFrame, keys: list[str], value: str, name: str = "fingerprint", seed: int = 0) -> DataFrame:
+    """AGG-11: an order-free signature of the distinct values of each group: their number and the sums
+    of two 64-bit hashes.  Sums are partial on every task, so a group's state has a fixed size;
+    the signature of a union of disjoint sets is the sum of theirs."""
+    v = F.col(value).cast("string")
+    rows = df.where(F.col(value).isNotNull()).select(*keys, v.alias("__v")).distinct()
+    total = lambda k: F.sum(F.xxhash64(F.lit(2 * seed + k), "__v").cast("decimal(20,0)"))
+    return rows.groupBy(*keys).agg(F.struct(F.count(F.lit(1)).alias("n"), total(0).alias("h0"), total(1).alias("h1")).alias(name))
+
+
+def _false_equals(df: DataFrame, a: str, b: str, value: str, marks: DataFrame) -> DataFrame:
+    """Values of ``a`` with two different sets of one fingerprint: equal sets hold each value as often
+    as there are sets."""
+    rows = df.where(F.col(value).isNotNull()).select(F.col(a).alias("__a"), F.col(b).alias("__b"), F.col(value).cast("string").alias("__v")).distinct()
+    marked = rows.join(marks, F.col("__a").eqNullSafe(F.col(a)) & F.col("__b").eqNullSafe(F.col(b)))
+    held = marked.groupBy("__a", "fingerprint", "__v").agg(F.count(F.lit(1)).alias("n"))
+    per = held.groupBy("__a", "fingerprint").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("values"))
+    return per.where("least <> most OR values <> fingerprint.n")
+
+
+def dependency_check(df: DataFrame, a: str, b: str, value: str, exact: bool = True) -> DataFrame:
+    """AGG-11: does the value set of (a, b) depend on a only?  Fingerprint per (a, b), distinct
+    fingerprints per a, then their distribution.  One bucket ``1 -> #a`` proves it.  No set is
+    gathered.  ``exact`` compares sets of one fingerprint value by value in a second pass, and
+    takes other hashes if two of them differ."""
+    for seed in range(4):
+        marks = set_fingerprints(df, [a, b], value, seed=seed).checkpoint()
+        if not exact or _false_equals(df, a, b, value, marks).isEmpty():
+            break
+    else:
+        raise ValueError(f"sets of {value} with equal fingerprints under four pairs of hashes")
+    per_a = marks.groupBy(a).agg(F.count_distinct("fingerprint").alias("n_signatures"))
     return per_a.groupBy("n_signatures").agg(F.count(F.lit(1)).alias("n_keys"))
 
 

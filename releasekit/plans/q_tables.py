@@ -274,6 +274,15 @@ def agg_sorted_concat(spark, sf):
     return A.sorted_concat(_sold_brands(spark, sf), ["nation", "supp"], "p_brand")
 
 
+@query("agg_sorted_values", """
+SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_partkey) AS position, l_partkey
+FROM (SELECT DISTINCT l_returnflag, l_partkey FROM lineitem)
+""")
+def agg_sorted_values(spark, sf):
+    """AGG-10 for groups of any size: sorted distinct values as rows, never as one string."""
+    return A.sorted_values(table(spark, sf, "lineitem"), ["l_returnflag"], "l_partkey")
+
+
 @query("agg_dependency_check", f"""
 WITH sig AS ({SQL_SOLD_BRANDS})
 SELECT n_signatures, count(*) AS n_keys FROM (

@@ -236,3 +236,37 @@ def test_approx_distinct_opt_in(spark):
     e2 = dict(A.distinct_combinations(li, ["l_returnflag"], ["l_partkey", "l_suppkey"]).collect())
     a2 = dict(A.distinct_combinations(li, ["l_returnflag"], ["l_partkey", "l_suppkey"], approx=0.02).collect())
     assert all(abs(a2[k] - e2[k]) <= 0.08 * e2[k] for k in e2)
+
+
+def test_fingerprints_tell_sets_apart_without_gathering(spark, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["x", "y", None]), rng.randint(0, 9), rng.choice([None, *map(str, range(3))])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a string, b int, v string")
+    sets = {}
+    for a, b, v in rows:
+        if v is not None:
+            sets.setdefault((a, b), set()).add(v)
+    per = {}
+    for (a, _), v in sets.items():
+        per.setdefault(a, set()).add(frozenset(v))
+    want = {}
+    for found in per.values():
+        want[len(found)] = want.get(len(found), 0) + 1
+    assert {r["n_signatures"]: r["n_keys"] for r in A.dependency_check(df, "a", "b", "v").collect()} == want
+    # hashes that tell nothing: the second pass sees it
+    plain = A.set_fingerprints
+    weak = lambda df, keys, value, seed=0: plain(df, keys, value, seed=seed).withColumn("fingerprint", F.struct("fingerprint.n", F.lit(0).alias("h0"), F.lit(0).alias("h1")))
+    monkeypatch.setattr(A, "set_fingerprints", lambda df, keys, value, seed=0: (weak if seed < 2 else plain)(df, keys, value, seed=seed))
+    two = spark.createDataFrame([("x", 1, "p"), ("x", 2, "q")], "a string, b int, v string")
+    assert [tuple(r) for r in A.dependency_check(two, "a", "b", "v").collect()] == [(2, 1)]
+    assert [tuple(r) for r in A.dependency_check(two, "a", "b", "v", exact=False).collect()] == [(1, 1)]
+
+
+def test_sorted_values_have_no_bound(spark):
+    df = spark.createDataFrame([("x", 3), ("x", 1), ("x", 3), (None, 2), (None, None), ("y", None), ("z", -1), (None, 0)], "k string, v int")
+    assert sorted(map(tuple, A.sorted_values(df, ["k"], "v").collect()), key=str) == sorted([("x", 1, 1), ("x", 2, 3), (None, 1, 0), (None, 2, 2), ("z", 1, -1)], key=str)
+    big = spark.range(300_000).selectExpr("id % 2 AS k", "id * 7 % 300007 AS v")
+    got = A.sorted_values(big, ["k"], "v").groupBy("k").agg(F.max("position"), F.count("*")).collect()
+    assert sorted(map(tuple, got)) == [(0, 150_000, 150_000), (1, 150_000, 150_000)]
