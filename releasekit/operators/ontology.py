@@ -52,6 +52,42 @@ def descendants(edges: DataFrame, parent: str = "parent", child: str = "child",
     return known.select(F.col("a").alias("ancestor"), F.col("d").alias("descendant"), "depth")
 
 
+def extend_closure(closure: DataFrame, added: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
+    """The closure (``ancestor, descendant, depth``) after more edges, without computing it anew.
+
+    A new pair leads up to the parent of a new edge, over new edges with known pairs between
+    them, and down from the child of the last one.  So the new edges are chained first, over
+    the known pairs between them, as often as that shortens a way; then what lies above the
+    first is paired with what lies below the last.  The work is that of the pairs that change,
+    and one pass that takes the shorter depth of old and new."""
+    spark = closure.sparkSession
+    ensure_checkpoint_dir(spark)
+    edge = added.select(F.col(parent).alias("t"), F.col(child).alias("h")).where("t IS NOT NULL AND h IS NOT NULL AND t <> h").distinct().checkpoint()
+    ends = edge.select(F.col("t").alias("x")).unionByName(edge.select(F.col("h").alias("x"))).distinct().checkpoint()
+    here = ends.select(F.col("x").alias("ancestor"), F.col("x").alias("descendant"), F.lit(0).alias("depth"))
+    # known ways from the child of a new edge to the parent of another
+    between = (closure.join(edge.select(F.col("h").alias("ancestor")).distinct(), "ancestor", "left_semi")
+               .join(edge.select(F.col("t").alias("descendant")).distinct(), "descendant", "left_semi").select("ancestor", "descendant", "depth").unionByName(here))
+    link = between.join(edge.withColumnRenamed("t", "descendant"), "descendant").groupBy(F.col("ancestor").alias("h"), F.col("h").alias("to")).agg(
+        (F.min("depth") + 1).alias("more")).checkpoint()
+    ways = edge.withColumn("depth", F.lit(1)).checkpoint()
+    frontier = ways
+    while True:
+        longer = frontier.join(link, "h").groupBy("t", F.col("to").alias("h")).agg(F.min(F.col("depth") + F.col("more")).alias("depth"))
+        better = longer.join(ways.withColumnRenamed("depth", "known"), ["t", "h"], "left").where("known IS NULL OR depth < known").drop("known").checkpoint()
+        if better.isEmpty():
+            break
+        ways = ways.unionByName(better).groupBy("t", "h").agg(F.min("depth").alias("depth")).checkpoint()
+        frontier = better
+    around = closure.select("ancestor", "descendant", "depth").unionByName(here)
+    up = around.select(F.col("ancestor").alias("a"), F.col("descendant").alias("t"), F.col("depth").alias("above"))
+    down = around.select(F.col("ancestor").alias("h"), F.col("descendant").alias("d"), F.col("depth").alias("below"))
+    # the shortest way from each node above to each last child, before what lies below is added
+    reach = up.join(ways, "t").groupBy("a", "h").agg(F.min(F.col("above") + F.col("depth")).alias("depth"))
+    fresh = reach.join(down, "h").where("a <> d").select(F.col("a").alias("ancestor"), F.col("d").alias("descendant"), (F.col("depth") + F.col("below")).alias("depth"))
+    return closure.select("ancestor", "descendant", "depth").unionByName(fresh).groupBy("ancestor", "descendant").agg(F.min("depth").alias("depth"))
+
+
 def ancestors(edges: DataFrame, terms: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
     """(ancestor, descendant, depth) for the given terms (one column) as descendants only: the
     search goes up from them, so terms that no evidence names cost nothing."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from releasekit.functions import columns as C
 from releasekit.functions.schema import to_flat
+from releasekit.operators import compare as CMP
 from releasekit.operators import quality as Q
 from releasekit.operators import registry as R
 from releasekit.operators.ingest import import_release
@@ -502,6 +503,31 @@ def ingest_publish_read(spark, sf):
     return R.read_release(spark, reg, "suppliers", "supplier", "latest")
 
 
+DIFF_RANGES = 64
+
+
+@query("cmp_release_diff", """
+WITH w AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 64 AS top FROM orders),
+o AS (SELECT o_orderkey FROM orders, w WHERE o_orderkey < top)
+SELECT o_orderkey, 'removed' AS change FROM o WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, 'changed' FROM o WHERE o_orderkey % 3 = 1
+UNION ALL SELECT -o_orderkey, 'added' FROM o WHERE o_orderkey % 3 = 2
+""")
+def cmp_release_diff(spark, sf):
+    """CMP-3/4 by row: two published releases whose rows differ in one part of the keys; only the key
+    ranges whose stored digests differ are read."""
+    old = table(spark, sf, "orders")
+    low, high = old.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    here, third = F.col("o_orderkey") < low + (high - low) // DIFF_RANGES, F.col("o_orderkey") % 3
+    kept = old.where(~(here & (third == 0))).withColumn("o_totalprice", F.when(here & (third == 1), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    new = kept.unionByName(old.where(here & (third == 2)).withColumn("o_orderkey", -F.col("o_orderkey")))
+    root = scratch_path(spark, "diff")
+    cuts = CMP.key_ranges(old, "o_orderkey", DIFF_RANGES)
+    CMP.write_digested(old, f"{root}/old", "o_orderkey", *cuts)
+    CMP.write_digested(new, f"{root}/new", "o_orderkey", *cuts)
+    return CMP.release_diff(spark, f"{root}/old", f"{root}/new", "o_orderkey")
+
+
 @query("scl_release_from_filename", """
 SELECT strftime(o_orderdate, '%Y-%m') AS release, count(*) AS n FROM orders GROUP BY 1
 """)

@@ -270,3 +270,45 @@ def test_sorted_values_have_no_bound(spark):
     big = spark.range(300_000).selectExpr("id % 2 AS k", "id * 7 % 300007 AS v")
     got = A.sorted_values(big, ["k"], "v").groupBy("k").agg(F.max("position"), F.count("*")).collect()
     assert sorted(map(tuple, got)) == [(0, 150_000, 150_000), (1, 150_000, 150_000)]
+
+
+def test_closure_extended_by_edges_equals_a_new_one(spark):
+    import random
+
+    for seed in range(4):
+        rng = random.Random(seed)
+        pairs = list({(f"n{rng.randint(0, 11)}", f"n{rng.randint(0, 11)}") for _ in range(20)})
+        cut = rng.randint(0, len(pairs) - 4)
+        frame = lambda p: spark.createDataFrame(p, "parent string, child string")
+        old, added = frame(pairs[:cut]), frame(pairs[cut:] + pairs[:2])
+        got = ON.extend_closure(ON.descendants(old), added)
+        assert sorted(map(tuple, got.select("ancestor", "descendant", "depth").collect())) == sorted(map(tuple, ON.descendants(frame(pairs)).collect()))
+    closure = ON.descendants(frame([("a", "b")]))
+    assert ON.extend_closure(closure, frame([]).where("false")).count() == 1
+
+
+def test_release_diff_reads_changed_ranges_only(spark, scratch):
+    old = spark.range(1000).selectExpr("id AS k", "id * 2 AS v", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS t")
+    new = old.where("k <> 500").withColumn("v", F.when(F.col("k").isin(501, 502), -1).otherwise(F.col("v"))).unionByName(spark.sql("SELECT 1005L AS k, 1L AS v, 'y' AS t"))
+    paths = [scratch("old"), scratch("new")]
+    low, width = CMP.key_ranges(old, "k", 20)
+    for df, p in zip((old, new), paths):
+        CMP.write_digested(df, p, "k", low, width)
+    assert sorted(r["range"] for r in CMP.changed_ranges(spark, *paths).collect()) == [10, 20]
+    diff = CMP.release_diff(spark, *paths, "k")
+    assert sorted(map(tuple, diff.collect())) == [(500, "removed"), (501, "changed"), (502, "changed"), (1005, "added")]
+    assert len(diff.inputFiles()) < 10 or "PartitionFilters: [" in diff._jdf.queryExecution().executedPlan().toString()
+    same = scratch("same")
+    CMP.write_digested(old.orderBy(F.desc("k")), same, "k", low, width)
+    assert CMP.release_diff(spark, paths[0], same, "k").count() == 0
+    other = scratch("other")
+    CMP.write_digested(old, other, "k", low, width + 1)
+    with pytest.raises(ValueError):
+        CMP.release_diff(spark, paths[0], other, "k")
+    # repeated and null keys compare as bags
+    a = spark.createDataFrame([(1, "p"), (1, "q"), (None, "z")], "k long, t string")
+    b = spark.createDataFrame([(1, "q"), (1, "p"), (None, "z"), (None, "z")], "k long, t string")
+    bags = [scratch("a"), scratch("b")]
+    for df, p in zip((a, b), bags):
+        CMP.write_digested(df, p, "k", 0, 10)
+    assert [tuple(r) for r in CMP.release_diff(spark, *bags, "k").collect()] == [(None, "changed")]
