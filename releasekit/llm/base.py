@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import string
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from releasekit.session import ensure_checkpoint_dir
+from releasekit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,8 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir`` (shared by driver and executors)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under ``spark.checkpoint.dir`` (shared by driver and executors), among the
+    library's scratch output, which ``session.clear_scratch`` removes."""
+    return scratch_path(spark, f"llm-{label}")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
