@@ -18,23 +18,32 @@ from releasekit.functions.columns import version_from_ts
 from releasekit.sources.writers import clustered
 
 
-def register_versions(spark: SparkSession, out_dir: str, batch_id: int, registry_root: str,
-                      source: str, artifact: str, ts_col: str) -> None:
-    """Upsert one registry entry per version that a batch wrote to.  ``created`` is the newest
-    event time and ``nrow`` the count over all batches of the version, so a replayed batch
-    gives the same entries and the upsert is idempotent.  Only the touched versions'
-    directories are read, and of them one column."""
+def batch_counts(batch: DataFrame, ts_col: str) -> DataFrame:
+    """``version, newest, n`` of one batch (which has a column ``version``)."""
+    return batch.groupBy(F.col("version").cast("string").alias("version")).agg(F.max(ts_col).alias("newest"), F.count(F.lit(1)).alias("n"))
+
+
+def register_versions(spark: SparkSession, counts: DataFrame, batch_id: int, out_dir: str, registry_root: str,
+                      source: str, artifact: str) -> None:
+    """Bring the entries of the versions in ``counts`` up to date: ``created`` is the newest event time
+    and ``nrow`` the rows of all batches so far, which are those of the version's newest entry and
+    of this batch.  An entry names the last batch that it counts, so a replayed batch changes
+    nothing.  Neither the store nor earlier batches are read."""
     from releasekit.operators import registry as R
 
-    snaps = read_snapshots(spark, out_dir)
-    touched = snaps.where(F.col("batch") == batch_id).select("version").distinct()
-    per_version = (snaps.join(touched, "version", "left_semi").groupBy(F.col("version").cast("string").alias("version"))
-                   .agg(F.max(ts_col).alias("created"), F.count(F.lit(1)).alias("nrow")))
-    entries = R.build_entries(
-        per_version, source=F.lit(source), artifact=F.lit(artifact), version="version", created="created",
-        metadata=F.create_map(F.lit("nrow"), F.col("nrow").cast("string")),
-        resources=F.create_map(F.lit("parquet"), F.concat(F.lit(out_dir.rstrip("/") + "/version="), F.col("version"))))
-    R.update_registry(spark, registry_root, lambda reg: R.upsert(reg, entries))
+    def change(reg: DataFrame) -> DataFrame:
+        own = reg.where((F.col("source") == source) & (F.col("artifact") == artifact)).join(counts.select("version"), "version", "left_semi")
+        newest = R.latest_per_key(own.withColumn("last", F.coalesce(F.col("metadata")["last_batch"].cast("bigint"), F.lit(-1).cast("bigint"))), ["version"], ["last", "created"])
+        old = newest.select("version", F.col("created").alias("old_created"), F.col("metadata")["nrow"].cast("bigint").alias("old_n"), "last")
+        fresh = counts.join(old, "version", "left").where(F.col("last").isNull() | (F.col("last") < batch_id))
+        entries = R.build_entries(
+            fresh, source=F.lit(source), artifact=F.lit(artifact), version="version",
+            created=F.greatest(F.col("newest").cast("timestamp_ntz"), "old_created"),
+            metadata=F.create_map(F.lit("nrow"), (F.col("n") + F.coalesce("old_n", F.lit(0))).cast("string"), F.lit("last_batch"), F.lit(str(batch_id))),
+            resources=F.create_map(F.lit("parquet"), F.concat(F.lit(out_dir.rstrip("/") + "/version="), F.col("version"))))
+        return R.upsert(reg, entries)
+
+    R.update_registry(spark, registry_root, change)
 
 
 def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
@@ -52,10 +61,11 @@ def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn("version", version_from_ts(ts_col, grain)).withColumn("batch", F.lit(batch_id))
+        counts = batch_counts(out, ts_col).checkpoint()  # one row a version, read several times below
         (clustered(out, ["version"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", rows_per_file).partitionBy("version", "batch").parquet(out_dir))
         if registry_root:
-            register_versions(spark, out_dir, batch_id, registry_root, source, artifact, ts_col)
+            register_versions(spark, counts, batch_id, out_dir, registry_root, source, artifact)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
