@@ -13,6 +13,8 @@ from releasekit.operators import sets as S
 from releasekit.operators import summaries as A
 from releasekit.plans import derived as D
 from releasekit.plans.base import query, table
+from releasekit.session import scratch_path
+from releasekit.sources.writers import write_indexed
 
 SLUG = D.SQL_SLUG
 
@@ -274,6 +276,19 @@ def agg_sorted_concat(spark, sf):
     return A.sorted_concat(_sold_brands(spark, sf), ["nation", "supp"], "p_brand")
 
 
+@query("flt_point_lookup_indexed", """
+SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_partkey = (SELECT max(l_partkey) // 2 FROM lineitem)
+""")
+def flt_point_lookup_indexed(spark, sf):
+    """FLT-7 on a release written for it (SNK-1): sorted by the key, with Bloom filters, so the lookup
+    reads the row groups of one key range."""
+    li = table(spark, sf, "lineitem")
+    path = scratch_path(spark, "indexed")
+    write_indexed(li, path, "l_partkey")
+    wanted = li.agg(F.max("l_partkey")).first()[0] // 2
+    return FL.point_lookup(spark.read.parquet(path), "l_partkey", wanted).select("l_orderkey", "l_partkey", "l_quantity")
+
+
 @query("agg_sorted_values", """
 SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_partkey) AS position, l_partkey
 FROM (SELECT DISTINCT l_returnflag, l_partkey FROM lineitem)

@@ -149,6 +149,18 @@ def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
+def write_indexed(df: DataFrame, path: str, key: str, mode: str = "errorifexists", rows_per_file: int = 1_000_000,
+                  row_group_bytes: int = 8 << 20) -> None:
+    """SNK-1 for point lookups: rows sorted by ``key`` within files of a key range each, small row groups,
+    and a Bloom filter of the key in each.  A reader that asks for one key skips files and row
+    groups by their least and greatest key, and what is left by the filter.  Rows of one key
+    are ranged by a hash of the row as well, so a hot key spreads over tasks."""
+    others = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    ranged = df.withColumn("__spread", F.xxhash64(*others)).repartitionByRange(F.col(f"`{key}`"), F.col("__spread")).sortWithinPartitions(F.col(f"`{key}`")).drop("__spread")
+    (ranged.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option("parquet.block.size", row_group_bytes)
+        .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+
+
 def write_versioned(df: DataFrame, root: str, version_col: str = "version", mode: str = "overwrite",
                     rows_per_file: int | None = None, created_col: str | None = None) -> None:
     """Many releases at once: one ``version=...`` directory each (and below it one

@@ -219,3 +219,29 @@ def test_clustered_versioned_write_bounds_files(spark, scratch):
     # range partitions of ~rows_per_file rows: files <= partitions + versions - 1
     assert count(sized, "v2") >= 2 and count(sized, "v1") + count(sized, "v2") <= 4 + 2 - 1
     assert spark.read.parquet(sized).count() == 4000
+
+
+def test_lookup_in_an_indexed_release_reads_one_row_group(spark, scratch):
+    from pyspark.sql import functions as F
+    from releasekit.operators import filters as FL
+    from releasekit.sources.writers import write_indexed
+
+    path = scratch("indexed")
+    # every second key is missing, a third of the rows have one key
+    df = spark.range(200_000).select((F.when(F.col("id") % 3 == 0, 70_000).otherwise(2 * (F.col("id") * 7919 % 100_000))).alias("k"), F.col("id").alias("v"), F.repeat(F.lit("x"), F.lit(40)).alias("t"))
+    write_indexed(df, path, "k", rows_per_file=10_000, row_group_bytes=200_000)
+
+    def read(key):
+        hits = FL.point_lookup(spark.read.parquet(path), "k", key)
+        n = len(hits.collect())
+        plan, scanned = [hits._jdf.queryExecution().executedPlan()], 0
+        while plan:
+            node = plan.pop()
+            if node.nodeName().startswith("Scan parquet") or "ColumnarToRow" not in node.nodeName() and node.children().isEmpty():
+                m = node.metrics().get("numOutputRows")
+                scanned += m.get().value() if m.isDefined() else 0
+            kids = node.children()
+            plan += [kids.apply(i) for i in range(kids.size())]
+        return n, scanned
+    assert [p for p in [df.where("k = 13000").count()]] == [read(13_000)[0]] and 0 < read(13_000)[1] <= 10_000
+    assert read(13_001) == (0, 0)  # the Bloom filter knows it is not there
