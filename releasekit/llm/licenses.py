@@ -85,7 +85,7 @@ FORMS = (
     ("spdx", "spdx license identifier {}", 3, 1.0),
     ("named", "{} licen[cs]e", 2, 0.8),
     ("labelled", "licen[cs]e {}", 2, 0.7),
-    ("versioned", "{}", 2, 0.6),  # for names that hold a version
+    ("versioned", "{}(?! [0-9])", 2, 0.6),  # for names that hold a version, which must end there (no Apache 2.4)
 )
 
 #: Single notices: label | expression | keyword | priority | strength.  Fixed values.

@@ -309,6 +309,12 @@ def test_licenses(spark, docs, none):
     assert licenses.scan_licenses(docs).count() == len(ROWS) and licenses.scan_licenses(none).count() == 0
 
 
+def test_versions_end_where_the_license_ends(spark):
+    texts = [(0, "We run the Apache 2.4 web server."), (1, "Code is Apache 2.0, docs CC0 1.0."), (2, "Licensed under Apache 2"), (3, "GPL 3.1415 is no version; GPLv3 is"), (4, "MPL 2.0.1 build")]
+    got = {r["doc_id"]: sorted({x["label"] for x in r["found"] or []}) for r in licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got[0] == [] and got[1] == ["apache-2.0", "cc0-1.0"] and got[2] == ["apache-2.0"] and got[3] == ["gpl-3.0"] and got[4] == []
+
+
 def examples(expression):
     """Texts that a rule's expression matches: each choice once, optional parts left out and taken."""
     from re import _parser
@@ -325,6 +331,8 @@ def examples(expression):
                 more = [x for branch in arg[1] for x in forms(branch)]
             elif op == "SUBPATTERN":
                 more = forms(arg[3])
+            elif op == "ASSERT_NOT":  # nothing stands there
+                more = [""]
             else:
                 assert op == "MAX_REPEAT" and arg[:2] == (0, 1), op
                 more = ["", forms(arg[2])[0]]
