@@ -387,8 +387,8 @@ def op1_near_duplicates(spark, sf_dir):
 
 def drop_near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` with one row of each component, that of its smallest id (and smallest text
-    hash, where texts share the id); repeated rows of that document go too.  Only the ids and
-    text hashes of the others move, as a table."""
+    hash, where texts share the id); repeated rows of that document go too.  Rows whose id and
+    text hash are surely not among those that go stay at the scan."""
     judged = stored(judged_rows(documents, words, percent).where("doc_id IS NOT NULL"), "near")
     keys = ["doc_id", "text_hash"]
     own = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
