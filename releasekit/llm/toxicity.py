@@ -29,6 +29,8 @@ BITS = 18
 SAMPLE_ROWS, SAMPLE_CHARS = 5_000, 30_000
 MIN_ROWS = 4  # an n-gram in fewer sample rows gets no weight
 THRESHOLD = 0.3
+#: N-grams of rows that a step of the fit works on at a time.
+PART = 1 << 17
 
 
 def ngrams(text: str | None, seen: np.ndarray) -> np.ndarray:
@@ -62,9 +64,20 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.weights[grams].sum(dtype=np.float64) + self.intercept, -30, 30))))
 
 
+def row_parts(ends: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold ``most`` (``PART``) n-grams at most, or one row; row i's end at
+    ``ends[i + 1]``."""
+    at, n = 0, len(ends) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + (most or PART), "right")) - 1)
+        yield at, to
+        at = to
+
+
 def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds: int = 150) -> Model:
     """Log-count ratios with add-one smoothing, then logistic regression on the scaled n-grams
-    by accelerated gradient descent.  Deterministic for a given order of rows."""
+    by accelerated gradient descent.  Deterministic for a given order of rows.  The driver holds
+    four bytes for each n-gram of a row that has a ratio, and works on ``PART`` of them at a time."""
     labels = np.asarray(labels, float)
     size = 1 << BITS
     share = float(labels.mean()) if len(labels) else 0.0
@@ -81,24 +94,43 @@ def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds:
     # ratios that chance explains are noise in long texts: drop those within two standard errors
     error = np.sqrt(1 / (toxic_of + 1) + 1 / (rows_of - toxic_of + 1))
     ratio[np.abs(ratio) < 2 * error] = 0.0
-    sets = []  # of the n-grams with a ratio only: all of a text's would not fit a driver
-    for text in texts:
+    # the n-grams with a ratio only, row after row in one array that is as long as the counts say
+    names = np.flatnonzero(ratio)
+    number = np.zeros(size, np.int32)
+    number[names] = np.arange(len(names), dtype=np.int32)
+    n = len(labels)
+    col, ends = np.empty(int(rows_of[names].sum()), np.int32), np.zeros(n + 1, np.int64)
+    for i, text in enumerate(texts):
         grams = ngrams(text, seen)
-        sets.append(grams[ratio[grams] != 0].astype(np.int32))
-    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
-    col = np.concatenate(sets)
-    del sets
-    names, col = np.unique(col, return_inverse=True)
+        own = number[grams[ratio[grams] != 0]]
+        ends[i + 1] = ends[i] + len(own)
+        col[ends[i]:ends[i + 1]] = own
     scale = ratio[names].astype(np.float32)
-    value = scale[col]
+    parts = list(row_parts(ends))
+
+    def by_row(x: np.ndarray) -> np.ndarray:
+        """Per row, the sum of its scaled n-grams' values in ``x``."""
+        x, out = x.astype(np.float32), np.empty(n)
+        for p, q in parts:
+            c = col[ends[p]:ends[q]]
+            out[p:q] = np.bincount(np.repeat(np.arange(q - p), np.diff(ends[p:q + 1])), scale[c] * x[c], minlength=q - p)
+        return out
+
+    def by_name(x: np.ndarray) -> np.ndarray:
+        """Per n-gram, the scaled sum of its rows' values in ``x``, added up in the order of rows."""
+        x, out = x.astype(np.float32), np.zeros(len(names))
+        for p, q in parts:
+            c = col[ends[p]:ends[q]]
+            np.add.at(out, c.astype(np.intp), (scale[c] * np.repeat(x[p:q], np.diff(ends[p:q + 1]))).astype(np.float64))
+        return out
+
     w, b = np.zeros(len(names)), float(np.log(share / (1 - share)))
-    n = len(labels)
     # the step follows from the largest curvature, found by power iteration (with the intercept)
     at, at_b = np.ones(len(names), np.float32), 1.0
     curvature = 1.0
     for _ in range(20):
-        z = np.bincount(row, value * at[col], minlength=n) + at_b
-        g, gb = np.bincount(col, value * z[row].astype(np.float32), minlength=len(names)) / n, z.mean()
+        z = by_row(at) + at_b
+        g, gb = by_name(z) / n, z.mean()
         curvature = max(float(np.sqrt(g @ g + gb * gb)), 1e-9)
         at, at_b = (g / curvature).astype(np.float32), gb / curvature
     step = 1 / (0.25 * 1.1 * curvature + ridge / n)
@@ -106,9 +138,8 @@ def fit(texts: list[str | None], labels: np.ndarray, ridge: float = 0.5, rounds:
     for k in range(rounds):
         mw, mb = w + k / (k + 3) * (w - last), b + k / (k + 3) * (b - lb)
         last, lb = w, b
-        z = np.bincount(row, value * mw[col].astype(np.float32), minlength=n) + mb
-        wrong = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
-        gw = np.bincount(col, value * wrong[row].astype(np.float32), minlength=len(names)) / n + ridge / n * mw
+        wrong = 1 / (1 + np.exp(-np.clip(by_row(mw) + mb, -30, 30))) - labels
+        gw = by_name(wrong) / n + ridge / n * mw
         w, b = mw - step * gw, mb - step * wrong.mean()
     weights = np.zeros(size, np.float32)
     weights[names] = w * scale

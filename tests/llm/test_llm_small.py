@@ -3,8 +3,10 @@ repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -535,3 +537,35 @@ def test_native_operators_have_no_python_in_their_plans(spark):
     for name in ("op3_quality_rules", "op5_decontaminate", "op6_url_filter", "op9_license_scan"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan), name
+
+
+def _labelled_texts(rows, words):
+    rng = np.random.default_rng(5)
+    labels = (np.arange(rows) % 3 == 0).astype(float)
+    return [" ".join(("bad{} " if label else "fine{} ").format(k) for k in rng.integers(0, 600, words)) for label in labels], labels
+
+
+def test_toxicity_fit_works_on_parts_of_the_sample():
+    """Its peak is near the four bytes of each n-gram of a row that has a ratio, not several copies."""
+    texts, labels = _labelled_texts(600, 300)
+    toxicity.fit(texts[:30], labels[:30], rounds=2)
+    seen = np.empty(1 << toxicity.BITS, np.int32)
+    most = sum(len(toxicity.ngrams(t, seen)) for t in texts)
+    tracemalloc.start()
+    try:
+        toxicity.fit(texts, labels, rounds=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most > 400_000
+    assert peak < 4 * most + 20_000_000
+
+
+def test_toxicity_fit_is_the_same_for_any_parts(monkeypatch):
+    texts, labels = _labelled_texts(60, 80)
+    texts[3], texts[-1] = None, ""
+    whole = toxicity.fit(texts, labels, rounds=20)
+    monkeypatch.setattr(toxicity, "PART", 100)
+    parts = toxicity.fit(texts, labels, rounds=20)
+    assert (whole.weights == parts.weights).all() and whole.intercept == parts.intercept and whole.weights.any()
+    assert list(toxicity.row_parts(np.array([0, 90, 90, 110, 400, 400]), 100)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
