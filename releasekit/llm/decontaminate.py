@@ -28,7 +28,6 @@ once an item under their id; a null item id is reported as such.
 
 from __future__ import annotations
 
-import functools
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -57,14 +56,18 @@ def shingles(words: Column, size: int = WORDS) -> Column:
 def fingerprint(rows: DataFrame, key: list[str]) -> DataFrame:
     """SimHash per ``key`` of rows with ``h`` (shingle hash), ``c`` (how often) and ``w`` (weight):
     bit b is set where the square roots of the weights of shingles with that bit outweigh the
-    others (in thousandths, whole numbers); ``total`` sums up the weights themselves."""
-    spread = F.xxhash64("h", F.lit(5))
+    others (in thousandths, whole numbers); ``total`` sums up the weights themselves.  A key's rows
+    are gathered, as many as its window or item has shingles, so that the plan holds one sum for
+    all bits: with a column for each bit, the driver spends its memory on planning and compiling."""
     value = F.col("w") * F.col("c")
-    sums = rows.withColumn("x", spread).withColumn("v", F.round(1000 * F.sqrt(value)).cast("long")).groupBy(*key).agg(
-        *(F.sum(F.when(F.getbit("x", F.lit(b)) == 1, F.col("v")).otherwise(-F.col("v"))).alias(f"s{b}") for b in range(BITS)),
-        F.sum(value).alias("total"))
-    bits = functools.reduce(lambda a, b: a.bitwiseOR(b), (F.when(F.col(f"s{b}") > 0, F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long") for b in range(BITS)))
-    return sums.select(*key, "total", bits.alias("fp"))
+    root = F.coalesce(F.round(1000 * F.sqrt(value)).cast("long"), F.lit(0))
+    gathered = rows.groupBy(*key).agg(F.collect_list(F.struct(F.xxhash64("h", F.lit(5)).alias("x"), root.alias("v"))).alias("__rows"), F.sum(value).alias("total"))
+    # those with the bit outweigh the others where twice their sum exceeds the sum of all
+    with_bit = lambda b: F.aggregate("__rows", F.lit(0).cast("long"), lambda a, r: a + r["v"] * F.getbit(r["x"], b).cast("long"))
+    every = F.aggregate("__rows", F.lit(0).cast("long"), lambda a, r: a + r["v"])
+    bit = lambda b: F.when(2 * with_bit(b) > F.col("__all"), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
+    bits = F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(bit(b)))
+    return gathered.withColumn("__all", every).select(*key, "total", bits.alias("fp"))
 
 
 def block_of(fp: Column, k: int) -> Column:
@@ -125,9 +128,9 @@ def matches(documents: DataFrame, benchmark: DataFrame, words: int = WORDS, perc
     distinct = windows.groupBy("win").agg(F.first("m").alias("m"), F.first("s").alias("s"))
     counted = distinct.select("win", "m", F.explode("s").alias("h")).groupBy("win", "m", "h").agg(F.count("*").alias("c"))
     counted = stored(counted.join(hint(weights), "h", "left").withColumn("w", F.coalesce("w", F.lit(top))), "counts")
-    window_fp = fingerprint(counted, ["win", "m"])
+    window_fp = stored(fingerprint(counted, ["win", "m"]), "prints")
     item_counts = entries.groupBy("item", "item_id", "m", "h").agg(F.count("*").alias("c"), F.first("w").alias("w"))
-    item_fp = fingerprint(item_counts, ["item", "item_id", "m"])
+    item_fp = stored(fingerprint(item_counts, ["item", "item_id", "m"]), "prints")
 
     # 3. candidates within the radius
     masks = F.array(*(F.lit(v) for v in near_values()))

@@ -531,6 +531,22 @@ def test_fingerprints_of_items_that_share_a_template_are_near(spark, shared, cha
     assert max(distances) <= decontaminate.RADIUS
 
 
+def test_fingerprints_hold_the_sign_of_every_bit_in_a_plan_of_few_sums(spark):
+    kinds = [(k, f"{k}s{j % 40}", 1 + j % 3, 100 * (j % 7)) for k in range(30) for j in range(1 + k)] + [(99, "one", 1, 0)]
+    frame = spark.createDataFrame(kinds, "k int, name string, c long, w long").select("k", F.xxhash64("name").alias("h"), "c", "w")
+    prints = decontaminate.fingerprint(frame, ["k"])
+    sums = {}
+    for r in frame.withColumn("x", F.xxhash64("h", F.lit(5))).collect():
+        own = sums.setdefault(r["k"], [0] * 64)
+        for b in range(64):
+            own[b] += round(1000 * (r["w"] * r["c"]) ** 0.5) * (1 if r["x"] >> b & 1 else -1)
+    assert {r["k"]: r["fp"] % 2**64 for r in prints.collect()} == {k: sum(1 << b for b in range(64) if s[b] > 0) for k, s in sums.items()}
+    assert 99 in sums and {r["k"]: r["total"] for r in prints.collect()}[99] == 0
+    # the driver plans and compiles a column for each sum
+    plan = prints._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bsum\(", plan)) + len(re.findall(r"\bcollect_list\(", plan)) <= 4
+
+
 def test_native_operators_have_no_python_in_their_plans(spark):
     from releasekit.llm.queries import QUERIES
 
